@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
+from leafgraph.llm.leaks import leaked_items, without_leaks
 from leafgraph.llm.pairs import defect_counts, defective_pairs
+from leafgraph.llm.quality import document_statistics, not_prose
+from leafgraph.llm.reading import level_profile, reading_levels
 from leafgraph.sources.tables import table
 
 
@@ -12,9 +13,32 @@ def _pairs(s, d):
     return table(s, d, "qa_pairs", "row_no", "question", "answer", "reasoning_type")
 
 
+def _regions(s, d):
+    return table(s, d, "graph_visualization_output", "region_id", "doc_id", "page_no", "node_id", "text", "created_at")
+
+
+def _documents(s, d):
+    return table(s, d, "documents", "doc_id", "text")
+
+
+def _items(s, d):
+    return table(s, d, "eval_items", "item_id", "passage")
+
+
+def _levels(s, d):
+    return reading_levels(_documents(s, d), table(s, d, "reading_labels"))
+
+
 QUERIES = {
     "p1_found": lambda s, d: defective_pairs(_pairs(s, d)),
     "p1_counts": lambda s, d: defect_counts(_pairs(s, d)),
+    "p3_found": lambda s, d: not_prose(_regions(s, d)),
+    "p3_statistics": lambda s, d: document_statistics(_regions(s, d)),
+    "p7_found": lambda s, d: leaked_items(_documents(s, d), _items(s, d)).select("doc_id", "item_id"),
+    "p7_spans": lambda s, d: leaked_items(_documents(s, d), _items(s, d)),
+    "p7_cleaned": lambda s, d: without_leaks(_documents(s, d), _items(s, d)),
+    "p8_found": lambda s, d: _levels(s, d).select("doc_id", "reading_level"),
+    "p8_profile": lambda s, d: level_profile(_levels(s, d)),
 }
 
 ORACLE: dict[str, str] = {}
