@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,3 +27,10 @@ def checkpointed(df: DataFrame) -> DataFrame:
     """The rows, written to the shared folder: lost executors lose nothing, and later plans don't compute them again."""
     shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The rows, written as a compressed table to the shared folder and read again; later reads prune its columns."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
