@@ -6,6 +6,7 @@ from leafgraph.llm.leaks import leaked_items, without_leaks
 from leafgraph.llm.pairs import defect_counts, defective_pairs
 from leafgraph.llm.quality import document_statistics, not_prose
 from leafgraph.llm.reading import level_profile, reading_levels
+from leafgraph.llm.splits import found_pairs, overlap_report
 from leafgraph.sources.tables import table
 
 
@@ -13,6 +14,10 @@ def _pairs(s, d):
     return table(s, d, "qa_pairs", "row_no", "question", "answer", "reasoning_type")
 
 
+def _questions(s, d):
+    return table(s, d, "qa_pairs", "qa_id", "doc_id", "split", "question", "source")
+
+
 def _regions(s, d):
     return table(s, d, "graph_visualization_output", "region_id", "doc_id", "page_no", "node_id", "text", "created_at")
 
@@ -34,6 +39,8 @@ QUERIES = {
     "p1_counts": lambda s, d: defect_counts(_pairs(s, d)),
     "p3_found": lambda s, d: not_prose(_regions(s, d)),
     "p3_statistics": lambda s, d: document_statistics(_regions(s, d)),
+    "p4_found": lambda s, d: found_pairs(_questions(s, d)),
+    "p4_report": lambda s, d: overlap_report(_questions(s, d)),
     "p7_found": lambda s, d: leaked_items(_documents(s, d), _items(s, d)).select("doc_id", "item_id"),
     "p7_spans": lambda s, d: leaked_items(_documents(s, d), _items(s, d)),
     "p7_cleaned": lambda s, d: without_leaks(_documents(s, d), _items(s, d)),
