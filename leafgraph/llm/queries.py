@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from leafgraph.llm.leaks import leaked_items, without_leaks
+from leafgraph.llm.packing import fill_report, pack
 from leafgraph.llm.pairs import defect_counts, defective_pairs
 from leafgraph.llm.quality import document_statistics, not_prose
 from leafgraph.llm.reading import level_profile, reading_levels
@@ -26,6 +27,10 @@ def _documents(s, d):
     return table(s, d, "documents", "doc_id", "text")
 
 
+def _packed(s, d):
+    return pack(_documents(s, d), table(s, d, "pack_capacities"))
+
+
 def _items(s, d):
     return table(s, d, "eval_items", "item_id", "passage")
 
@@ -41,6 +46,8 @@ QUERIES = {
     "p3_statistics": lambda s, d: document_statistics(_regions(s, d)),
     "p4_found": lambda s, d: found_pairs(_questions(s, d)),
     "p4_report": lambda s, d: overlap_report(_questions(s, d)),
+    "p6_containers": lambda s, d: _packed(s, d),
+    "p6_fill": lambda s, d: fill_report(_packed(s, d)),
     "p7_found": lambda s, d: leaked_items(_documents(s, d), _items(s, d)).select("doc_id", "item_id"),
     "p7_spans": lambda s, d: leaked_items(_documents(s, d), _items(s, d)),
     "p7_cleaned": lambda s, d: without_leaks(_documents(s, d), _items(s, d)),
