@@ -36,10 +36,12 @@ from leafgraph.sources.tables import written
 
 BUCKETS = 128  # for each side
 _HYPHENS = "-‐‑¬­"
+_WORD = re.compile(r"[^\W_]+")
 _TOKEN = re.compile(r"[^\W_]+(?:-[^\W_]+)*")
-_BREAK = re.compile(rf"((?:[^\W_]+-)*[^\W_]*[^\W\d_])[{_HYPHENS}][^\S\n]*\n\s*([^\W\d_][^\W_]*(?:-[^\W_]+)*)")
-_BREAK_END = re.compile(rf"((?:[^\W_]+-)*[^\W_]*[^\W\d_])[{_HYPHENS}]\s*\Z")
-_FIRST = re.compile(r"\s*([^\W\d_][^\W_]*(?:-[^\W_]+)*)")
+#: A hyphen between letters with a line end behind it. The hyphen stands first in the pattern: the search then skips from sign to sign.
+_BREAK = re.compile(rf"[{_HYPHENS}](?<=[^\W\d_].)[^\S\n]*\n\s*(?=[^\W\d_])")
+_LEFT = re.compile(r"(?:[^\W_]+-)*[^\W_]*[^\W\d_]\Z")
+_RIGHT = re.compile(r"[^\W\d_][^\W_]*(?:-[^\W_]+)*")
 _COMMON = frozenset(w for words in FUNCTION_WORDS.values() for w in words)
 
 # What is read, and what may have been written.
@@ -119,13 +121,16 @@ _CELLS = re.compile(r"\t|\||\S {4,}\S")
 
 def skeleton(line: str) -> str | None:
     """What a header keeps from page to page; None for lines that can't be one."""
-    line = _AT_ENDS.sub(" ", line.strip()).strip()
-    if not 6 <= len(line) <= 120 or _CELLS.search(line) or line[-1] in ".!?;,:" or len(line.split()) < 2:
+    line = line.strip()
+    if "  " in line:
+        line = _AT_ENDS.sub(" ", line).strip()
+    if not 6 <= len(line) <= 120 or line[-1] in ".!?;,:" or " " not in line or _CELLS.search(line):
         return None
     low = line.lower()
     for a, b in _FOLD_PAIRS:
-        low = low.replace(a, b)
-    low = re.sub(r"[\W_]+", "", low.translate(_FOLD))
+        if a in low:
+            low = low.replace(a, b)
+    low = "".join(_WORD.findall(low.translate(_FOLD)))
     return low if len(low) >= 5 else None
 
 
@@ -136,7 +141,17 @@ def _bucket(word: str) -> int:
 
 def plain_words(text: str) -> list[str]:
     """Tokens with parted words joined, so that halves don't count as words."""
-    return _TOKEN.findall(_BREAK.sub(r"\1\2", text))
+    return _TOKEN.findall(_BREAK.sub("", text))
+
+
+def parted(text: str) -> list[tuple[int, str, str]]:
+    """Where a word is parted at a line end, and its halves."""
+    out = []
+    for m in _BREAK.finditer(text):
+        left = _LEFT.search(text, max(0, m.start() - 80), m.start())
+        if left and not left[0][0].isdigit():
+            out.append((m.start(), left[0], _RIGHT.match(text, m.end())[0]))
+    return out
 
 
 class _Learner:
@@ -271,54 +286,74 @@ class _Reader:
                 return max(hits, key=lambda h: (get(h, 0), h))
         return joined
 
-    def __call__(self, regions, docs, pages, nodes, texts):
-        out = {k: [] for k in _NAMES}
+    @staticmethod
+    def whole_lines(lines: list[str]) -> list[str]:
+        """The lines, with the second half of each parted word moved up to its first."""
+        out, carry = [], ""
+        for i, line in enumerate(lines):
+            line = line[len(carry) :] if carry and line.lstrip().startswith(carry.strip()) else line
+            carry = ""
+            bare = line.rstrip()
+            if bare and bare[-1] in _HYPHENS and i + 1 < len(lines) and (m := re.match(r"\s*" + _RIGHT.pattern, lines[i + 1])) and _LEFT.search(bare, 0, len(bare) - 1):
+                carry = m[0]
+                line = bare[:-1] + carry.strip()
+            out.append(line)
+        return out
 
-        def put(**row):
-            for k in _NAMES:
-                out[k].append(row.get(k))
+    def suspects(self, words: list[str]) -> dict[str, tuple[str, ...]]:
+        """Words outside the lexicon, with what they may be misreadings of."""
+        out = {}
+        for w in set(words) - self.good:
+            if len(w) >= 3 and w.islower() and (hits := self.neighbours(w) or _letters_for_digits(w)):
+                out[w] = hits
+        return out
 
-        good, lexicon = self.good, self.lexicon
+    def __call__(self, regions, docs, pages, nodes, texts):
+        rows: list[tuple] = []
+        lexicon = self.lexicon
         for region, doc, page, node, text in zip(regions, docs, pages, nodes, texts):
-            if not text or not (lines := [x for x in text.replace("\r", "").split("\n") if x.strip()]):
+            if not text or not (lines := [x for x in text.replace("\r", "").split("\n") if x and not x.isspace()]):
                 continue
-            here = {"region_id": region, "doc_id": doc, "page": page, "node": node}
+            here = (region, doc, page, node)
             n = len(lines)
-            tokens = _TOKEN.findall(text)
-            prose = sum(t in _COMMON for t in text.lower().split()) * 5 >= len(tokens) > 4
-            numbers = {i: page_number(lines[i]) for i in {*range(min(3, n)), n - 1}}
-            for i in sorted(numbers):
-                num = numbers[i]
-                put(**here, kind="L", line=i, lines=n, prose=prose, a=lines[i].strip(), skel=skeleton(lines[i]) if num is None and i < 3 else None, num=num and num[0], styled=num and num[1])
+            common = sum(map(_COMMON.__contains__, text.lower().split()))
+            body = "\n".join(lines)
+            words = plain_words(body)
+            prose = common * 5 >= len(words) > 4
+            heads = 0
+            for i in (0, 1, 2, n - 1) if n > 3 else range(n):
+                num = page_number(lines[i])
+                skel = None
+                if num is None and i < 3 and heads < 2:
+                    skel = skeleton(lines[i])
+                    heads += 1
+                rows.append(("L", *here, i, n, prose, lines[i].strip(), None, skel, num and num[0], num and num[1], None, None, None, None))
             last = n - 1
             while last > 0 and page_number(lines[last]):
                 last -= 1
-            body = "\n".join(lines[: last + 1])
-            starts = None
-            for m in _BREAK.finditer(body):
-                if m[1][0].isdigit():
-                    continue
-                if starts is None:
-                    starts = np.cumsum([len(x) + 1 for x in lines])
-                put(**here, kind="H", line=int(np.searchsorted(starts, m.start(), side="right")), a=m[1], b=self.item(m[1], m[2]))
-            if m := _BREAK_END.search(lines[last].rstrip()):
-                put(**here, kind="E", line=last, a=m[1])
-            if not prose:
+            if last < n - 1:
+                body = "\n".join(lines[: last + 1])
+            breaks = parted(body)
+            if breaks:
+                starts = np.cumsum([len(x) + 1 for x in lines])
+                for at, left, right in breaks:
+                    rows.append(("H", *here, int(np.searchsorted(starts, at, side="right")), None, None, left, self.item(left, right), None, None, None, None, None, None, None))
+            tail = lines[last].rstrip()
+            if tail[-1] in _HYPHENS and (m := _LEFT.search(tail, max(0, len(tail) - 80), len(tail) - 1)):
+                rows.append(("E", *here, last, None, None, m[0], None, None, None, None, None, None, None, None))
+            if not prose or not (suspects := self.suspects(words)):
                 continue
-            flat = _BREAK.sub(lambda m: m[1] + m[2] + "\n", body) if starts is not None else body
-            for i, line in enumerate(flat.split("\n")):
-                words = _TOKEN.findall(line)
-                for k, w in enumerate(words):
-                    if w in good or len(w) < 3 or not w.islower():
-                        continue
-                    if not (hits := self.neighbours(w)):
-                        if not (hits := _letters_for_digits(w)):
-                            continue
-                    if len(words) > 4 and sum(x.lower() in lexicon for x in words) * 3 < len(words):
-                        break  # no running text
-                    put(**here, kind="M", line=i, a=w, cands=list(hits), ns=[lexicon.get(h, 0) for h in hits],
-                        lb=_bucket(words[k - 1].lower()) if k else None, rb=_bucket(words[k + 1].lower()) if k + 1 < len(words) else None)
-        return out
+            for i, line in enumerate(self.whole_lines(lines[: last + 1]) if breaks else lines[: last + 1]):
+                own = _TOKEN.findall(line)
+                if suspects.keys().isdisjoint(own):
+                    continue
+                if len(own) > 4 and sum(x.lower() in lexicon for x in own) * 3 < len(own):
+                    continue  # no running text
+                for k, w in enumerate(own):
+                    if hits := suspects.get(w):
+                        rows.append(("M", *here, i, None, None, w, None, None, None, None, list(hits), [lexicon.get(h, 0) for h in hits],
+                                     _bucket(own[k - 1].lower()) if k else None, _bucket(own[k + 1].lower()) if k + 1 < len(own) else None))
+        return dict(zip(_NAMES, map(list, zip(*rows)))) if rows else {k: [] for k in _NAMES}
 
 
 def _letters_for_digits(w: str) -> tuple[str, ...]:
