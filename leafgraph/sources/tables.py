@@ -29,8 +29,11 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """The rows, written as a compressed table to the shared folder and read again; later reads prune its columns."""
+def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
+    """The rows, written as a compressed table to the shared folder and read again; later reads prune its columns.
+
+    ``by``: a column of few values that later reads filter by; each value then has its own files."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    writer = df.write.partitionBy(by) if by else df.write
+    writer.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)
