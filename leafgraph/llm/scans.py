@@ -386,7 +386,7 @@ def scan_rows(df: DataFrame, region_id: str, doc_id: str, page: str, node: str,
     shared = df.sparkSession.sparkContext.broadcast((lexicon, demoted))
     ids = {"r": F.col(region_id).cast("long"), "d": F.col(doc_id).cast("string"), "p": F.coalesce(F.col(page).cast("int"), F.lit(-1)), "n": F.coalesce(F.col(node).cast("int"), F.lit(-1)), "t": F.col(text)}
     rows = map_columns(df, ids, lambda: _Reader(*shared.value), _ROW)
-    return written(rows, "lines"), words, totals
+    return written(rows, "lines", "kind"), words, totals
 
 
 # --- verdicts -----------------------------------------------------------------------------------------------------------------------
