@@ -12,6 +12,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from leafgraph.config import NormConfig
 
@@ -21,12 +22,12 @@ WS = r"[\s\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{2
 OCR_FROM, OCR_TO = "OlISZ|¢§", "01152Ics"
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _nfc(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _no_accents(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else "".join(c for c in unicodedata.normalize("NFD", x) if unicodedata.category(c) != "Mn"))
 
@@ -45,7 +46,7 @@ def expand_abbreviations(text: str) -> str:
     return _ABBREVIATED.sub(expand, text)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(StringType())
 def _expanded(s: pd.Series) -> pd.Series:
     return s.map(lambda x: None if x is None else expand_abbreviations(x))
 

@@ -11,6 +11,7 @@ import re
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
 from leafgraph.config import QAConfig
 from leafgraph.functions import tokens as T
@@ -45,7 +46,7 @@ def fields_of_line(line: str) -> list[tuple[str, str]]:
     return [(k, v) for k, v in found if v and not _CLOCK.search(v)]
 
 
-@F.pandas_udf("array<struct<key:string,value:string>>")
+@F.pandas_udf(ArrayType(StructType([StructField("key", StringType()), StructField("value", StringType())])))
 def _many_fields(lines: pd.Series) -> pd.Series:
     return lines.map(lambda x: None if x is None else [{"key": k, "value": v} for k, v in fields_of_line(x)])
 
