@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from leafgraph.plans import graph_queries, nested_queries, qa_queries, text_queries
+from leafgraph.plans import graph_queries, layout_queries, nested_queries, qa_queries, text_queries
 
-_MODULES = [graph_queries, text_queries, qa_queries, nested_queries]
+_MODULES = [graph_queries, layout_queries, text_queries, qa_queries, nested_queries]
 
 
 def all_queries() -> dict:
