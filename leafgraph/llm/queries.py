@@ -7,7 +7,7 @@ from leafgraph.llm.packing import fill_report, pack
 from leafgraph.llm.pairs import defect_counts, defective_pairs
 from leafgraph.llm.quality import document_statistics, not_prose
 from leafgraph.llm.reading import level_profile, reading_levels
-from leafgraph.llm.scans import scan_noise
+from leafgraph.llm.scans import repaired_paragraphs, scan_noise
 from leafgraph.llm.splits import found_pairs, overlap_report
 from leafgraph.sources.tables import table
 
@@ -44,6 +44,7 @@ QUERIES = {
     "p1_found": lambda s, d: defective_pairs(_pairs(s, d)),
     "p1_counts": lambda s, d: defect_counts(_pairs(s, d)),
     "p2_found": lambda s, d: scan_noise(_regions(s, d)),
+    "p2_paragraphs": lambda s, d: repaired_paragraphs(_regions(s, d)),
     "p3_found": lambda s, d: not_prose(_regions(s, d)),
     "p3_statistics": lambda s, d: document_statistics(_regions(s, d)),
     "p4_found": lambda s, d: found_pairs(_questions(s, d)),

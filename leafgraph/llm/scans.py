@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from leafgraph.llm.batches import map_columns
 from leafgraph.llm.words import FUNCTION_WORDS
+from leafgraph.operators.components import components
 from leafgraph.sources.tables import written
 
 BUCKETS = 128  # for each side
@@ -448,11 +449,11 @@ def _best_neighbours(rows: DataFrame, words: DataFrame, totals: dict, ratio: flo
     found = found.join(counts, "word", "left").filter((F.col("n") == 0) | (F.col("n") >= ratio * F.coalesce("own", F.lit(1))))
     vectors = words.filter(F.col("word") != "").select(F.col("word").alias("item"), "ctx")
     found = found.join(vectors, "item", "left")
-    bucket_totals = F.array(*(F.lit(float(x)) for x in totals["ctx"]))
+    found = found.join(F.broadcast(words.filter("word = ''").select(F.col("ctx").alias("all_ctx"))))  # one row of 256 totals
     everything = float(max(totals["n"], 1))
 
     def information(at):
-        share = F.get(bucket_totals, at) / everything
+        share = F.get("all_ctx", at) / everything
         return F.coalesce(F.ln((F.coalesce(F.get("ctx", at), F.lit(0)) + 10 * share + 1e-9) / ((F.col("n") + 10) * share + 1e-9)), F.lit(0.0))
 
     score = F.ln(F.col("n") + 1) + information(F.col("lb")) + information(F.col("rb") + BUCKETS)
@@ -460,17 +461,100 @@ def _best_neighbours(rows: DataFrame, words: DataFrame, totals: dict, ratio: flo
     return found.groupBy("region_id", "line", "word", "lb", "rb").agg(best.alias("item")).select("region_id", "line", "word", "item")
 
 
+def _halves(rows: DataFrame, furniture: DataFrame, words: DataFrame) -> DataFrame:
+    """Rows (region_id, item, a, next_doc, next_page, next_node): words parted at a region's end, as they must read, and where they go on."""
+    known = words.filter(F.col("word") != "").select("word", "n")
+    joined, compound = F.lower(F.concat("a", "b")), F.lower(F.concat_ws("-", "a", "b"))
+    c = _carried_on(rows, furniture).withColumns({"j": joined, "c": compound})
+    c = c.join(known.select(F.col("word").alias("j"), F.col("n").alias("jn")), "j", "left").join(known.select(F.col("word").alias("c"), F.col("n").alias("cn")), "c", "left")
+    return c.select("region_id", "a", "b", F.when(F.coalesce("cn", F.lit(0)) > F.coalesce("jn", F.lit(0)), F.col("c")).otherwise(F.col("j")).alias("item"))
+
+
+_ENDED = re.compile(r"""[.!?:;]["'”’)\]]*\Z""")
+
+
+def _repair(text: str, furniture: list[int], fixes: dict[str, str], half: tuple[str, str] | None, item) -> str:
+    """One region's text: furniture lines left out, parted and misread words put right, lines joined to a paragraph."""
+    lines = [x for x in text.replace("\r", "").split("\n") if x and not x.isspace()]
+    body = "\n".join(x.strip() for i, x in enumerate(lines) if i not in furniture)
+    for at, left, right in reversed(parted(body)):
+        tail = _BREAK.match(body, at)
+        word = item(left, right)
+        word = word[0].upper() + word[1:] if left[0].isupper() else word
+        body = body[: at - len(left)] + word + body[tail.end() + len(right) :]
+    if half and body.rstrip()[-1:] in _HYPHENS:
+        body = body.rstrip()
+        body = body[: len(body) - 1 - len(half[0])] + (half[1] if half[0][0].islower() else half[1].capitalize())
+    if fixes:
+        body = _TOKEN.sub(lambda m: fixes.get(m[0], m[0]), body)
+    return " ".join(body.split())
+
+
+def repaired_paragraphs(df: DataFrame, region_id: str = "region_id", doc_id: str = "doc_id", page: str = "page_no", node: str = "node_id", text: str = "text", created: str = "created_at", lexicon_share: float = 1e-6, ratio: float = 4.0) -> DataFrame:
+    """Rows (doc_id, page, node, text): each paragraph of running text, whole and readable, at the place where it begins.
+
+    A region that begins in the middle of a sentence belongs to the paragraph of the text before it; such chains are put together as
+    components, so no document has to fit one task. Regions delivered again count once (the latest). Tables and the like keep their lines."""
+    rows, words, totals = scan_rows(df, region_id, doc_id, page, node, text, lexicon_share, ratio)
+    furniture = written(_furniture(rows), "furniture")
+    halves = written(_halves(rows, furniture, words), "halves")
+    fixes = _best_neighbours(rows, words, totals, ratio).groupBy("region_id").agg(F.collect_set(F.concat_ws("\x01", "word", "item")).alias("fixes"))
+    gone = furniture.groupBy("region_id").agg(F.collect_set("line").alias("gone"))
+    ends = halves.groupBy("region_id").agg(F.min(F.concat_ws("\x01", "a", "item")).alias("half"))
+    joins = rows.filter("kind = 'H'").groupBy("region_id").agg(F.collect_set(F.concat_ws("\x01", "a", "b")).alias("joins"))
+    flows = rows.filter("kind = 'L' AND line = 0").select("region_id", "prose")
+    src = df.select(F.col(region_id).cast("long").alias("region_id"), F.col(doc_id).cast("string").alias("doc_id"), F.coalesce(F.col(page).cast("int"), F.lit(-1)).alias("page"), F.coalesce(F.col(node).cast("int"), F.lit(-1)).alias("node"),
+                    F.struct(F.col(created).cast("timestamp").isNotNull(), F.col(created).cast("timestamp"), F.col(region_id).cast("long")).alias("_o"), F.col(text).alias("text"))
+    newest = src.groupBy("doc_id", "page", "node").agg(F.max_by("region_id", "_o").alias("region_id")).select("region_id")
+    src = src.drop("_o").join(newest, "region_id", "left_semi").join(flows, "region_id")
+    for extra in (gone, fixes, ends, joins):
+        src = src.join(extra, "region_id", "left")
+
+    def make():
+        def run(docs, pages, nodes, texts, proses, gones, fixed, ended, joined):
+            out = []
+            for d, p, n, t, prose, g, f, e, j in zip(docs, pages, nodes, texts, proses, gones, fixed, ended, joined):
+                if not prose:
+                    kept = [x for i, x in enumerate(y for y in t.replace("\r", "").split("\n") if y and not y.isspace()) if i not in (g or ())]
+                    out.append((d, p, n, "\n".join(kept), False, False))
+                    continue
+                known = dict(x.split("\x01") for x in j or ())
+                half = tuple(e.split("\x01")) if e else None
+                body = _repair(t, g or [], dict(x.split("\x01") for x in f or ()), half, lambda a, b: known.get(a, (a + b).lower()))
+                out.append((d, p, n, body, body[:1].islower(), not _ENDED.search(body)))
+            return dict(zip(("doc_id", "page", "node", "text", "inside", "open"), map(list, zip(*out)))) if out else dict.fromkeys(("doc_id", "page", "node", "text", "inside", "open"), [])
+
+        return run
+
+    columns = {c: F.col(c) for c in ("doc_id", "page", "node", "text", "prose", "gone", "fixes", "half", "joins")}
+    done = map_columns(src, columns, make, "doc_id string, page int, node int, text string, inside boolean, open boolean").filter("text <> ''")
+    done = written(done.withColumn("id", F.monotonically_increasing_id()), "repaired")
+    before = done.filter("open").select(F.col("doc_id").alias("d"), F.col("page").alias("p"), F.col("node").alias("n"), F.col("id").alias("a"))
+    later = done.filter("inside").select("doc_id", "page", "node", F.col("id").alias("b"))
+    same = later.join(before, F.equal_null("doc_id", "d") & (F.col("p") == F.col("page")) & (F.col("n") < F.col("node"))).groupBy("b").agg(F.max_by("a", "n").alias("a"))
+    ended_page = before.groupBy("d", "p").agg(F.max_by("a", "n").alias("a"))
+    over = later.join(same.select("b"), "b", "left_anti").join(ended_page, F.equal_null("doc_id", "d") & (F.col("p") == F.col("page") - 1)).select("b", "a")
+    links = same.select("a", "b").unionByName(over.select("a", "b"))
+    place = done.select("id", "doc_id").withColumn("doc_id", F.coalesce("doc_id", F.lit("")))
+    edges = links.join(place.withColumnRenamed("id", "b"), "b").select("doc_id", "a", "b")
+    labels = components(place, edges).select("id", "label")
+    whole = done.join(labels, "id").withColumn("starts", F.struct("page", "node"))
+    drop_first = lambda x, k: F.when((k > 0) & F.coalesce(x["cut"], F.lit(False)), F.regexp_replace(x["text"], r"^\S+\s*", "")).otherwise(x["text"])
+    cut = halves.select("region_id").join(df.select(F.col(region_id).cast("long").alias("region_id"), F.col(doc_id).cast("string").alias("doc_id"), F.coalesce(F.col(page).cast("int"), F.lit(-1)).alias("page"), F.coalesce(F.col(node).cast("int"), F.lit(-1)).alias("node")), "region_id")
+    cut = cut.join(done.select(F.col("doc_id").alias("d"), F.col("page").alias("p"), F.col("node").alias("n"), "id"), F.equal_null("doc_id", "d") & (F.col("page") == F.col("p")) & (F.col("node") == F.col("n")))
+    cut = cut.select(F.col("id").alias("a")).join(links, "a").select(F.col("b").alias("id"), F.lit(True).alias("cut")).distinct()
+    whole = whole.join(cut, "id", "left")
+    parts = F.array_sort(F.collect_list(F.struct("page", "node", "text", "cut")))
+    out = whole.groupBy("doc_id", "label").agg(F.min("starts").alias("s"), parts.alias("x"))
+    return out.select("doc_id", "s.page", "s.node", F.array_join(F.transform("x", drop_first), " ").alias("text"))
+
+
 def scan_noise(df: DataFrame, region_id: str = "region_id", doc_id: str = "doc_id", page: str = "page_no", node: str = "node_id", text: str = "text", lexicon_share: float = 1e-6, ratio: float = 4.0) -> DataFrame:
     """Rows (region_id, noise_kind, item), each once: ``hyphen_split``, ``misread_char``, ``running_header`` and ``page_number``."""
     rows, words, totals = scan_rows(df, region_id, doc_id, page, node, text, lexicon_share, ratio)
     furniture = written(_furniture(rows), "furniture")
     in_line = rows.filter("kind = 'H'").join(furniture.select("region_id", "line"), ["region_id", "line"], "left_anti").select("region_id", F.col("b").alias("item"))
-    carried = _carried_on(rows, furniture)
-    known = words.filter(F.col("word") != "").select("word", "n")
-    joined, compound = F.lower(F.concat("a", "b")), F.lower(F.concat_ws("-", "a", "b"))
-    carried = carried.select("region_id", joined.alias("j"), compound.alias("c"))
-    carried = carried.join(known.select(F.col("word").alias("j"), F.col("n").alias("jn")), "j", "left").join(known.select(F.col("word").alias("c"), F.col("n").alias("cn")), "c", "left")
-    carried = carried.select("region_id", F.when(F.coalesce("cn", F.lit(0)) > F.coalesce("jn", F.lit(0)), F.col("c")).otherwise(F.col("j")).alias("item"))
+    carried = _halves(rows, furniture, words).select("region_id", "item")
     misread = _best_neighbours(rows, words, totals, ratio).join(furniture.select("region_id", "line"), ["region_id", "line"], "left_anti").select("region_id", "item")
     out = in_line.withColumn("noise_kind", F.lit("hyphen_split")).unionByName(carried.withColumn("noise_kind", F.lit("hyphen_split"))).unionByName(misread.withColumn("noise_kind", F.lit("misread_char")))
     return out.select("region_id", "noise_kind", "item").unionByName(furniture.select("region_id", "noise_kind", "item")).distinct()

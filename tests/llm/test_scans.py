@@ -57,3 +57,22 @@ def test_scan_noise(spark):
         (9008, "running_header", "NESKTON MILLS / STATION REP0RT"), (9009, "running_header", "NESKTON MILLS / STATION REPORT"),
     }
     assert scan_noise(df.limit(0)).count() == 0
+
+
+def test_paragraphs(spark):
+    from leafgraph.llm.scans import repaired_paragraphs
+
+    rows, _ = corpus()
+    t = "2026-01-01 00:00:00"
+    add = [
+        (9001, "n", 1, 0, "Neskton Mills / station report   1\nThe c1erk of the rnodern station and the year-\nend letter of the gar-\nden and each recom-\n1", t, "x"),
+        (9003, "n", 2, 0, "Neskton Mills / station report   2\nmended of the number and each clerk of the garden.\n2", t, "x"),
+        (9004, "n", 2, 1, "Item    Cost\nA    2\nB    3", t, "x"), (9005, "n", 2, 2, None, t, "x"), (9006, None, 1, 0, "the clerk of the garden and the harbor of the letter.", t, "x"),
+    ]
+    df = spark.createDataFrame(rows + add, SCHEMA)
+    got = {(r.doc_id, r.page, r.node): r.text for r in repaired_paragraphs(df).collect() if r.doc_id in ("n", None)}
+    assert got == {
+        ("n", 1, 0): "The clerk of the modern station and the year-end letter of the garden and each recommended of the number and each clerk of the garden.",
+        ("n", 2, 1): "Item    Cost\nA    2\nB    3", (None, 1, 0): "the clerk of the garden and the harbor of the letter.",
+    }
+    assert repaired_paragraphs(df.limit(0)).count() == 0
