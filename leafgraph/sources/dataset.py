@@ -59,9 +59,12 @@ def still_to_do(images: DataFrame, done: DataFrame, key: str) -> DataFrame:
     return images.join(done.select(key).distinct(), key, "left_anti")
 
 
-def read_parquet(spark, path: str, *columns: str) -> DataFrame:
-    """Parquet files of a folder; unreadable ones are skipped, only the named columns are read, ``file`` is the base name of each row's file."""
-    df = spark.read.option("ignoreCorruptFiles", "true").option("recursiveFileLookup", "true").parquet(path)
+def read_parquet(spark, path: str, *columns: str, schema=None) -> DataFrame:
+    """Parquet files of a folder; unreadable ones are skipped, only the named columns are read, ``file`` is the base name of each row's file.
+
+    Without a schema it is taken from one file, which must be readable then."""
+    reader = spark.read.option("ignoreCorruptFiles", "true").option("recursiveFileLookup", "true")
+    df = (reader.schema(schema) if schema else reader).parquet(path)
     df = df.select("*", F.col("_metadata.file_name").alias("file"))
     return df.select(*columns, "file") if columns else df
 
