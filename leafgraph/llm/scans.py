@@ -155,6 +155,31 @@ def parted(text: str) -> list[tuple[int, str, str]]:
     return out
 
 
+class _Ids(dict):
+    """Numbers of tokens as they stand: lower-case words have one each, other words a context-only number, plain numbers none (0)."""
+
+    def __init__(self):
+        self.names = [""]
+        self.buckets = [_bucket("")]
+        self.at: dict[str, int] = {}
+
+    def __missing__(self, token: str) -> int:
+        if token.islower():
+            key = token
+        elif token.isdigit():
+            self[token] = 0
+            return 0
+        else:
+            key = token.lower() + "\x00"
+        i = self.at.get(key)
+        if i is None:
+            i = self.at[key] = len(self.names)
+            self.names.append(key)
+            self.buckets.append(_bucket(key.rstrip("\x00")))
+        self[token] = i
+        return i
+
+
 class _Learner:
     """Counts and context counts of the words of one task; flushed when they grow large, so memory is bounded."""
 
@@ -163,36 +188,30 @@ class _Learner:
         self.clear()
 
     def clear(self) -> None:
-        self.ids: dict[str, int] = {"": 0}
+        self.ids = _Ids()
         self.codes: list[np.ndarray] = []
         self.cells = np.empty(0, np.int64), np.empty(0, np.int64)
         self.counts = np.zeros(1, np.int64)
         self.pending = 0
 
     def __call__(self, texts):
-        ids, flat = self.ids, []
+        number, flat = self.ids.__getitem__, [0]
         for t in texts:
             if t:
+                flat.extend(map(number, plain_words(t)))
                 flat.append(0)
-                for w in plain_words(t):
-                    w = w if w.islower() else "" if w.isdigit() else w.lower() + "\x00"  # other words are contexts only
-                    i = ids.get(w)
-                    if i is None:
-                        i = ids[w] = len(ids)
-                    flat.append(i)
-        flat.append(0)
+        n = len(self.ids.names)
         x = np.array(flat, np.int64)
-        names = list(ids)
-        buckets = np.fromiter((_bucket(w.rstrip("\x00")) for w in names), np.int64, len(names)) if len(names) < 50_000 else np.array([_bucket(w.rstrip("\x00")) for w in names])
+        buckets = np.array(self.ids.buckets, np.int64)
         left = x[1:] * (2 * BUCKETS) + buckets[x[:-1]]
         right = x[:-1] * (2 * BUCKETS) + BUCKETS + buckets[x[1:]]
         self.codes += [left[x[1:] > 0], right[x[:-1] > 0]]
         self.pending += len(x)
-        self.counts = self.counts + 0 if len(self.counts) >= len(ids) else np.pad(self.counts, (0, len(ids) - len(self.counts)))
-        self.counts += np.bincount(x, minlength=len(ids))
+        self.counts = np.pad(self.counts, (0, max(0, n - len(self.counts))))
+        self.counts += np.bincount(x, minlength=n)
         if self.pending > 2_000_000:
             self._fold()
-        if len(ids) > self.most:
+        if n > self.most:
             return self._rows()
         return {"word": [], "n": [], "at": [], "c": []}
 
@@ -208,10 +227,10 @@ class _Learner:
         self._fold()
         keys, n = self.cells
         word, at = keys // (2 * BUCKETS), (keys % (2 * BUCKETS)).astype(np.int32)
-        cut = np.searchsorted(word, np.arange(len(self.ids) + 1))
+        names = self.ids.names
+        cut = np.searchsorted(word, np.arange(len(names) + 1))
         out: dict[str, list] = {"word": [], "n": [], "at": [], "c": []}
         total = np.bincount(at, n, 2 * BUCKETS)
-        names = list(self.ids)
         for i in range(1, len(names)):
             if names[i][-1] != "\x00":
                 lo, hi = cut[i], cut[i + 1]
@@ -345,9 +364,9 @@ class _Reader:
             if not prose or not (suspects := self.suspects(words)):
                 continue
             for i, line in enumerate(self.whole_lines(lines[: last + 1]) if breaks else lines[: last + 1]):
-                own = _TOKEN.findall(line)
-                if suspects.keys().isdisjoint(own):
+                if not any(map(line.__contains__, suspects)):
                     continue
+                own = _TOKEN.findall(line)
                 if len(own) > 4 and sum(x.lower() in lexicon for x in own) * 3 < len(own):
                     continue  # no running text
                 for k, w in enumerate(own):
