@@ -58,4 +58,22 @@ QUERIES = {
     "p8_profile": lambda s, d: level_profile(_levels(s, d)),
 }
 
-ORACLE: dict[str, str] = {}
+_OVERLAPS = """
+WITH r AS (
+  SELECT DISTINCT qa_id, doc_id, CASE WHEN s = 'train' THEN 'train' WHEN s IN ('val', 'validation') THEN 'validation' WHEN s = 'test' THEN 'test' END AS split, list_sort(list_distinct(regexp_extract_all(lower(question), '[\\p{L}\\p{N}]+'))) AS words
+  FROM (SELECT *, lower(trim(split)) AS s FROM qa_pairs) WHERE qa_id IS NOT NULL AND question IS NOT NULL AND split IS NOT NULL),
+k AS (SELECT *, row_number() OVER () AS k, len(words) AS n FROM r WHERE split IS NOT NULL AND len(words) > 0),
+w AS (SELECT k, split = 'train' AS train, unnest(words) AS word FROM k),
+c AS (SELECT e.k AS ek, t.k AS tk, count(*) AS common FROM w e JOIN w t ON e.word = t.word AND NOT e.train AND t.train GROUP BY ALL),
+found AS (
+  SELECT DISTINCT e.qa_id AS eval_id, t.qa_id AS train_id FROM c JOIN k e ON e.k = ek JOIN k t ON t.k = tk
+  WHERE common >= 0.7 * (e.n + t.n - common) - 1e-9 AND ((e.n >= 12 AND t.n >= 12) OR e.doc_id = t.doc_id) AND e.qa_id <> t.qa_id)
+"""
+
+ORACLE = {
+    "p4_found": _OVERLAPS + "SELECT DISTINCT least(train_id, eval_id) AS qa_id_a, greatest(train_id, eval_id) AS qa_id_b FROM found",
+    "p4_report": _OVERLAPS
+    + """, each AS (SELECT eval_id, count(*) AS pairs FROM found GROUP BY 1),
+about AS (SELECT DISTINCT qa_id AS eval_id, CASE WHEN lower(trim(split)) IN ('val', 'validation') THEN 'validation' ELSE 'test' END AS split, source FROM qa_pairs WHERE lower(trim(split)) IN ('val', 'validation', 'test'))
+SELECT split, source, sum(pairs) AS pairs, count(*) AS eval_records FROM each JOIN about USING (eval_id) GROUP BY ALL""",
+}
