@@ -113,9 +113,10 @@ def page_number(line: str) -> tuple[int, bool] | None:
     return None if v is None else (v, bool(m[1]) and m[1][0] not in "$€£+")
 
 
-# Glyphs that stand for each other, as one sign of a skeleton.
-_FOLD_PAIRS = (("rn", "m"), ("nn", "m"), ("ri", "n"), ("cl", "d"), ("vv", "w"), ("ii", "u"), ("iv", "w"))
-_FOLD = str.maketrans("0oaec1lit|f59qg682zvu", "oooooiiiiiisgggbbzzuu") | {ord("h"): "b"}
+# Glyphs that are read for each other, as one sign of a skeleton; a glyph that falls apart is written as its parts.
+_SAME = {"o": "0aec", "i": "1lt|f", "s": "5", "g": "9q", "b": "68h", "z": "2"}
+_PARTS = {"d": "oi", "n": "ri", "m": "rri", "w": "vv", "u": "ii"}
+_FOLD = str.maketrans({x: k for k, v in _SAME.items() for x in v} | _PARTS)
 _AT_ENDS = re.compile(rf"^(?:\W*(?:{_NUMBER})\W*\s{{2,}})|(?:\s{{2,}}\W*(?:{_NUMBER})\W*)$")
 _CELLS = re.compile(r"\t|\||\S {4,}\S")
 
@@ -127,11 +128,7 @@ def skeleton(line: str) -> str | None:
         line = _AT_ENDS.sub(" ", line).strip()
     if not 6 <= len(line) <= 120 or line[-1] in ".!?;,:" or " " not in line or _CELLS.search(line):
         return None
-    low = line.lower()
-    for a, b in _FOLD_PAIRS:
-        if a in low:
-            low = low.replace(a, b)
-    low = "".join(_WORD.findall(low.translate(_FOLD)))
+    low = "".join(_WORD.findall(line.replace("F", "E").lower().translate(_FOLD)))
     return low if len(low) >= 5 else None
 
 
@@ -347,6 +344,8 @@ class _Reader:
                 if num is None and i < 3 and heads < 2:
                     skel = skeleton(lines[i])
                     heads += 1
+                if num is None and i > 2:
+                    continue  # the last line is of interest as a page number only
                 rows.append(("L", *here, i, n, prose, lines[i].strip(), None, skel, num and num[0], num and num[1], None, None, None, None))
             last = n - 1
             while last > 0 and page_number(lines[last]):
@@ -422,6 +421,7 @@ def _top_lines(rows: DataFrame, top: int) -> DataFrame:
     before = F.least(F.coalesce(F.sum("lines").over(earlier), F.lit(0)), F.when(F.col("flows"), F.coalesce(F.sum(flowing).over(earlier), F.lit(0))))
     after = F.least(F.coalesce(F.sum("lines").over(later), F.lit(0)), F.when(F.col("flows"), F.coalesce(F.sum(flowing).over(later), F.lit(0))))
     regions = regions.select(*place, before.alias("before"), (after == 0).alias("is_last"))
+    lines = lines.filter("num IS NOT NULL OR skel IS NOT NULL")
     joined = lines.join(regions, [F.equal_null(lines[k], regions[k]) for k in place]).drop(*(regions[k] for k in place))
     return joined.withColumn("above", F.col("before") + F.col("line")).withColumn("bottom", F.col("is_last") & (F.col("line") == F.col("lines") - 1))
 
@@ -429,7 +429,9 @@ def _top_lines(rows: DataFrame, top: int) -> DataFrame:
 def _furniture(rows: DataFrame, top: int = 3) -> DataFrame:
     """Rows (region_id, line, noise_kind, item) of page numbers and running headers."""
     lines = _top_lines(rows, top)
-    numbers = lines.filter(F.col("num").isNotNull() & ((F.col("above") < top) | F.col("bottom"))).withColumn("apart", F.col("num") - F.col("page"))
+    is_number = F.col("num").isNotNull() & ((F.col("above") < top) | F.col("bottom"))
+    lines = written(lines.filter(is_number | (F.col("skel").isNotNull() & (F.col("above") < top))), "edges")
+    numbers = lines.filter(is_number).withColumn("apart", F.col("num") - F.col("page"))
     agree = numbers.groupBy("doc_id", "apart").agg(F.count_distinct("page").alias("pages"))
     numbers = numbers.join(agree, [F.equal_null(numbers["doc_id"], agree["doc_id"]), numbers["apart"] == agree["apart"]]).drop(agree["doc_id"], agree["apart"])
     bare_ok = (F.col("pages") > 1) | F.col("prose") | ((F.col("lines") == 1) & (F.col("apart") == 0))

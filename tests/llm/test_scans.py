@@ -13,7 +13,8 @@ def test_page_numbers(line, value):
 
 
 def test_skeletons():
-    assert skeleton("4   Jornlow Mills / publication order") == skeleton("Jornlow Mills / publication order   5") == skeleton("Jornlow Mi1ls / publicatiori order")
+    assert skeleton("4   Jornlow Mills / publication order") == skeleton("Jornlow Mills / publication order   5") == skeleton("Jornlow Mi1ls / publicatiori order") == skeleton("Jorn1ow Mil1s / pub1ication ordcr")
+    assert skeleton("FELKTON PRESS : MODERN CLERK") == skeleton("FFLKTON PRESS : M0DERN CLFRK") and skeleton("Felkton modern clerk") == skeleton("Fclkton rnodern c1erk")
     assert skeleton("Item    Cost    Share") is None and skeleton("The clerk counted it.") is None and skeleton("Item") is None
 
 
