@@ -51,14 +51,15 @@ def _near_edges(df: DataFrame, id_: str, extra: list[str], across: tuple[str, st
 
     ``band``: first and last bin of a second direction that both must share; a pair is kept in its first shared bin only."""
     lo, hi = across
-    df = df.withColumns({"_w": F.greatest(reach, F.lit(1.0))}).withColumn("_reach", reach)
+    # Cells four times the reach: a token stands in one, and its partners are sought in one or two.
+    df = df.withColumns({"_w": 4 * F.greatest(reach, F.lit(1.0))}).withColumn("_reach", reach)
     if band:
         df = df.withColumns({"_b1": band[0], "_b2": band[1]}).withColumn("_bin", F.explode(F.sequence("_b1", "_b2")))
     else:
         df = df.withColumns({"_b1": F.lit(0), "_bin": F.lit(0)})
     cols = [id_, *BOUNDS, *extra]
     a = df.select("doc_id", "_bin", F.col("_b1").alias("_a1"), "_reach", F.floor(F.col(hi) / F.col("_w")).alias("_cell"), *(F.col(c).alias("a_" + c) for c in cols))
-    near = F.sequence(F.floor(F.col(lo) / F.col("_w")) - 1, F.floor(F.col(lo) / F.col("_w")) + 1)
+    near = F.sequence(F.floor((F.col(lo) - F.col("_reach")) / F.col("_w")), F.floor((F.col(lo) + F.col("_reach")) / F.col("_w")))
     b = df.select("doc_id", "_bin", F.col("_b1").alias("_c1"), F.explode(near).alias("_cell"), *(F.col(c).alias("b_" + c) for c in cols))
     pairs = a.join(b, ["doc_id", "_bin", "_cell"])
     return pairs.filter((F.col("_bin") == F.greatest("_a1", "_c1")) & (F.col("a_" + id_) != F.col("b_" + id_)) & (F.abs(F.col("a_" + hi) - F.col("b_" + lo)) < F.col("_reach")))
@@ -67,7 +68,7 @@ def _near_edges(df: DataFrame, id_: str, extra: list[str], across: tuple[str, st
 def token_pairs(tokens: DataFrame, config: LayoutConfig = LayoutConfig()) -> DataFrame:
     """Tokens that lie in one line: (doc_id, a, b)."""
     t = tokens.join(medians(tokens, "doc_id", config=config), "doc_id")
-    pad, size = config.center_share * F.col("line_height"), F.greatest("line_height", F.lit(1.0))
+    pad, size = config.center_share * F.col("line_height"), 4 * F.greatest("line_height", F.lit(1.0))
     band = (F.floor((F.col("ymin") - pad) / size), F.floor((F.col("ymax") + pad) / size))
     p = _near_edges(t, "token_id", ["line_height"], ("xmin", "xmax"), config.gap_chars * F.col("char_width"), band)
     level = F.abs(g.center_y("a_") - g.center_y("b_")) < config.center_share * F.col("a_line_height")
@@ -76,7 +77,8 @@ def token_pairs(tokens: DataFrame, config: LayoutConfig = LayoutConfig()) -> Dat
 
 
 def tokens_of_lines(tokens: DataFrame, config: LayoutConfig = LayoutConfig()) -> DataFrame:
-    """Tokens with the label of their line, the smallest token id in it."""
+    """Tokens with the label of their line, the smallest token id in it. The tokens are read three times, so they are written first."""
+    tokens = written(tokens, "tokens")
     labels = components(tokens.select("doc_id", F.col("token_id").alias("id")), token_pairs(tokens, config))
     return tokens.join(labels.withColumnRenamed("id", "token_id"), ["doc_id", "token_id"])
 
@@ -262,7 +264,7 @@ def regions(scored: DataFrame, config: LayoutConfig = LayoutConfig()) -> DataFra
 
 def analyze(tokens: DataFrame, config: LayoutConfig = LayoutConfig()) -> dict[str, DataFrame]:
     """All stages: labelled tokens, lines, block lines, hypotheses and regions. What several stages read is written once."""
-    labelled = written(tokens_of_lines(usable(tokens), config), "tokens")
+    labelled = written(tokens_of_lines(usable(written(tokens, "pages")), config), "tokens")
     raw = lines(labelled)
     block_lines = written(lines_of_blocks(written(form_split(raw), "lines"), config), "blocks")
     scored = hypotheses(block_features(block_lines, labelled, config))
