@@ -219,6 +219,28 @@ def block_features(block_lines: DataFrame, labelled: DataFrame, config: LayoutCo
     return out.fillna(0, ["num_cols", "text_cols", "aligned", "token_n", "ticks", "right_n", "full_cells"])
 
 
+def _weighted(parts: dict[str, Column], weights: dict[str, float]) -> Column:
+    total = F.lit(0.0)
+    for name, weight in weights.items():
+        total = total + parts[name] * weight
+    return total
+
+
+# Weights and limits of the four detectors.
+TABLE_WEIGHTS = {"columns": 0.3, "stability": 0.25, "consistency": 0.2, "several": 0.15, "spacing": 0.1}
+TABLE_FULL_COLUMNS, TABLE_LEAST_LINES, TABLE_LEAST_TOKENS = 10.0, 2, 5
+FORM_PATTERN_SCORE, FORM_PATTERN_WEIGHT = 0.9, 0.1
+FORM_WEIGHTS = {"colon": 0.4, "short": 0.3, "uneven": 0.2, "left": 0.1}
+FORM_ELSE_WEIGHTS = {"colon": 0.3, "left": 0.2}
+BOOSTS = {"pattern": -0.3, "form": -0.2}
+JUSTIFIED_WEIGHTS = {"edges": 0.4, "long": 0.3, "length": 0.3}
+JUSTIFIED_LIMITS = {"left": 0.8, "right": 0.7, "long": 0.5, "length": 50}
+FIGURE_WEIGHTS = {"empty": 0.5, "ticks": 0.3, "legend": 0.2}
+FIGURE_FULL_TICKS, FIGURE_LEGEND_TOKENS, FIGURE_CELLS = 10, 3, 100
+TEXT_WEIGHTS = {"length": 0.5, "spacing": 0.5, "justified": 0.3}
+FULL_LENGTH = 100
+
+
 def hypotheses(features: DataFrame) -> DataFrame:
     """The four scores of each block, with the flag that each detector sets (which decides nothing)."""
     c = F.col
@@ -227,26 +249,31 @@ def hypotheses(features: DataFrame) -> DataFrame:
     multi, stable = c("multi") / n, c("aligned") / n
     spread = F.when(c("m_gap") > 0, c("sd_gap") / c("m_gap")).otherwise(1.0)
     cols = c("num_cols")
-    can_table = (n >= 2) & (c("token_n") >= 5)
-    table = F.when(can_table, cols / 10.0 * 0.3 + stable * 0.25 + consistency * 0.2 + multi * 0.15 + (1 - F.least(one, spread)) * 0.1).otherwise(0.0)
+    can_table = (n >= TABLE_LEAST_LINES) & (c("token_n") >= TABLE_LEAST_TOKENS)
+    parts = {"columns": cols / TABLE_FULL_COLUMNS, "stability": stable, "consistency": consistency, "several": multi, "spacing": 1 - F.least(one, spread)}
+    table = F.when(can_table, _weighted(parts, TABLE_WEIGHTS)).otherwise(0.0)
     is_table = can_table & (cols >= 2) & (((stable >= 0.5) & (spread < 0.4)) | ((consistency >= 0.6) & (multi >= 0.6)) | ((cols >= 3) & (stable >= 0.4)))
     left, right = _even(c("sd_left"), c("m_left")), _even(c("sd_right"), c("m_right"))
     uneven = c("sd_len") / F.greatest(c("avg_len"), one)
     colon, short, long, avg = c("keyvalue_ratio"), c("short_share"), c("long_share"), c("avg_len")
-    justified = (left >= 0.8) & (right >= 0.7) & (long >= 0.5) & (avg > 50)
+    limit = JUSTIFIED_LIMITS
+    justified = (left >= limit["left"]) & (right >= limit["right"]) & (long >= limit["long"]) & (avg > limit["length"])
     true_form = ((colon >= 0.25) & (short >= 0.3) & (uneven > 0.25)) | ((colon >= 0.1) & (left >= 0.65) & (right < 0.65) & (short >= 0.25))
+    looks = {"colon": colon, "short": short, "uneven": uneven, "left": left}
     form = (
-        F.when(n < 2, 0.0).when(c("has_pattern"), 0.9 + colon * 0.1).when(justified, 0.0).when(true_form, colon * 0.4 + short * 0.3 + uneven * 0.2 + left * 0.1).otherwise(colon * 0.3 + left * 0.2)
+        F.when(n < 2, 0.0).when(c("has_pattern"), FORM_PATTERN_SCORE + colon * FORM_PATTERN_WEIGHT).when(justified, 0.0).when(true_form, _weighted(looks, FORM_WEIGHTS)).otherwise(_weighted(looks, FORM_ELSE_WEIGHTS))
     )
+    block_look = {"edges": (left + right) / 2, "long": long, "length": F.least(one, avg / FULL_LENGTH)}
     boost = (
-        F.when(n < 2, 0.0).when(c("has_pattern"), -0.3).when(justified, (left + right) / 2 * 0.4 + long * 0.3 + F.least(one, avg / 100) * 0.3).when(true_form, -0.2).otherwise(0.0)
+        F.when(n < 2, 0.0).when(c("has_pattern"), BOOSTS["pattern"]).when(justified, _weighted(block_look, JUSTIFIED_WEIGHTS)).when(true_form, BOOSTS["form"]).otherwise(0.0)
     )
     flat = (c("xmax") == c("xmin")) | (c("ymax") == c("ymin"))
-    empty, legend = 1 - c("full_cells") / 100, c("right_n") >= 3
-    figure = F.when(flat, 0.0).otherwise(empty * 0.5 + F.least(one, c("ticks") / 10) * 0.3 + F.when(legend, 0.2).otherwise(0.0))
+    empty, legend = 1 - c("full_cells") / FIGURE_CELLS, c("right_n") >= FIGURE_LEGEND_TOKENS
+    seen = {"empty": empty, "ticks": F.least(one, c("ticks") / FIGURE_FULL_TICKS), "legend": legend.cast("double")}
+    figure = F.when(flat, 0.0).otherwise(_weighted(seen, FIGURE_WEIGHTS))
     even = F.coalesce(_even(c("sd_gap"), c("m_gap")), F.lit(0.0))
-    jb = F.when(justified, 0.3).otherwise(0.0)
-    text = F.when(n < 2, 0.0).otherwise(F.least(one, F.least(one, avg / 100) * 0.5 + even * 0.5 + jb + boost))
+    jb = F.when(justified, TEXT_WEIGHTS["justified"]).otherwise(0.0)
+    text = F.when(n < 2, 0.0).otherwise(F.least(one, F.least(one, avg / FULL_LENGTH) * TEXT_WEIGHTS["length"] + even * TEXT_WEIGHTS["spacing"] + jb + boost))
     is_text = (n >= 2) & (((avg >= 30) & (even >= 0.6) & (c("text_cols") <= 2)) | (jb > 0) | (boost > 0))
     flags = {"table": is_table, "form": (n >= 2) & (c("has_pattern") | (true_form & ~justified)), "figure": ~flat & (empty >= 0.3) & ((c("ticks") >= 5) | legend), "text": is_text}
     scores = {"table": table, "form": form, "figure": figure, "text": text}

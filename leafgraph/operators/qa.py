@@ -18,6 +18,27 @@ from leafgraph.functions import tokens as T
 from leafgraph.functions.textnorm import collapse, strip
 from leafgraph.operators.graph import KEYS
 
+# The texts of questions and answers; braces stand for what is put in.
+ASK_FIELD = "What is the {}?"
+ASK_HEADERS = "What are the column headers in the table?"
+ASK_ROWS = "How many data rows are in the table (excluding the header)?"
+ASK_CELL = "What is the {} for {}?"
+ASK_FIGURE = "What does the figure show?"
+ASK_TABLE_TITLE = "What information does '{}' present?"
+ASK_FIGURE_TITLE = "What does '{}' illustrate?"
+ASK_SUMMARY = "What is the main topic or content discussed in this section?"
+SAY_ROWS = "Data rows detected: {}"
+SAY_COLUMNS = "The table shows data with columns: {}."
+SAY_MORE_ROWS = " It contains {} data rows."
+SAY_FIGURE = "The figure illustrates the referenced data."
+
+
+def filled(template: str, *values: Column) -> Column:
+    """A text with its braces filled from columns."""
+    parts = template.split("{}")
+    return F.concat(F.lit(parts[0]), *(x for v, p in zip(values, parts[1:]) for x in (v, F.lit(p))))
+
+
 LINES = r"\r\n|[\n\r\x{0b}\x{0c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
 
 # --- forms --------------------------------------------------------------------------------------------------------------------------
@@ -102,7 +123,7 @@ def form_qas(nodes: DataFrame, config: QAConfig = QAConfig()) -> DataFrame:
     f = form_fields(_of(nodes, "form"), *KEYS, "node_id")
     w = Window.partitionBy(*KEYS, "node_id").orderBy("line", "field")
     f = f.withColumn("place", F.row_number().over(w) - 1).filter(F.col("place") < config.max_form)
-    q = _qa(F.concat(F.lit("What is the "), "key", F.lit("?")), F.col("value"), F.array("node_id"), F.array(F.concat("key", F.lit(": "), "value")), "lookup", F.lit("The value stands beside its label in the form."))
+    q = _qa(filled(ASK_FIELD, F.col("key")), F.col("value"), F.array("node_id"), F.array(F.concat("key", F.lit(": "), "value")), "lookup", F.lit("The value stands beside its label in the form."))
     return f.select(*KEYS, "node_id", "place", q.alias("q")).select(*KEYS, "node_id", "place", "q.*")
 
 
@@ -111,11 +132,11 @@ def table_qas(nodes: DataFrame, config: QAConfig = QAConfig()) -> DataFrame:
     header, data = F.col("rows")[0], F.slice("rows", 2, F.greatest(F.size("rows") - 1, F.lit(0)))
     me = F.array("node_id")
     n = F.size("rows") - 1
-    first = _qa(F.lit("What are the column headers in the table?"), F.array_join(header, ", "), me, F.array(F.array_join(header, " | ")), "lookup", F.lit("The first row names the columns."))
-    count = _qa(F.lit("How many data rows are in the table (excluding the header)?"), n.cast("string"), me, F.array(F.concat(F.lit("Data rows detected: "), n.cast("string"))), "lookup", F.lit("The rows below the header are counted."))
+    first = _qa(F.lit(ASK_HEADERS), F.array_join(header, ", "), me, F.array(F.array_join(header, " | ")), "lookup", F.lit("The first row names the columns."))
+    count = _qa(F.lit(ASK_ROWS), n.cast("string"), me, F.array(filled(SAY_ROWS, n.cast("string"))), "lookup", F.lit("The rows below the header are counted."))
 
     def cell(r: Column) -> Column:
-        return _qa(F.concat(F.lit("What is the "), header[1], F.lit(" for "), r[0], F.lit("?")), r[1], me, F.array(F.array_join(r, " | ")), "lookup", F.lit("The cell where row and column meet."))
+        return _qa(filled(ASK_CELL, header[1], r[0]), r[1], me, F.array(F.array_join(r, " | ")), "lookup", F.lit("The cell where row and column meet."))
 
     cells = F.transform(F.filter(F.slice(data, 1, 3), lambda r: r[1] != ""), cell)
     return _listed(t, F.concat(F.array(first, count), cells), config.max_table)
@@ -123,7 +144,7 @@ def table_qas(nodes: DataFrame, config: QAConfig = QAConfig()) -> DataFrame:
 
 def figure_qas(nodes: DataFrame, config: QAConfig = QAConfig()) -> DataFrame:
     f = _of(nodes, "figure").withColumn("t", collapse(F.coalesce("text", F.lit("")))).filter("t <> ''")
-    q = _qa(F.lit("What does the figure show?"), F.col("t"), F.array("node_id"), F.array(F.substring("text", 1, config.quote_chars)), "lookup", F.lit("The figure's own text describes it."))
+    q = _qa(F.lit(ASK_FIGURE), F.col("t"), F.array("node_id"), F.array(F.substring("text", 1, config.quote_chars)), "lookup", F.lit("The figure's own text describes it."))
     return _listed(f, F.array(q), config.max_figure)
 
 
@@ -153,12 +174,12 @@ def titles(nodes: DataFrame, edges: DataFrame, config: QAConfig = QAConfig()) ->
 def title_qas(nodes: DataFrame, edges: DataFrame, config: QAConfig = QAConfig()) -> DataFrame:
     t = titles(nodes, edges, config).withColumns({"t": collapse(F.coalesce("text", F.lit(""))), "rows": parse_table(F.coalesce("text", F.lit("")))})
     is_table = F.col("category") == "table"
-    question = F.when(is_table, F.concat(F.lit("What information does '"), "title", F.lit("' present?"))).otherwise(F.concat(F.lit("What does '"), "title", F.lit("' illustrate?")))
+    question = F.when(is_table, filled(ASK_TABLE_TITLE, F.col("title"))).otherwise(filled(ASK_FIGURE_TITLE, F.col("title")))
     n = F.size("rows")
-    columns = F.concat(F.lit("The table shows data with columns: "), F.array_join(F.get("rows", F.lit(0)), ", "), F.lit("."))
-    counted = F.when(n > 1, F.concat(F.lit(" It contains "), (n - 1).cast("string"), F.lit(" data rows."))).otherwise("")
+    columns = filled(SAY_COLUMNS, F.array_join(F.get("rows", F.lit(0)), ", "))
+    counted = F.when(n > 1, filled(SAY_MORE_ROWS, (n - 1).cast("string"))).otherwise("")
     table = F.when(n > 0, F.concat(columns, counted)).otherwise(F.substring("t", 1, config.fallback_chars))
-    figure = F.when(F.col("t") != "", F.col("t")).otherwise("The figure illustrates the referenced data.")
+    figure = F.when(F.col("t") != "", F.col("t")).otherwise(SAY_FIGURE)
     q = _qa(question, F.when(is_table, table).otherwise(figure), F.array("title_id", "node_id"), F.array("title", F.substring("t", 1, config.quote_chars)), "coreference",
             F.concat(F.lit("The title belongs to the "), "category", F.lit(" beside it.")))
     return _listed(t, F.array(q), 1)
@@ -172,7 +193,7 @@ def summary_qas(nodes: DataFrame, config: QAConfig = QAConfig()) -> DataFrame:
     ws = F.split("t", " ")
     short = F.array_join(F.slice(ws, 1, config.summary_words), " ")
     answer = F.when(F.size(ws) > config.summary_words, F.concat(short, F.lit("..."))).otherwise(short)
-    q = _qa(F.lit("What is the main topic or content discussed in this section?"), answer, F.array("node_id"), F.array(F.substring("t", 1, config.quote_chars)), "comprehension", F.lit("The beginning of the text sums it up."))
+    q = _qa(F.lit(ASK_SUMMARY), answer, F.array("node_id"), F.array(F.substring("t", 1, config.quote_chars)), "comprehension", F.lit("The beginning of the text sums it up."))
     return t.select(*KEYS, "node_id", "place", q.alias("q")).select(*KEYS, "node_id", "place", "q.*")
 
 
