@@ -53,11 +53,17 @@ raw_lines AS (SELECT doc_id, label, string_agg(text, ' ' ORDER BY (xmin + xmax)
 numbered AS (SELECT *, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY (ymin + ymax) / 2, label) - 1 AS INTEGER) AS line_id FROM raw_lines)
 """
 
+_ORDER_LINES = ORDER_TOKENS_SQL + ", l AS (SELECT doc_id, CAST((ymin - 50) / 24 AS INTEGER) AS line_id, string_agg(text, ' ' ORDER BY xmin) AS text FROM tokens GROUP BY doc_id, ymin) "
+
 ORACLE = {
     "doc_medians": DOCUMENT_TOKENS_SQL + "SELECT doc_id, round(median((xmax - xmin) / length(text)), 6) AS char_width, round(median(ymax - ymin), 6) AS line_height FROM tokens GROUP BY doc_id",
     "recognition": DOCUMENT_TOKENS_SQL + "SELECT doc_id, CAST(count(*) AS INTEGER) AS num_lines, 0.9 AS avg_confidence, CAST(sum(length(text)) + count(*) - 1 AS INTEGER) AS chars FROM tokens GROUP BY doc_id",
     # On rendered pages tokens of one line share their top, and tokens of different lines never meet the vertical rule.
     "lines": DOCUMENT_TOKENS_SQL + _LINES_SQL + "SELECT doc_id, line_id, text, xmin, ymin, xmax, ymax, tokens FROM numbered",
+    # An order's four lines are labels with values at one left edge, eight apart: four form lines in one block.
+    "order_form_lines": _ORDER_LINES + "SELECT doc_id, line_id, 0 AS block_id, text, true AS is_form, regexp_extract(text, '^([^:]+): (.+)$', 1) AS form_key, regexp_extract(text, '^([^:]+): (.+)$', 2) AS form_value FROM l",
+    "kv_pattern": _ORDER_LINES
+    + """SELECT doc_id, 0 AS block_id, count(*) AS keyvalue_lines, count(*) AS n_lines, round(avg(length(regexp_extract(text, '^([^:]+):', 1))), 6) AS avg_key_length, 1.0 AS keyvalue_ratio, true AS has_pattern FROM l GROUP BY doc_id""",
     "dbscan_columns": ORDER_TOKENS_SQL
     + """, p AS (SELECT doc_id, token_id, (xmin + xmax) / 2 AS cx FROM tokens), g AS (SELECT *, coalesce(cx - lag(cx) OVER w > 50, true) AS fresh FROM p WINDOW w AS (PARTITION BY doc_id ORDER BY cx, token_id)),
 c AS (SELECT *, sum(CAST(fresh AS BIGINT)) OVER (PARTITION BY doc_id ORDER BY cx, token_id ROWS UNBOUNDED PRECEDING) AS cluster FROM g)
