@@ -337,13 +337,9 @@ class _Reader:
             body = "\n".join(lines)
             words = plain_words(body)
             prose = common * 5 >= len(words) > 4
-            heads = 0
             for i in (0, 1, 2, n - 1) if n > 3 else range(n):
                 num = page_number(lines[i])
-                skel = None
-                if num is None and i < 3 and heads < 2:
-                    skel = skeleton(lines[i])
-                    heads += 1
+                skel = skeleton(lines[i]) if num is None and i < 3 else None
                 if num is None and i > 2:
                     continue  # the last line is of interest as a page number only
                 rows.append(("L", *here, i, n, prose, lines[i].strip(), None, skel, num and num[0], num and num[1], None, None, None, None))

@@ -60,6 +60,17 @@ def test_scan_noise(spark):
     assert scan_noise(df.limit(0)).count() == 0
 
 
+def test_header_on_third_line(spark):
+    from leafgraph.llm.scans import repaired_paragraphs
+
+    t, bodies = "2026-01-01 00:00:00", ("Each clerk of the garden followed the letter.", "The window of the harbor and the printer.")
+    tops = (("Received in Room Four", "Monday the Second"), ("Copied by the Typist", "Friday the Ninth"))
+    rows = [(k + 1, "d", k + 1, 0, "\n".join((*tops[k], "Neskton Mills Station Report", bodies[k])), t, "x") for k in range(2)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    assert {tuple(r) for r in scan_noise(df).collect()} == {(k, "running_header", "Neskton Mills Station Report") for k in (1, 2)}
+    assert {r.text for r in repaired_paragraphs(df).collect()} == {" ".join((*tops[k], bodies[k])) for k in range(2)}
+
+
 def test_paragraphs(spark):
     from leafgraph.llm.scans import repaired_paragraphs
 
