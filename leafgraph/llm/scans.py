@@ -6,8 +6,8 @@
    are the lexicon, the only thing besides 256 bucket totals that goes to the driver and the tasks.
 2. *Lines.* A second pass over the texts gives narrow rows only: the first lines and the last line of each region, parted words, and words
    outside the lexicon with the lexicon words that plausible glyph edits lead to. Text itself is never shuffled.
-3. *Furniture.* A top line is a running header if its skeleton (case, numbers at its ends and confusable glyphs folded) stands at the top
-   of another page of the document. A line with only a number is a page number if its style says so or its distance to the page's
+3. *Furniture.* A top line is a running header if one of its keys (case and confusable glyphs folded; numbers at its ends left out if they
+   go with the page) stands at the top of another page of the document; lines with several keys have more rows. A line with only a number is a page number if its style says so or its distance to the page's
    position is that of another page. Both are grouped by (document, skeleton) or (document, distance) with partial aggregation.
 4. *Parted words* are joined; a compound keeps its hyphen if the lexicon knows it with it. A region that ends in a parted word is joined
    with the next text of its document, found by equality joins on the page and its successor.
@@ -25,12 +25,14 @@ import re
 import zlib
 from collections import Counter
 from functools import lru_cache
+from hashlib import blake2b
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from leafgraph.llm.batches import map_columns
+from leafgraph.llm.quality import block_kind
 from leafgraph.llm.words import FUNCTION_WORDS
 from leafgraph.operators.components import components
 from leafgraph.sources.tables import written
@@ -128,10 +130,36 @@ def skeleton(line: str) -> str | None:
         line = _AT_ENDS.sub(" ", line).strip()
     if not 6 <= len(line) <= 120 or line[-1] in ".!?;,:" or " " not in line or _CELLS.search(line):
         return None
-    low = "".join(_WORD.findall(line.replace("F", "E").lower().translate(_FOLD)))
+    low = _folded(line)
     return low if len(low) >= 5 else None
 
 
+def _folded(line: str) -> str:
+    return "".join(_WORD.findall(line.replace("F", "E").lower().translate(_FOLD)))
+
+
+_PAGE_WORD = r"(?:pages?|pag|pg|p|seite|página|folio|fol|sheet|blatt|s)\W{0,3}"
+_NUMBERED = rf"(?P<word>{_PAGE_WORD})?(?P<num>{_NUMBER})(?:\s*(?:of|/|von|de|sur)\s*(?:{_NUMBER}))?"
+_STARTS = re.compile(rf"\A\W*{_NUMBERED}[\W_]+", re.I)
+_ENDS = re.compile(rf"[\W_]+{_NUMBERED}\W*\Z", re.I)
+
+
+def header_keys(line: str, page: int) -> list[str]:
+    """Keys, one of which a top line shares with its returns on other pages: its skeleton, all its signs folded, and without a number at
+    either end. Such a number is part of the key by its distance to the page, so captions counted on their own don't meet; behind a page
+    word it is the page's number anyway."""
+    line = line.strip()
+    keys = [skeleton(line)]
+    if not _CELLS.search(line):
+        keys.append(_folded(line))
+    for m in (_STARTS.match(line), _ENDS.search(line, max(0, len(line) - 120))):
+        rest = (line[: m.start()] + line[m.end() :]).strip() if m else ""
+        if not rest or _CELLS.search(rest) or not (low := _folded(rest)) or (value := _value(m["num"])) is None:
+            continue
+        keys.append(low if m["word"] and any(map(str.isdigit, m["num"])) else f"{low}#{value - page}")
+    return [k if len(k) <= 60 else blake2b(k.encode(), digest_size=16).hexdigest() for k in dict.fromkeys(keys) if k]
+
+
 # --- words --------------------------------------------------------------------------------------------------------------------------
 def _bucket(word: str) -> int:
     return zlib.crc32(word.encode()) & (BUCKETS - 1)
@@ -337,12 +365,18 @@ class _Reader:
             body = "\n".join(lines)
             words = plain_words(body)
             prose = common * 5 >= len(words) > 4
+            table = None
             for i in (0, 1, 2, n - 1) if n > 3 else range(n):
                 num = page_number(lines[i])
-                skel = skeleton(lines[i]) if num is None and i < 3 else None
                 if num is None and i > 2:
                     continue  # the last line is of interest as a page number only
-                rows.append(("L", *here, i, n, prose, lines[i].strip(), None, skel, num and num[0], num and num[1], None, None, None, None))
+                bare = lines[i].strip()
+                keys = header_keys(bare, page) if num is None else []
+                if keys and n > 1 and " " not in bare:  # a cell of a table written cell under cell is no header
+                    table = block_kind(lines, Counter()) == "table" if table is None else table
+                    keys = [] if table else keys
+                rows.append(("L", *here, i, n, prose, bare, None, keys[0] if keys else None, num and num[0], num and num[1], None, None, None, None))
+                rows += [("K", *here, i, n, prose, bare, None, k, None, None, None, None, None, None) for k in keys[1:]]
             last = n - 1
             while last > 0 and page_number(lines[last]):
                 last -= 1
@@ -417,7 +451,7 @@ def _top_lines(rows: DataFrame, top: int) -> DataFrame:
     before = F.least(F.coalesce(F.sum("lines").over(earlier), F.lit(0)), F.when(F.col("flows"), F.coalesce(F.sum(flowing).over(earlier), F.lit(0))))
     after = F.least(F.coalesce(F.sum("lines").over(later), F.lit(0)), F.when(F.col("flows"), F.coalesce(F.sum(flowing).over(later), F.lit(0))))
     regions = regions.select(*place, before.alias("before"), (after == 0).alias("is_last"))
-    lines = lines.filter("num IS NOT NULL OR skel IS NOT NULL")
+    lines = rows.filter("kind IN ('L', 'K') AND (num IS NOT NULL OR skel IS NOT NULL)")
     joined = lines.join(regions, [F.equal_null(lines[k], regions[k]) for k in place]).drop(*(regions[k] for k in place))
     return joined.withColumn("above", F.col("before") + F.col("line")).withColumn("bottom", F.col("is_last") & (F.col("line") == F.col("lines") - 1))
 

@@ -71,6 +71,20 @@ def test_header_on_third_line(spark):
     assert {r.text for r in repaired_paragraphs(df).collect()} == {" ".join((*tops[k], bodies[k])) for k in range(2)}
 
 
+def test_headers_of_any_form(spark):
+    forms = ["Annual Report - Page {}", "Annual Report {}", "{} / Annual Report", "Annual Report | {}", "Page {} of 30: Annual Report", "CONFIDENTIAL", "Smith & Sons Inc.", "A heading of many words " * 8 + "here"]
+    bodies = ("Each clerk of the garden followed the letter.", "The window of the harbor and the printer.")
+    t, rows, want = "2026-01-01 00:00:00", [], set()
+    for d, form in enumerate(forms):
+        for k, page in enumerate((13, 14)):
+            rows.append((len(rows), f"d{d}", page, 0, form.format(page - 1) + "\n" + bodies[k], t, "x"))
+            want.add((len(rows) - 1, "running_header", form.format(page - 1)))
+    n = len(rows)
+    rows += [(n + k, "captions", k, 0, f"Table {2 * k}\n{bodies[k]}", t, "x") for k in (0, 1)]
+    rows += [(n + 2 + k, "tables", k, 0, f"Item\nCost\nShare\nA{k}\n{k}2\n7%\nB{k}\n3\n1{k}%", t, "x") for k in (0, 1)]
+    assert {tuple(r) for r in scan_noise(spark.createDataFrame(rows, SCHEMA)).collect()} == want
+
+
 def test_paragraphs(spark):
     from leafgraph.llm.scans import repaired_paragraphs
 
