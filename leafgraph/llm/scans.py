@@ -1,11 +1,11 @@
 """Noise in text from scanned pages: words parted at line ends, misread letters, running headers and page numbers (problem 2).
 
-1. *Words.* One pass counts every lower-case word and learns its skip-gram vector: counts of the hashed words to its left and right, which
+1. *Words.* One pass over the distinct texts counts every lower-case word and learns its skip-gram vector: counts of the hashed words to its left and right, which
    with the buckets' totals give the positive mutual information that skip-gram training with negative sampling factorises. Tasks send
    one row a word; vectors stay distributed. Words that make up at least ``lexicon_share`` of all (so at most 1 / lexicon_share of them)
    are the lexicon, the only thing besides 256 bucket totals that goes to the driver and the tasks.
 2. *Lines.* A second pass over the texts gives narrow rows only: the first lines and the last line of each region, parted words, and words
-   outside the lexicon with the lexicon words that plausible glyph edits lead to. Text itself is never shuffled.
+   outside the lexicon with the lexicon words that plausible glyph edits lead to. Text is shuffled once only, to count copies of a text once in pass 1.
 3. *Furniture.* A top line is a running header if one of its keys (case and confusable glyphs folded; numbers at its ends left out if they
    go with the page) stands at the top of another page of the document; lines with several keys have more rows. A line with only a number is a page number if its style says so or its distance to the page's
    position is that of another page. Both are grouped by (document, skeleton) or (document, distance) with partial aggregation.
@@ -26,6 +26,7 @@ import zlib
 from collections import Counter
 from functools import lru_cache
 from hashlib import blake2b
+from string import punctuation
 
 import numpy as np
 from pyspark.sql import DataFrame, Window
@@ -144,15 +145,22 @@ _STARTS = re.compile(rf"\A\W*{_NUMBERED}[\W_]+", re.I)
 _ENDS = re.compile(rf"[\W_]+{_NUMBERED}\W*\Z", re.I)
 
 
+_MAY_START = re.compile(rf"{_PAGE_WORD}|(?:{_PAGE_WORD})?(?:{_NUMBER})", re.I)
+_MAY_END = re.compile(rf"(?:{_PAGE_WORD})?(?:{_NUMBER})", re.I)
+
+
 def header_keys(line: str, page: int) -> list[str]:
     """Keys, one of which a top line shares with its returns on other pages: its skeleton, all its signs folded, and without a number at
     either end. Such a number is part of the key by its distance to the page, so captions counted on their own don't meet; behind a page
     word it is the page's number anyway."""
     line = line.strip()
-    keys = [skeleton(line)]
+    keys = [skeleton(line)] if "  " in line else []  # else it is the folded line
     if not _CELLS.search(line):
         keys.append(_folded(line))
-    for m in (_STARTS.match(line), _ENDS.search(line, max(0, len(line) - 120))):
+    first, last = (x.strip(punctuation) for x in (line.split(None, 1)[0], line.rsplit(None, 1)[-1]))
+    starts = None if first.isalpha() and not _MAY_START.fullmatch(first) else _STARTS.match(line)
+    ends = None if last.isalpha() and not _MAY_END.fullmatch(last) else _ENDS.search(line, max(0, len(line) - 120))
+    for m in (starts, ends):
         rest = (line[: m.start()] + line[m.end() :]).strip() if m else ""
         if not rest or _CELLS.search(rest) or not (low := _folded(rest)) or (value := _value(m["num"])) is None:
             continue
@@ -425,7 +433,7 @@ def _demoted(lexicon: dict[str, int], ratio: float) -> dict[str, list[str]]:
 
 def scan_rows(df: DataFrame, region_id: str, doc_id: str, page: str, node: str, text: str, lexicon_share: float, ratio: float) -> tuple[DataFrame, DataFrame, dict]:
     """The rows of pass 2 and the words of pass 1, both written, and the bucket totals."""
-    words = written(word_vectors(df, text), "words")
+    words = written(word_vectors(df.select(F.col(text).alias("t")).distinct(), "t"), "words")  # copies and regions delivered again count once
     totals = words.filter("word = ''").first()
     if totals is None:
         totals = {"n": 0, "ctx": [0] * (2 * BUCKETS)}

@@ -85,6 +85,14 @@ def test_headers_of_any_form(spark):
     assert {tuple(r) for r in scan_noise(spark.createDataFrame(rows, SCHEMA)).collect()} == want
 
 
+def test_copies_count_once(spark):
+    t = "2026-01-01 00:00:00"
+    good = [(k, f"d{k}", 1, 0, f"The {w} of the modern clerk and the garden of each harbor.", t, "x") for k, w in enumerate(("letter", "ledger", "window", "station", "printer"))]
+    copies = [(100 + k, f"c{k}", 1, 0, "It is the rnodern clerk of the garden and the harbor.", t, "x") for k in range(12)]
+    got = {tuple(r) for r in scan_noise(spark.createDataFrame(good + copies, SCHEMA)).filter("noise_kind = 'misread_char'").collect()}
+    assert got == {(100 + k, "misread_char", "modern") for k in range(12)}
+
+
 def test_paragraphs(spark):
     from leafgraph.llm.scans import repaired_paragraphs
 
