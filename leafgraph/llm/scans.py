@@ -3,7 +3,8 @@
 1. *Words.* One pass over the distinct texts counts every lower-case word and learns its skip-gram vector: counts of the hashed words to its left and right, which
    with the buckets' totals give the positive mutual information that skip-gram training with negative sampling factorises. Tasks send
    one row a word; vectors stay distributed. Words that make up at least ``lexicon_share`` of all (so at most 1 / lexicon_share of them)
-   are the lexicon, the only thing besides 256 bucket totals that goes to the driver and the tasks.
+   are the lexicon, the only thing besides 256 bucket totals that goes to the driver and the tasks. Misreadings of words below that share
+   are found by an equality join of glyph variants with the counted words, from ``ratio`` occurrences on whatever the size of the corpus.
 2. *Lines.* A second pass over the texts gives narrow rows only: the first lines and the last line of each region, parted words, and words
    outside the lexicon with the lexicon words that plausible glyph edits lead to. Text is shuffled once only, to count copies of a text once in pass 1.
 3. *Furniture.* A top line is a running header if one of its keys (case and confusable glyphs folded; numbers at its ends left out if they
@@ -312,8 +313,8 @@ _NAMES = [x.strip().split(" ")[0] for x in _ROW.split(",")]
 
 
 class _Reader:
-    def __init__(self, lexicon: dict[str, int], demoted: dict[str, list[str]]):
-        self.lexicon, self.demoted = lexicon, demoted
+    def __init__(self, lexicon: dict[str, int], demoted: dict[str, list[str]], rare: bool = False):
+        self.lexicon, self.demoted, self.rare = lexicon, demoted, rare
         self.good = frozenset(lexicon) - frozenset(demoted)
         self.neighbours = lru_cache(1 << 17)(self._neighbours)
 
@@ -354,10 +355,10 @@ class _Reader:
         return out
 
     def suspects(self, words: list[str]) -> dict[str, tuple[str, ...]]:
-        """Words outside the lexicon, with what they may be misreadings of."""
+        """Words outside the lexicon, with what they may be misreadings of; with nothing if that is sought among rare words."""
         out = {}
         for w in set(words) - self.good:
-            if len(w) >= 3 and w.islower() and (hits := self.neighbours(w) or _letters_for_digits(w)):
+            if len(w) >= 3 and w.islower() and ((hits := self.neighbours(w) or _letters_for_digits(w)) or self.rare):
                 out[w] = hits
         return out
 
@@ -407,8 +408,8 @@ class _Reader:
                 if len(own) > 4 and sum(x.lower() in lexicon for x in own) * 3 < len(own):
                     continue  # no running text
                 for k, w in enumerate(own):
-                    if hits := suspects.get(w):
-                        rows.append(("M", *here, i, None, None, w, None, None, None, None, list(hits), [lexicon.get(h, 0) for h in hits],
+                    if (hits := suspects.get(w)) is not None:
+                        rows.append(("M" if hits else "U", *here, i, None, None, w, None, None, None, None, list(hits), [lexicon.get(h, 0) for h in hits],
                                      _bucket(own[k - 1].lower()) if k else None, _bucket(own[k + 1].lower()) if k + 1 < len(own) else None))
         return dict(zip(_NAMES, map(list, zip(*rows)))) if rows else {k: [] for k in _NAMES}
 
@@ -431,6 +432,34 @@ def _demoted(lexicon: dict[str, int], ratio: float) -> dict[str, list[str]]:
     return out
 
 
+class _Any:
+    def __contains__(self, word: str) -> bool:
+        return True
+
+
+def rare_neighbours(words: DataFrame, least: float, ratio: float) -> DataFrame:
+    """Rows (word, cands, ns): words outside the lexicon, and what they may be misreadings of outside it, fewest edits first."""
+
+    def make():
+        def run(names, ns):
+            out = []
+            for w, n in zip(names, ns):
+                one = set(glyph_neighbours(w, _Any()))
+                two = {x for v in one for x in glyph_neighbours(v, _Any())} - one - {w} if len(w) >= 6 else ()
+                out += [(w, n, v, 1) for v in one] + [(w, n, v, 2) for v in two]
+            return dict(zip(("word", "own", "item", "edits"), map(list, zip(*out)))) if out else {k: [] for k in ("word", "own", "item", "edits")}
+
+        return run
+
+    outside = words.filter((F.col("word") != "") & (F.col("n") < least))
+    variants = map_columns(outside.filter((F.length("word") >= 3) & (F.col("n") * ratio < least)), {"word": "word", "n": "n"}, make, "word string, own long, item string, edits int")
+    known = outside.filter(F.col("n") >= ratio).select(F.col("word").alias("item"), "n")
+    pairs = variants.join(known, "item").filter(F.col("n") >= ratio * F.col("own"))
+    pairs = pairs.groupBy("word").agg(F.array_sort(F.collect_list(F.struct("edits", "item", "n"))).alias("x"))
+    pairs = pairs.select("word", F.filter("x", lambda y: y["edits"] == F.col("x")[0]["edits"]).alias("x"))
+    return pairs.select("word", F.col("x.item").alias("cands"), F.col("x.n").alias("ns"))
+
+
 def scan_rows(df: DataFrame, region_id: str, doc_id: str, page: str, node: str, text: str, lexicon_share: float, ratio: float) -> tuple[DataFrame, DataFrame, dict]:
     """The rows of pass 2 and the words of pass 1, both written, and the bucket totals."""
     words = written(word_vectors(df.select(F.col(text).alias("t")).distinct(), "t"), "words")  # copies and regions delivered again count once
@@ -440,10 +469,16 @@ def scan_rows(df: DataFrame, region_id: str, doc_id: str, page: str, node: str,
     least = max(2.0, lexicon_share * totals["n"])
     lexicon = {r.word: r.n for r in words.filter((F.col("word") != "") & (F.col("n") >= least)).select("word", "n").toLocalIterator()}
     demoted = _demoted(lexicon, ratio)
-    shared = df.sparkSession.sparkContext.broadcast((lexicon, demoted))
+    rare = least > ratio  # else no word outside the lexicon is frequent enough to be the right one
+    shared = df.sparkSession.sparkContext.broadcast((lexicon, demoted, rare))
     ids = {"r": F.col(region_id).cast("long"), "d": F.col(doc_id).cast("string"), "p": F.coalesce(F.col(page).cast("int"), F.lit(-1)), "n": F.coalesce(F.col(node).cast("int"), F.lit(-1)), "t": F.col(text)}
     rows = map_columns(df, ids, lambda: _Reader(*shared.value), _ROW)
-    return written(rows, "lines", "kind"), words, totals
+    rows = written(rows, "lines", "kind")
+    if rare:
+        pairs = written(rare_neighbours(words, least, ratio), "pairs")
+        found = rows.filter("kind = 'U'").drop("cands", "ns").join(pairs, F.col("a") == F.col("word")).drop("word")
+        rows = rows.unionByName(found.withColumn("kind", F.lit("M")))
+    return rows, words, totals
 
 
 # --- verdicts -----------------------------------------------------------------------------------------------------------------------

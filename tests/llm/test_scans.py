@@ -93,6 +93,17 @@ def test_copies_count_once(spark):
     assert got == {(100 + k, "misread_char", "modern") for k in range(12)}
 
 
+def test_right_words_below_the_lexicon(spark):
+    rows, k = corpus()
+    t = "2026-01-01 00:00:00"
+    right = [(9000 + i, f"r{i}", 1, 0, f"The clerk of the {w} and each carnation of the garden.", t, "x") for i, w in enumerate(("letter", "ledger", "window", "station", "printer"))]
+    wrong = [(9100, "w", 1, 0, "The clerk of the carriation and each letter of the garden.", t, "x"), (9101, "v", 1, 0, "The clerk of the camotion and each ledger of the garden.", t, "x")]
+    df = spark.createDataFrame(rows + right + wrong, SCHEMA)
+    for share in (1e-6, 2e-3):  # the right word in the lexicon, and below it
+        got = {tuple(r) for r in scan_noise(df, lexicon_share=share).filter("noise_kind = 'misread_char'").collect()}
+        assert {g for g in got if g[0] > 9000} == {(9100, "misread_char", "carnation"), (9101, "misread_char", "carnation")}, share
+
+
 def test_paragraphs(spark):
     from leafgraph.llm.scans import repaired_paragraphs
 
