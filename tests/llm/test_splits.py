@@ -3,7 +3,7 @@ import random
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from leafgraph.llm.splits import banded_distance, found_pairs, overlap_report
+from leafgraph.llm.splits import banded_distance, found_pairs, overlap_report, overlapping_questions
 from leafgraph.llm.words import WORD
 
 SCHEMA = "qa_id string, doc_id string, split string, question string, source string, cls string, key string"
@@ -37,9 +37,20 @@ def test_pairs_are_brute_force(spark):
     df = spark.createDataFrame(rows, SCHEMA)
     want = brute(rows)
     assert want and {tuple(r) for r in found_pairs(df).collect()} == want
-    assert {tuple(r) for r in found_pairs(df, frequent=0.02, hot_pair=0.001).collect()} == want
+    for few, hot in ((4.0, 4.0), (1e-6, 0.01)):  # pieces of many words
+        assert {tuple(r) for r in found_pairs(df, few=few, hot=hot).collect()} == want
     report = overlap_report(df).collect()
     assert sum(r.pairs for r in report) == len(want) and {r.source for r in report} == {"s"}
+    # Ids of several questions, and ids on both sides: each pair still counts once.
+    odd = rows + [(i, d, s, rows[(k * 7) % 200][3], *r) for k, (i, d, s, q, *r) in enumerate(rows[:60])] + [(rows[3][0], "d1", "train", rows[5][3], "s", "c", "k"), (rows[3][0], "d1", "test", rows[5][3], "s", "c", "k")]
+    df2 = spark.createDataFrame(odd, SCHEMA)
+    want2 = {tuple(r) for r in overlapping_questions(df2).collect()}
+    assert {(min(p), max(p)) for p in want2} == brute(odd)
+    splits = {}
+    for i, d, s, *_ in odd:
+        if s and s.strip().lower() in ("val", "validation", "test"):
+            splits.setdefault(i, set()).add("test" if s.strip().lower() == "test" else "validation")
+    assert sum(r.pairs for r in overlap_report(df2).collect()) == sum(len(splits[e]) for _, e in want2)
     assert found_pairs(df.limit(0)).count() == 0 and found_pairs(df.filter("trim(lower(split)) = 'train'")).count() == 0
 
 
@@ -52,3 +63,15 @@ def test_banded_distance(a, b, most):
             full[i][j] = i + j if not i or not j else min(full[i - 1][j] + 1, full[i][j - 1] + 1, full[i - 1][j - 1] if a[i - 1] == b[j - 1] else 99)
     d = full[-1][-1]
     assert banded_distance(a, b, most) == (d if d <= most else None)
+
+
+def test_hot_document_and_growth(spark):
+    """All short questions in one document, few words: pieces grow, and nothing is lost."""
+    rng = random.Random(9)
+    words = "the what is for of room date name page total line item sum box".split()
+    rows = [(f"h_{i}", "hot", rng.choice(["train", "val"]), " ".join(rng.sample(words, rng.randint(1, 9))), "s", "c", "k") for i in range(900)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    want = brute(rows)
+    assert len(want) > 500
+    for few, hot in ((0.25, 20.0), (1e-6, 0.1)):
+        assert {tuple(r) for r in found_pairs(df, few=few, hot=hot).collect()} == want
