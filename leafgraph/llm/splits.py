@@ -12,7 +12,7 @@ there their candidates grow with the square of the corpus; the README has figure
 
 Where words alone lead to more than ``hot`` partners the longer piece is the key by which rows are shuffled; between ``few`` and ``hot``
 the row carries the longer pieces as short hashes, and the shuffled rows are split by them inside the task. Candidates whose 64-bit word
-maps differ in more than k bits are dropped (each differing bit proves a differing word); the rest are verified by banded dynamic
+maps differ in more than k bits are dropped there (each differing bit proves a differing word); the rest are verified by banded dynamic
 programming of width k.
 
 Counts are kept in a sketch of 2^20 slots by hash: words (and documents) that share a slot are taken for more frequent than they are,
@@ -48,6 +48,7 @@ SLOTS = 1 << 20  # of the sketches of counts
 _DEPTH = 8  # most words of a piece
 #: Keys have 48 bits, so that a short hash can stand behind them; chance matches are dropped like other candidates.
 _KEY_BITS = np.uint64((1 << 48) - 1)
+_HEAD, _LONG = 5, 0xFFFF  # units before the short hashes; numbers of words are kept up to there
 _MULTIPLIER, _CAPPED = np.uint64(0x9E3779B97F4A7C15), np.uint64(0x165667B19E3779F9)
 
 
@@ -175,7 +176,8 @@ def piece_ends(lengths: np.ndarray, share: float, least: int, depth: int) -> np.
 
 
 def _keyed(classes: DataFrame, side: int, counts: np.ndarray, sizes: np.ndarray | None, questions: int, shortest: int, share: float, least: int, few: float, hot: float) -> DataFrame:
-    """Rows (key, no, side, tails) of one side's classes; ``tails`` are the short hashes of the longer pieces, two bytes each."""
+    """Rows (key, no, data) of one side's classes. The last bit of ``no`` is the side; ``data`` holds the class's map, its number of words and the
+    short hashes of the longer pieces, in units of two bytes."""
     depth = min(_DEPTH, int(least_overlap(least, least, share)) if sizes is None else _DEPTH)
     shared = classes.sparkSession.sparkContext.broadcast((counts, sizes))
 
@@ -191,6 +193,7 @@ def _keyed(classes: DataFrame, side: int, counts: np.ndarray, sizes: np.ndarray
 
         for batch in batches:
             cls, words, scopes = (batch.column(k).to_pylist() for k in range(3))
+            maps = batch.column(3).to_numpy()
             if not cls:
                 continue
             items = [x for t in words for x in sorted((cache.get(w) or known(w)) for w in t.split(" "))]
@@ -208,24 +211,31 @@ def _keyed(classes: DataFrame, side: int, counts: np.ndarray, sizes: np.ndarray
             order = np.lexsort((keys, rows))
             rows, keys, tails = rows[order], keys[order], tails[order]
             first = np.flatnonzero(np.concatenate(([True], (rows[1:] != rows[:-1]) | (keys[1:] != keys[:-1])))) if len(rows) else np.empty(0, np.int64)
+            own = rows[first]
             has = tails >= 0
-            ends_at = np.concatenate(([0], np.cumsum(has)))
-            offsets = np.concatenate((ends_at[first], ends_at[-1:])).astype(np.int32) * 2
-            short = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(tails[has].astype(np.uint16))])
-            no = np.array(cls, np.int64)[rows[first]]
-            yield pa.RecordBatch.from_arrays([pa.array(keys[first].view(np.int64)), pa.array(no), pa.array(np.full(len(first), side, np.int8)), short], ["key", "no", "side", "tails"])
-
-    return classes.filter(F.col("side") == side).select("no", "words", "scope").mapInArrow(run, "key long, no long, side byte, tails binary")
-
-
-def _partners(keys: np.ndarray, nos: np.ndarray, sides: np.ndarray, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
-    """Pairs of rows of both sides with equal keys, in pieces of about ``most``."""
+            before = np.concatenate(([0], np.cumsum(has)))
+            at = np.concatenate((before[first], before[-1:])) + _HEAD * np.arange(len(first) + 1)
+            units = np.empty(int(at[-1]), np.uint16)
+            head = at[:-1, None] + np.arange(_HEAD)
+            units[head] = np.column_stack((maps[own].view(np.uint16).reshape(-1, 4), np.minimum(n[own], _LONG)))
+            rest = np.ones(len(units), bool)
+            rest[head] = False
+            units[rest] = tails[has]
+            data = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer((at * 2).astype(np.int32)), pa.py_buffer(units)])
+            no = np.array(cls, np.int64)[own] << 1 | side
+            yield pa.RecordBatch.from_arrays([pa.array(keys[first].view(np.int64)), pa.array(no), data], ["key", "no", "data"])
+
+    return classes.filter(F.col("side") == side).select("no", "words", "scope", "map").mapInArrow(run, "key long, no long, data binary")
+
+
+def _partners(keys: np.ndarray, nos: np.ndarray, maps: np.ndarray, ns: np.ndarray, share: float, most: int = 1 << 20) -> Iterator[pa.RecordBatch]:
+    """Pairs of rows of both sides with equal keys whose lengths and maps allow the share; looked at in pieces of about ``most``."""
+    sides = nos & 1
     order = np.lexsort((sides, keys))
-    keys, nos, sides = keys[order], nos[order], sides[order]
+    keys, nos, maps, ns, sides = keys[order], nos[order] >> 1, maps[order], ns[order], sides[order]
     head = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1])))
     size = np.diff(np.concatenate((head, [len(keys)])))
-    evals = np.add.reduceat(sides, head, dtype=np.int64)
-    trains = size - evals  # they stand first
+    trains = size - np.add.reduceat(sides, head)  # they stand first
     mine = np.flatnonzero(sides == EVAL)
     group = np.searchsorted(head, mine, side="right") - 1
     times = trains[group]
@@ -234,44 +244,57 @@ def _partners(keys: np.ndarray, nos: np.ndarray, sides: np.ndarray, most: int =
     while lo < len(mine):
         hi = max(lo + 1, int(np.searchsorted(upto, (upto[lo - 1] if lo else 0) + most, side="right")))
         t = times[lo:hi]
-        e = np.repeat(nos[mine[lo:hi]], t)
+        e = np.repeat(mine[lo:hi], t)
         at = np.arange(len(e)) - np.repeat(np.cumsum(t) - t, t) + np.repeat(head[group[lo:hi]], t)
-        if len(e):
-            pairs = np.unique(np.stack((e, nos[at]), 1), axis=0) if len(e) < most else np.stack((e, nos[at]), 1)
+        far = ns[e] + ns[at] - 2 * least_overlap(ns[e], ns[at], share)  # most words in which they may differ
+        near = (np.maximum(ns[e], ns[at]) >= _LONG) | ((np.abs(ns[e] - ns[at]) <= far) & (np.bitwise_count(maps[e] ^ maps[at]) <= far))
+        if near.any():
+            pairs = np.unique(np.stack((nos[e[near]], nos[at[near]]), 1), axis=0)
             yield pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(pairs[:, 0])), pa.array(np.ascontiguousarray(pairs[:, 1]))], ["e", "t"])
         lo = hi
 
 
-def _matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Candidates (e, t) of rows sorted by key. Rows wait for the end of their key, which ``hot`` bounds."""
-    wait: list[tuple[np.ndarray, ...]] = []
-
-    def matched() -> Iterator[pa.RecordBatch]:
-        keys, nos, sides, counts, tails = (np.concatenate(x) for x in zip(*wait))
-        each = np.maximum(counts, 1)
-        full = np.zeros(int(each.sum()), np.uint64)
-        full[np.repeat(counts > 0, each)] = tails
-        yield from _partners(np.repeat(keys.view(np.uint64) << np.uint64(16), each) | full, np.repeat(nos, each), np.repeat(sides, each))
-
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        keys, nos, sides = (batch.column(k).to_numpy() for k in range(3))
-        short = batch.column(3)
-        offsets = np.frombuffer(short.buffers()[1], np.int32, batch.num_rows + 1, short.offset * 4) // 2
-        counts = np.diff(offsets).astype(np.int64)
-        tails = np.frombuffer(short.buffers()[2] or b"", np.uint16)[offsets[0] : offsets[-1]].astype(np.uint64)
-        cut = int(np.searchsorted(keys, keys[-1]))  # the batch's last key may go on
-        if cut or (wait and wait[-1][0][-1] != keys[0]):
-            upto = int(counts[:cut].sum())
-            wait.append((keys[:cut], nos[:cut], sides[:cut], counts[:cut], tails[:upto]))
+def _matcher(share: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Candidates (e, t) of rows sorted by key. Rows wait for the end of their key, which ``hot`` bounds."""
+        wait: list[tuple[np.ndarray, np.ndarray, list[np.ndarray]]] = []
+
+        def matched() -> Iterator[pa.RecordBatch]:
+            keys, nos = (np.concatenate([w[k] for w in wait]) for k in (0, 1))
+            counts = np.concatenate([w[2][0] for w in wait])
+            units = np.concatenate([w[2][1] for w in wait])
+            at = np.concatenate(([0], np.cumsum(counts)))[:-1]
+            head = units[at[:, None] + np.arange(_HEAD)]
+            rest = np.ones(len(units), bool)
+            rest[at[:, None] + np.arange(_HEAD)] = False
+            maps = np.ascontiguousarray(head[:, :4]).view(np.uint64)[:, 0]
+            each = np.maximum(counts - _HEAD, 1)
+            tails = np.zeros(int(each.sum()), np.uint64)
+            tails[np.repeat(counts > _HEAD, each)] = units[rest]
+            yield from _partners(np.repeat(keys.view(np.uint64) << np.uint64(16), each) | tails, *(np.repeat(x, each) for x in (nos, maps, head[:, 4].astype(np.int64))), share)
+
+        def part(keys, nos, counts, units, lo, hi):
+            upto = np.concatenate(([0], np.cumsum(counts)))
+            return keys[lo:hi], nos[lo:hi], [counts[lo:hi], units[upto[lo] : upto[hi]]]
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            keys, nos = (batch.column(k).to_numpy() for k in range(2))
+            data = batch.column(2)
+            offsets = np.frombuffer(data.buffers()[1], np.int32, batch.num_rows + 1, data.offset * 4) // 2
+            counts = np.diff(offsets).astype(np.int64)
+            units = np.frombuffer(data.buffers()[2], np.uint16)[offsets[0] : offsets[-1]]
+            cut = int(np.searchsorted(keys, keys[-1]))  # the batch's last key may go on
+            if cut or (wait and wait[-1][0][-1] != keys[0]):
+                wait.append(part(keys, nos, counts, units, 0, cut))
+                yield from matched()
+                wait.clear()
+            wait.append(part(keys, nos, counts, units, cut, len(keys)))
+        if wait:
             yield from matched()
-            wait.clear()
-            keys, nos, sides, counts, tails = keys[cut:], nos[cut:], sides[cut:], counts[cut:], tails[upto:]
-        if len(keys):
-            wait.append((keys, nos, sides, counts, tails))
-    if wait:
-        yield from matched()
+
+    return run
 
 
 def _verified(pairs: DataFrame, share: float) -> DataFrame:
@@ -300,7 +323,7 @@ def candidates(classes: DataFrame, scoped: bool, share: float, least: int, few:
     counts = _sketch(classes.select(F.explode(F.split("words", " ")).alias("w")), "w")
     sizes = _sketch(classes, "scope") if scoped else None
     t, e = (_keyed(classes, s, counts, sizes, questions, low[1 - s][0], share, min(x for x, _ in low.values()) if scoped else least, few, hot) for s in (TRAIN, EVAL))
-    return t.unionByName(e).repartition("key").sortWithinPartitions("key").mapInArrow(_matched, "e long, t long")
+    return t.unionByName(e).repartition("key").sortWithinPartitions("key").mapInArrow(_matcher(share), "e long, t long")
 
 
 def _class_pairs(classes: DataFrame, scoped: bool, share: float, least_words: int, few: float, hot: float) -> DataFrame | None:
@@ -308,12 +331,9 @@ def _class_pairs(classes: DataFrame, scoped: bool, share: float, least_words: in
     found = candidates(classes, scoped, share, least_words, few, hot)
     if found is None:
         return None
-    near = found.distinct()
+    near = written(found.distinct(), "candidates")  # far fewer than the classes, which a join by size can make use of
     for s, x in ((EVAL, "e"), (TRAIN, "t")):
-        near = near.join(classes.filter(F.col("side") == s).select(F.col("no").alias(x), F.col("cls").alias(x + "c"), F.col("words").alias(x + "w"), F.col("n").alias(x + "n"), F.col("map").alias(x + "m")), x)
-    total = F.col("en") + F.col("tn")
-    most = total - 2 * F.ceil(share / (1 + share) * total - 1e-9)
-    near = near.filter((F.abs(F.col("en") - F.col("tn")) <= most) & (F.bit_count(F.col("em").bitwiseXOR(F.col("tm"))) <= most))
+        near = near.join(classes.filter(F.col("side") == s).select(F.col("no").alias(x), F.col("cls").alias(x + "c"), F.col("words").alias(x + "w"), F.col("n").alias(x + "n")), x)
     if scoped:  # pairs of long questions come from the other pass
         near = near.filter((F.col("en") < least_words) | (F.col("tn") < least_words))
     return _verified(near.select(F.col("ec").alias("e"), F.col("tc").alias("t"), "ew", "tw"), share)
@@ -328,7 +348,7 @@ def question_classes(records: DataFrame, scoped: bool, share: float, least_words
     return rows, written(classes.withColumn("no", F.monotonically_increasing_id()), "classes", "side")
 
 
-def overlapping_classes(df: DataFrame, record_id: str = "qa_id", doc_id: str = "doc_id", split: str = "split", question: str = "question", share: float = 0.7, least_words: int = 12, few: float = 0.25, hot: float = 1024.0) -> tuple[DataFrame, DataFrame]:
+def overlapping_classes(df: DataFrame, record_id: str = "qa_id", doc_id: str = "doc_id", split: str = "split", question: str = "question", share: float = 0.7, least_words: int = 12, few: float = 1.0, hot: float = 4096.0) -> tuple[DataFrame, DataFrame]:
     """Pairs (e, t) of classes of equal questions that overlap, and the members (side, cls, id, doc, words) of every class."""
     records = written(_records(df, record_id, doc_id, split, question), "questions")
     pairs = df.sparkSession.createDataFrame([], "e long, t long")
