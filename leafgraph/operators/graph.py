@@ -25,14 +25,15 @@ def latest(df: DataFrame, keys: tuple[str, ...], order: tuple[str, ...]) -> Data
 
 
 def graph_nodes(regions: DataFrame, config: GraphConfig = GraphConfig()) -> DataFrame:
-    """Nodes (doc_id, page_no, node_id, region_type, bounds, score, text, is_short) from regions with corner boxes."""
+    """Nodes (doc_id, page_no, node_id, region_type, bounds, score, text, is_short, whole) from regions with corner boxes. ``text`` is what a
+    stored graph shows of a node, one line cut at ``text_chars``; ``whole`` is all of it, with its line breaks."""
     rows = latest(regions.select("doc_id", "page_no", "node_id", "region_type", "bbox", "score", "text", "created_at", "region_id"), ("doc_id", "page_no", "node_id"), ("created_at", "region_id"))
     lines = F.split(F.coalesce("text", F.lit("")), "\n")
     short = (F.col("region_type") == "text") & (F.size(lines) <= config.caption_lines) & (F.length(F.array_join(lines, "")) < config.caption_chars)
     box = g.corners_bounds(F.col("bbox"))
     return rows.select(
         "doc_id", "page_no", "node_id", "region_type", *(v.alias(k) for k, v in box.items()), "score",
-        F.substring(F.array_join(lines, " "), 1, config.text_chars).alias("text"), F.coalesce(short, F.lit(False)).alias("is_short"),
+        F.substring(F.array_join(lines, " "), 1, config.text_chars).alias("text"), F.coalesce(short, F.lit(False)).alias("is_short"), F.coalesce("text", F.lit("")).alias("whole"),
     ).filter("xmin IS NOT NULL AND doc_id IS NOT NULL AND page_no IS NOT NULL AND node_id IS NOT NULL")
 
 
@@ -95,9 +96,9 @@ def degree_stats(nodes: DataFrame, edges: DataFrame) -> DataFrame:
 
 
 def score_stats(edges: DataFrame, *keys: str) -> DataFrame:
-    """Mean, median, least, greatest and population deviation of edge scores."""
+    """Mean, quartiles, least, greatest and population deviation of edge scores."""
     return edges.groupBy(*keys).agg(
-        F.count("*").alias("edges"), F.avg("score").alias("mean"), F.median("score").alias("median"), F.min("score").alias("least"), F.max("score").alias("greatest"), F.stddev_pop("score").alias("deviation")
+        F.count("*").alias("edges"), F.avg("score").alias("mean"), F.percentile("score", F.lit(0.25)).alias("lower_quartile"), F.median("score").alias("median"), F.percentile("score", F.lit(0.75)).alias("upper_quartile"), F.min("score").alias("least"), F.max("score").alias("greatest"), F.stddev_pop("score").alias("deviation")
     )
 
 
@@ -127,7 +128,7 @@ def canvas(nodes: DataFrame, margin: float = 50.0) -> DataFrame:
     return nodes.groupBy(*KEYS).agg((F.max("xmax") + margin).alias("width"), (F.max("ymax") + margin).alias("height"))
 
 
-def graph_documents(nodes: DataFrame, edges: DataFrame, version: str = "1.0") -> DataFrame:
+def graph_documents(nodes: DataFrame, edges: DataFrame, version: str = "1.0.0") -> DataFrame:
     """One nested graph document a page: nodes, edges, adjacency and metadata."""
     n = nodes.groupBy(*KEYS).agg(F.array_sort(F.collect_list(F.struct("node_id", "region_type", g.rectangle().alias("bbox"), "score", "text"))).alias("nodes"))
     e = edges.groupBy(*KEYS).agg(F.array_sort(F.collect_list(F.struct("source", "rank", "target", "relation", "score", "category"))).alias("edges"))

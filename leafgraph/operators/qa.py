@@ -31,6 +31,14 @@ SAY_ROWS = "Data rows detected: {}"
 SAY_COLUMNS = "The table shows data with columns: {}."
 SAY_MORE_ROWS = " It contains {} data rows."
 SAY_FIGURE = "The figure illustrates the referenced data."
+ASK_OTHER_TITLE = "What is the content related to '{}'?"
+WHY_FIELD = "Extracted value for '{}' from form field."
+WHY_HEADERS = "The header row contains the table's column names."
+WHY_ROWS = "Counted the number of non-header rows parsed from the table."
+WHY_CELL = "Looked up the cell at the intersection of the selected row and column."
+WHY_FIGURE = "Answered using the figure's extracted description text."
+WHY_SUMMARY = "Summarized the main content from the text region."
+WHY_TITLE = "Connected the title/caption with its {} content."
 
 
 def filled(template: str, *values: Column) -> Column:
@@ -43,7 +51,7 @@ LINES = r"\r\n|[\n\r\x{0b}\x{0c}\x{1c}-\x{1e}\x{85}\x{2028}\x{2029}]"
 
 # --- forms --------------------------------------------------------------------------------------------------------------------------
 _CLOCK = re.compile(r"\d{1,2}:\d{2}(?::\d{2})?\s*[aApP]\.?[mM]\.?|^\d{1,2}:\d{2}$|^\d{1,2}:\d{2}:\d{2}$")
-_CAPITAL = re.compile(r"[^\W\d_A-ZÀ-ÖØ-Þ] +(?=[A-ZÀ-ÖØ-Þ])|[\d.,;] +(?=[A-ZÀ-ÖØ-Þ])")
+_BLANKS = re.compile(" +")
 _STARTERS = frozenset(T.STARTERS)
 
 
@@ -51,6 +59,16 @@ def _is_label(key: str) -> bool:
     return bool(key) and len(key) <= 30 and key.count(" ") <= 4 and "  " not in key and key.split()[0].lower() not in _STARTERS and not _CLOCK.search(key)
 
 
+def _label_start(segment: str) -> int:
+    """Where the last capital stands that blanks part from the end of a value (a small letter, digit or mark); 0 if there is none."""
+    start = 0
+    for m in _BLANKS.finditer(segment):
+        before, after = segment[m.start() - 1 : m.start()], segment[m.end() : m.end() + 1]
+        if after.isupper() and before and (before.islower() or before.isdigit() or before in ".,;"):
+            start = m.end()
+    return start
+
+
 def fields_of_line(line: str) -> list[tuple[str, str]]:
     """Fields of a stripped line with several colons: a label reaches back from its colon to the last capital that follows the end of
     a value, and its value runs to the start of the next label."""
@@ -58,7 +76,7 @@ def fields_of_line(line: str) -> list[tuple[str, str]]:
     after = 0
     for m in re.finditer(":", line):
         segment = line[after : m.start()]
-        start = max((b.end() for b in _CAPITAL.finditer(segment)), default=0) if after else 0
+        start = _label_start(segment) if after else 0
         if _is_label(key := segment[start:].strip()):
             labels.append((after + start, m.start(), key))
             after = m.end()
@@ -104,6 +122,14 @@ def parse_table(text: Column) -> Column:
     return F.filter(rows, lambda r: F.size(r) >= 2)
 
 
+def column_modes(nodes: DataFrame) -> DataFrame:
+    """The most frequent number of cells of each table's rows (the one seen first if several are), and its rows of two cells or more."""
+    t = _of(nodes, "table").withColumn("n", F.transform(F.filter(F.split(F.coalesce("text", F.lit("")), LINES), lambda x: strip(x) != ""), lambda x: F.size(split_row(x))))
+    each = t.select(*KEYS, "node_id", F.posexplode("n").alias("at", "n")).filter("n > 0").groupBy(*KEYS, "node_id", "n").agg(F.count("*").alias("rows"), F.min("at").alias("at"))
+    full = F.sum(F.when(F.col("n") >= 2, F.col("rows")).otherwise(0))
+    return each.groupBy(*KEYS, "node_id").agg(F.max_by("n", F.struct("rows", -F.col("at"))).alias("columns"), full.alias("table_rows"))
+
+
 def _qa(question: Column, answer: Column, regions: Column, quotes: Column, kind: str, why: Column) -> Column:
     return F.struct(
         question.alias("question"), answer.alias("answer"), regions.alias("evidence_region_ids"), quotes.alias("evidence_quotes"), F.lit(kind).alias("reasoning_type"), why.alias("reasoning_explanation")
@@ -123,7 +149,7 @@ def form_qas(nodes: DataFrame, config: QAConfig = QAConfig()) -> DataFrame:
     f = form_fields(_of(nodes, "form"), *KEYS, "node_id")
     w = Window.partitionBy(*KEYS, "node_id").orderBy("line", "field")
     f = f.withColumn("place", F.row_number().over(w) - 1).filter(F.col("place") < config.max_form)
-    q = _qa(filled(ASK_FIELD, F.col("key")), F.col("value"), F.array("node_id"), F.array(F.concat("key", F.lit(": "), "value")), "lookup", F.lit("The value stands beside its label in the form."))
+    q = _qa(filled(ASK_FIELD, F.col("key")), F.col("value"), F.array("node_id"), F.array(F.concat("key", F.lit(": "), "value")), "lookup", filled(WHY_FIELD, F.col("key")))
     return f.select(*KEYS, "node_id", "place", q.alias("q")).select(*KEYS, "node_id", "place", "q.*")
 
 
@@ -132,11 +158,11 @@ def table_qas(nodes: DataFrame, config: QAConfig = QAConfig()) -> DataFrame:
     header, data = F.col("rows")[0], F.slice("rows", 2, F.greatest(F.size("rows") - 1, F.lit(0)))
     me = F.array("node_id")
     n = F.size("rows") - 1
-    first = _qa(F.lit(ASK_HEADERS), F.array_join(header, ", "), me, F.array(F.array_join(header, " | ")), "lookup", F.lit("The first row names the columns."))
-    count = _qa(F.lit(ASK_ROWS), n.cast("string"), me, F.array(filled(SAY_ROWS, n.cast("string"))), "lookup", F.lit("The rows below the header are counted."))
+    first = _qa(F.lit(ASK_HEADERS), F.array_join(header, ", "), me, F.array(F.array_join(header, " | ")), "lookup", F.lit(WHY_HEADERS))
+    count = _qa(F.lit(ASK_ROWS), n.cast("string"), me, F.array(filled(SAY_ROWS, n.cast("string"))), "lookup", F.lit(WHY_ROWS))
 
     def cell(r: Column) -> Column:
-        return _qa(filled(ASK_CELL, header[1], r[0]), r[1], me, F.array(F.array_join(r, " | ")), "lookup", F.lit("The cell where row and column meet."))
+        return _qa(filled(ASK_CELL, header[1], r[0]), r[1], me, F.array(F.array_join(r, " | ")), "lookup", F.lit(WHY_CELL))
 
     cells = F.transform(F.filter(F.slice(data, 1, 3), lambda r: r[1] != ""), cell)
     return _listed(t, F.concat(F.array(first, count), cells), config.max_table)
@@ -144,7 +170,7 @@ def table_qas(nodes: DataFrame, config: QAConfig = QAConfig()) -> DataFrame:
 
 def figure_qas(nodes: DataFrame, config: QAConfig = QAConfig()) -> DataFrame:
     f = _of(nodes, "figure").withColumn("t", collapse(F.coalesce("text", F.lit("")))).filter("t <> ''")
-    q = _qa(F.lit(ASK_FIGURE), F.col("t"), F.array("node_id"), F.array(F.substring("text", 1, config.quote_chars)), "lookup", F.lit("The figure's own text describes it."))
+    q = _qa(F.lit(ASK_FIGURE), F.col("t"), F.array("node_id"), F.array(F.substring("text", 1, config.quote_chars)), "lookup", F.lit(WHY_FIGURE))
     return _listed(f, F.array(q), config.max_figure)
 
 
@@ -171,20 +197,24 @@ def titles(nodes: DataFrame, edges: DataFrame, config: QAConfig = QAConfig()) ->
     return c.withColumn("_r", F.row_number().over(w)).filter("_r = 1").select(*KEYS, "node_id", "category", "text", "title_id", "title")
 
 
-def title_qas(nodes: DataFrame, edges: DataFrame, config: QAConfig = QAConfig()) -> DataFrame:
-    t = titles(nodes, edges, config).withColumns({"t": collapse(F.coalesce("text", F.lit(""))), "rows": parse_table(F.coalesce("text", F.lit("")))})
-    is_table = F.col("category") == "table"
-    question = F.when(is_table, filled(ASK_TABLE_TITLE, F.col("title"))).otherwise(filled(ASK_FIGURE_TITLE, F.col("title")))
+def title_content(pairs: DataFrame, config: QAConfig = QAConfig()) -> DataFrame:
+    """A question for each pair of a title and its content: (keys, node_id, category, text, title_id, title) of any category."""
+    t = pairs.withColumns({"t": collapse(F.coalesce("text", F.lit(""))), "rows": parse_table(F.coalesce("text", F.lit("")))})
+    is_table, is_figure = F.col("category") == "table", F.col("category") == "figure"
+    question = F.when(is_table, filled(ASK_TABLE_TITLE, F.col("title"))).when(is_figure, filled(ASK_FIGURE_TITLE, F.col("title"))).otherwise(filled(ASK_OTHER_TITLE, F.col("title")))
     n = F.size("rows")
     columns = filled(SAY_COLUMNS, F.array_join(F.get("rows", F.lit(0)), ", "))
     counted = F.when(n > 1, filled(SAY_MORE_ROWS, (n - 1).cast("string"))).otherwise("")
-    table = F.when(n > 0, F.concat(columns, counted)).otherwise(F.substring("t", 1, config.fallback_chars))
-    figure = F.when(F.col("t") != "", F.col("t")).otherwise(SAY_FIGURE)
-    q = _qa(question, F.when(is_table, table).otherwise(figure), F.array("title_id", "node_id"), F.array("title", F.substring("t", 1, config.quote_chars)), "coreference",
-            F.concat(F.lit("The title belongs to the "), "category", F.lit(" beside it.")))
+    start = F.substring("t", 1, config.fallback_chars)
+    answer = F.when(is_table & (n > 0), F.concat(columns, counted)).when(is_figure, F.when(F.col("t") != "", F.col("t")).otherwise(SAY_FIGURE)).otherwise(start)
+    q = _qa(question, answer, F.array("title_id", "node_id"), F.array("title", F.substring("t", 1, config.quote_chars)), "coreference", filled(WHY_TITLE, F.col("category")))
     return _listed(t, F.array(q), 1)
 
 
+def title_qas(nodes: DataFrame, edges: DataFrame, config: QAConfig = QAConfig()) -> DataFrame:
+    return title_content(titles(nodes, edges, config), config)
+
+
 def summary_qas(nodes: DataFrame, config: QAConfig = QAConfig()) -> DataFrame:
     """A summary question for each of a page's longest long texts; ``place`` is the rank by length."""
     t = _of(nodes, "text").filter(T.is_long_text(F.col("text"), config.long_words)).withColumn("t", collapse(F.col("text")))
@@ -193,7 +223,7 @@ def summary_qas(nodes: DataFrame, config: QAConfig = QAConfig()) -> DataFrame:
     ws = F.split("t", " ")
     short = F.array_join(F.slice(ws, 1, config.summary_words), " ")
     answer = F.when(F.size(ws) > config.summary_words, F.concat(short, F.lit("..."))).otherwise(short)
-    q = _qa(F.lit(ASK_SUMMARY), answer, F.array("node_id"), F.array(F.substring("t", 1, config.quote_chars)), "comprehension", F.lit("The beginning of the text sums it up."))
+    q = _qa(F.lit(ASK_SUMMARY), answer, F.array("node_id"), F.array(F.substring("t", 1, config.quote_chars)), "comprehension", F.lit(WHY_SUMMARY))
     return t.select(*KEYS, "node_id", "place", q.alias("q")).select(*KEYS, "node_id", "place", "q.*")
 
 
@@ -259,6 +289,35 @@ def prompt(template: Column, a: dict[str, Column], b: dict[str, Column]) -> Colu
     return out
 
 
+# The prompt template for each pair of categories, whichever comes first.
+TEMPLATE_OF = {
+    ("text", "table"): "text_table_validation",
+    ("figure", "text"): "figure_caption_mapping",
+    ("text", "text"): "text_text_coreference",
+    ("table", "table"): "table_table_crosscheck",
+    ("form", "text"): "form_conclusion",
+}
+
+
+def template_key(a: Column, b: Column) -> Column:
+    """The template for two categories; null if there is none."""
+    out = F.lit(None).cast("string")
+    for (x, y), key in TEMPLATE_OF.items():
+        out = F.when(((a == x) & (b == y)) | ((a == y) & (b == x)), key).otherwise(out)
+    return out
+
+
+def with_templates(pairs: DataFrame, templates: DataFrame) -> DataFrame:
+    """Pairs with the row of their template (template, reasoning_type, prompt_template); pairs without one are left out."""
+    return pairs.join(templates, "template")
+
+
+def evidence_nodes(qas: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The nodes that each question's evidence names: (keys, idx, place, node_id, region_type, bounds); ids of no node are left out."""
+    each = qas.select(*KEYS, "idx", F.posexplode("evidence_region_ids").alias("place", "node_id"))
+    return each.join(nodes.select(*KEYS, "node_id", "region_type", "xmin", "ymin", "xmax", "ymax"), [*KEYS, "node_id"])
+
+
 def model_pairs(nodes: DataFrame, edges: DataFrame, text_words: int = 20) -> DataFrame:
     """Pairs worth a model's question: a table with its first long text neighbour, a figure with its first caption-sized one."""
     side = nodes.withColumn("category", T.region_category(F.col("region_type")))
@@ -272,35 +331,94 @@ def model_pairs(nodes: DataFrame, edges: DataFrame, text_words: int = 20) -> Dat
                        F.when(table, "text_table_validation").otherwise("figure_caption_mapping").alias("template"))
 
 
-# --- declared quality rules ---------------------------------------------------------------------------------------------------------
-# What a usable question and answer must keep to.
-LEAST_QUESTION_WORDS, MOST_ANSWER_CHARS = 5, 500
-_REGION_TALK = r"(?i)\b(?:region|node|block|bbox|bounding box)\s*(?:\d+|id)\b"
+# --- declared rules -----------------------------------------------------------------------------------------------------------------
+# What a usable question and answer must keep to, and what a question must not say.
+LEAST_QUESTION_WORDS, MOST_ANSWER_CHARS, LEAST_CONSISTENCY = 5, 500, 0.3
+REJECTED = {
+    "vague": ("what is this", "describe", "explain", "tell me about"),
+    "region_reference": ("region 1", "region 2", "first region", "second region", "in the first region", "in the second region"),
+    "trivial": ("what is written in region", "read region", "what does region contain"),
+}
+
+
+def _terms(text: Column) -> Column:
+    return F.array_distinct(F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != ""))
+
+
+def consistency(answer: Column, quotes: Column) -> Column:
+    """Share of the answer's distinct words that stand in the quotes; 1 for an answer without words."""
+    words = _terms(F.coalesce(answer, F.lit("")))
+    return F.when(F.size(words) == 0, 1.0).otherwise(F.size(F.array_intersect(words, _terms(F.coalesce(quotes, F.lit(""))))) / F.size(words))
 
 
 def quality_flags(df: DataFrame) -> DataFrame:
-    """Which declared rules each row keeps: fields there, quotes there, question long enough, answer short enough, no talk of regions."""
+    """Which declared rules each row keeps: fields there, a quote there, question long enough, answer short enough, answer in the quotes,
+    no vague or trivial question and none about regions, which readers can't see. ``kept``: all of them."""
     text = lambda c: F.coalesce(F.col(c), F.lit(""))
     quotes = F.from_json("evidence_quotes", "array<string>")
-    return df.withColumns({
-        "has_fields": (strip(text("question")) != "") & (strip(text("answer")) != "") & F.col("reasoning_type").isNotNull(), "has_quotes": F.coalesce(F.size(quotes) > 0, F.lit(False)),
-        "long_question": T.word_count(F.col("question")) >= LEAST_QUESTION_WORDS, "short_answer": F.length(text("answer")) <= MOST_ANSWER_CHARS, "free_of_regions": ~text("question").rlike(_REGION_TALK),
-    })
+    low = F.lower(text("question"))
+    says = lambda kind: F.exists(F.array(*map(F.lit, REJECTED[kind])), lambda p: F.contains(low, p))
+    flags = {
+        "has_fields": (strip(text("question")) != "") & (strip(text("answer")) != "") & F.col("evidence_region_ids").isNotNull() & F.col("evidence_quotes").isNotNull() & F.col("reasoning_type").isNotNull(),
+        "has_quotes": F.coalesce(F.size(quotes) > 0, F.lit(False)), "long_question": T.word_count(F.col("question")) >= LEAST_QUESTION_WORDS, "short_answer": F.length(text("answer")) <= MOST_ANSWER_CHARS,
+        "consistent": consistency(F.col("answer"), F.array_join(quotes, " ")) >= LEAST_CONSISTENCY, **{f"not_{k}": ~says(k) for k in REJECTED},
+    }
+    df = df.withColumns(flags)
+    kept = F.lit(True)
+    for k in flags:
+        kept = kept & F.col(k)
+    return df.withColumn("kept", kept)
+
+
+_LONG_DATE = r"\d{1,2}[/-]\d{1,2}[/-]\d{2,4}|\d{4}[/-]\d{1,2}[/-]\d{1,2}|\w+\s+\d{1,2},?\s+\d{4}"
+# The questions that each rule template takes.
+TEMPLATES = {
+    "FORM_001": r"(what is|what's|value of)\s+(the\s+)?([\w\s]+)\?",
+    "FORM_002": r"(when|what date|what is the date|which date).*\?",
+    "FORM_003": r"(how much|what is the|what's the).*(total|amount|price|cost|quantity|number).*\?",
+    "FORM_004": r"(is|was|has).*\?(yes|no|checked|selected)?",
+    "TABLE_001": r"(what is|what's|find).*\bfor\b.*|.*\bwhere\b.*",
+    "TABLE_002": r"(what are|list|show).*(column|header|field).*",
+    "TABLE_003": r"(how many|count|total number).*",
+    "TABLE_004": r"(what is|find|what's).*\bwhere\b.*|.*\bwhen\b.*",
+    "TEXTBLOCK_001": r"(who|what|which).*(name|company|organization|person|location).*\?",
+    "TEXTBLOCK_002": r"(when|what date|which date).*\?",
+    "TEXTBLOCK_003": r"(how much|what is the|what amount).*(cost|price|amount|total|fee|charge|payment).*\?",
+    "TEXTBLOCK_004": r"(what is the|where|what's the).*(address|location|street|city).*\?",
+}
+# What the answers of the templates for dates, amounts and addresses must hold.
+DETECTORS = {
+    "date": _LONG_DATE + r"|\d{1,2}\s+\w+\s+\d{4}",
+    "amount": r"\$\s*\d+[,.]?\d*|\d+[,.]\d{2}\s*(USD|EUR|GBP|dollars?|euros?|pounds?)|\d+[,.]\d{2,3}",
+    "street": r"\d+\s+[A-Z][a-zA-Z\s]+(?:Street|St|Avenue|Ave|Road|Rd|Boulevard|Blvd|Lane|Ln|Drive|Dr)",
+    "zip": r"\b\d{5}(?:-\d{4})?\b",
+    "city_state": r"[A-Z][a-zA-Z\s]+,\s*[A-Z]{2}",
+    "full_address": r"\d+\s+[A-Z][a-zA-Z\s,]+\d{5}",
+}
+# Boxes and words for yes and no.
+BOOLEANS = {"✓": "yes", "☑": "yes", "checked": "yes", "✗": "no", "☐": "no", "unchecked": "no", "yes": "yes", "no": "no", "true": "yes", "false": "no"}
 
 
-# Detectors of answer kinds.
-_DETECT = {
-    "date": r"\b\d{1,2}[/\-.]\d{1,2}[/\-.]\d{2,4}\b|\b\d{4}-\d{2}-\d{2}\b|\b(?:January|February|March|April|May|June|July|August|September|October|November|December)\b",
-    "amount": r"[$€£¥]\s?\d[\d,]*(?:\.\d+)?|\b\d[\d,]*(?:\.\d+)?\s?(?:USD|EUR|dollars|euros)\b",
-    "address": r"\b\d+\s+[A-Z][a-z]+(?:\s+[A-Z][a-z]+)*\s+(?:Street|St|Avenue|Ave|Road|Rd|Lane|Ln|Drive|Dr|Boulevard|Blvd)\b",
-    "boolean": r"(?i)^(?:yes|no|true|false|y|n)\b",
-}
+def matching_templates(question: Column) -> Column:
+    """Ids of the rule templates that take the question, in their order."""
+    q = F.coalesce(question, F.lit(""))
+    return F.filter(F.array(*(F.when(q.rlike("(?i)" + p), k) for k, p in TEMPLATES.items())), lambda x: x.isNotNull())
+
+
+def detected(answer: Column) -> Column:
+    """Which kinds of value an answer holds: date, amount, street, zip, city_state, full_address, in this order."""
+    a = F.coalesce(answer, F.lit(""))
+    return F.filter(F.array(*(F.when(a.rlike(p), k) for k, p in DETECTORS.items())), lambda x: x.isNotNull())
+
+
+def boolean_value(answer: Column) -> Column:
+    """yes or no for an answer that is nothing but a box or a word for it, else null."""
+    a = F.lower(strip(F.coalesce(answer, F.lit(""))))
+    return F.element_at(F.create_map(*(F.lit(x) for kv in BOOLEANS.items() for x in kv)), a)
 
 
 def answer_kind(answer: Column) -> Column:
     """date, amount, address or boolean: the first that an answer holds, else text."""
-    t = F.coalesce(answer, F.lit(""))
-    out = F.when(t.rlike(_DETECT["date"]), "date")
-    for k in ("amount", "address", "boolean"):
-        out = out.when(t.rlike(_DETECT[k]), k)
-    return out.otherwise("text")
+    found = detected(answer)
+    has = lambda *kinds: F.arrays_overlap(found, F.array(*map(F.lit, kinds)))
+    return F.when(has("date"), "date").when(has("amount"), "amount").when(has("street", "zip", "city_state", "full_address"), "address").when(boolean_value(answer).isNotNull(), "boolean").otherwise("text")

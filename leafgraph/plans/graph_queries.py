@@ -26,6 +26,18 @@ def _iou(s, d):
     return rounded(G._pairs(n).select("doc_id", "page_no", F.col("a_node_id").alias("source"), F.col("b_node_id").alias("target"), g.iou("a_", "b_").alias("iou")).filter("iou > 0"), "iou")
 
 
+def _flat_documents(docs):
+    """Every part of the nested documents as text, so that both engines compare them whole."""
+    units = lambda x, n: F.floor(x * n + 0.5).cast("long").cast("string")
+    at = lambda x: F.concat_ws(",", *(units(x[i][j], 1000.0) for i in (0, 2) for j in (0, 1)))
+    show = lambda c, f: F.array_join(F.transform(c, f), "¶")
+    nodes_text = show("nodes", lambda n: F.concat_ws("|", n["node_id"].cast("string"), F.coalesce(n["region_type"], F.lit("-")), at(n["bbox"]), F.coalesce(units(n["score"], 10000.0), F.lit("-")), n["text"]))
+    edges_text = show("edges", lambda e: F.concat_ws("|", e["source"].cast("string"), e["target"].cast("string"), e["relation"], units(e["score"], 10000.0), e["category"]))
+    entries = F.array_sort(F.transform(F.map_entries("adjacency"), lambda x: F.struct(x["key"].cast("int").alias("k"), x["value"].alias("v"))))
+    adjacency = show(entries, lambda x: F.concat(x["k"].cast("string"), F.lit(":"), F.array_join(x["v"].cast("array<string>"), ",")))
+    return docs.select("doc_id", "page_no", "version", "metadata.source_image", "metadata.num_regions", "metadata.num_nodes", "metadata.num_edges", nodes_text.alias("nodes"), edges_text.alias("edges"), adjacency.alias("adjacency"))
+
+
 QUERIES = {
     "graph_nodes": lambda s, d: rounded(nodes(s, d), "xmin", "ymin", "xmax", "ymax"),
     "graph_edges_topk": lambda s, d: rounded(edges(s, d), "score"),
@@ -34,15 +46,15 @@ QUERIES = {
     "graph_adjacency": lambda s, d: G.adjacency(edges(s, d)).select("doc_id", "page_no", "source", F.array_join(F.col("neighbors").cast("array<string>"), ",").alias("neighbors")),
     "graph_undirected_adjacency": lambda s, d: G.undirected_adjacency(nodes(s, d), edges(s, d)),
     "graph_degree_stats": lambda s, d: rounded(G.degree_stats(nodes(s, d), edges(s, d)), "avg_out", "avg_in"),
-    "edge_score_stats": lambda s, d: rounded(G.score_stats(edges(s, d)), "mean", "median", "least", "greatest", "deviation"),
-    "edge_scores_by_relation": lambda s, d: rounded(G.score_stats(edges(s, d), "relation"), "mean", "median", "least", "greatest", "deviation"),
+    "edge_score_stats": lambda s, d: rounded(G.score_stats(edges(s, d)), "mean", "lower_quartile", "median", "upper_quartile", "least", "greatest", "deviation"),
+    "edge_scores_by_relation": lambda s, d: rounded(G.score_stats(edges(s, d), "relation"), "mean", "lower_quartile", "median", "upper_quartile", "least", "greatest", "deviation"),
     "edge_score_histogram": lambda s, d: G.score_histogram(edges(s, d)),
     "relation_distribution": lambda s, d: rounded(G.share_of_total(edges(s, d), "relation"), "percent"),
     "region_type_distribution": lambda s, d: rounded(G.share_of_total(nodes(s, d), "region_type"), "percent"),
     "top_edges": lambda s, d: rounded(G.edge_ends(nodes(s, d), edges(s, d)).orderBy(F.desc("score"), "doc_id", "page_no", "source", "target", "relation").limit(20), "score").drop("rank"),
     "canvas_extent": lambda s, d: G.canvas(nodes(s, d)),
     "box_iou": _iou,
-    "graph_documents": lambda s, d: G.graph_documents(nodes(s, d), edges(s, d)).select("doc_id", "page_no", "version", F.col("metadata.source_image").alias("source_image"), F.col("metadata.num_nodes").alias("num_nodes"), F.col("metadata.num_edges").alias("num_edges"), F.size("adjacency").alias("sources")),
+    "graph_documents": lambda s, d: _flat_documents(G.graph_documents(nodes(s, d), edges(s, d))),
 }
 
 
@@ -81,7 +93,7 @@ nodes AS (
   SELECT doc_id, page_no, node_id, region_type, list_min(list_transform(bbox, lambda p: p[1])) AS xmin, list_min(list_transform(bbox, lambda p: p[2])) AS ymin,
          list_max(list_transform(bbox, lambda p: p[1])) AS xmax, list_max(list_transform(bbox, lambda p: p[2])) AS ymax, score,
          substr(replace(coalesce(text, ''), chr(10), ' '), 1, 200) AS text,
-         coalesce(region_type = 'text' AND len(string_split(coalesce(text, ''), chr(10))) <= 3 AND length(replace(coalesce(text, ''), chr(10), '')) < 150, false) AS is_short
+         coalesce(region_type = 'text' AND len(string_split(coalesce(text, ''), chr(10))) <= 3 AND length(replace(coalesce(text, ''), chr(10), '')) < 150, false) AS is_short, coalesce(text, '') AS whole
   FROM ranked WHERE rn = 1 AND bbox IS NOT NULL AND doc_id IS NOT NULL AND page_no IS NOT NULL AND node_id IS NOT NULL
 )
 """
@@ -122,7 +134,7 @@ edges AS (
 )
 
 _E = "SELECT doc_id, page_no, source, target, relation, round(score, 6) AS score, category, rank FROM edges"
-_STATS = "count(*) AS edges, round(avg(score), 6) AS mean, round(median(score), 6) AS median, round(min(score), 6) AS least, round(max(score), 6) AS greatest, round(stddev_pop(score), 6) AS deviation"
+_STATS = "count(*) AS edges, round(avg(score), 6) AS mean, round(quantile_cont(score, 0.25), 6) AS lower_quartile, round(median(score), 6) AS median, round(quantile_cont(score, 0.75), 6) AS upper_quartile, round(min(score), 6) AS least, round(max(score), 6) AS greatest, round(stddev_pop(score), 6) AS deviation"
 
 ORACLE = {
     "graph_nodes": NODES_SQL + "SELECT * FROM nodes",
@@ -156,7 +168,11 @@ ORDER BY e.score DESC, e.doc_id, e.page_no, source, target, relation LIMIT 20"""
   {_area("a")} AS sa, {_area("b")} AS sb FROM nodes a JOIN nodes b ON a.doc_id = b.doc_id AND a.page_no = b.page_no AND a.node_id <> b.node_id)
 SELECT doc_id, page_no, source, target, round(i / (sa + sb - i), 6) AS iou FROM inter WHERE sa + sb - i > 0 AND i > 0""",
     "graph_documents": EDGES_SQL
-    + """, e AS (SELECT doc_id, page_no, count(*) AS m, count(DISTINCT source) AS k FROM edges GROUP BY ALL)
-SELECT n.doc_id, n.page_no, '1.0' AS version, n.doc_id || '_' || n.page_no || '.png' AS source_image, count(*) AS num_nodes, coalesce(any_value(m), 0) AS num_edges, coalesce(any_value(k), 0) AS sources
-FROM nodes n LEFT JOIN e USING (doc_id, page_no) GROUP BY n.doc_id, n.page_no""",
+    + """, adj AS (SELECT doc_id, page_no, source, string_agg(target::VARCHAR, ',' ORDER BY rank) AS v FROM edges GROUP BY ALL),
+a AS (SELECT doc_id, page_no, string_agg(source || ':' || v, '¶' ORDER BY source) AS adjacency FROM adj GROUP BY ALL),
+e AS (SELECT doc_id, page_no, count(*) AS m, string_agg(concat_ws('|', source, target, relation, CAST(CAST(floor(score * 10000e0 + 0.5e0) AS BIGINT) AS VARCHAR), category), '¶' ORDER BY source, rank) AS edges FROM edges GROUP BY ALL),
+n AS (SELECT doc_id, page_no, count(*) AS num_nodes, string_agg(concat_ws('|', node_id, coalesce(region_type, '-'), concat_ws(',', CAST(floor(xmin * 1000e0 + 0.5e0) AS BIGINT), CAST(floor(ymin * 1000e0 + 0.5e0) AS BIGINT), CAST(floor(xmax * 1000e0 + 0.5e0) AS BIGINT), CAST(floor(ymax * 1000e0 + 0.5e0) AS BIGINT)),
+  coalesce(CAST(CAST(floor(score * 10000e0 + 0.5e0) AS BIGINT) AS VARCHAR), '-'), text), '¶' ORDER BY node_id) AS nodes FROM nodes GROUP BY ALL)
+SELECT doc_id, page_no, '1.0.0' AS version, doc_id || '_' || page_no || '.png' AS source_image, CAST(num_nodes AS INTEGER) AS num_regions, CAST(num_nodes AS INTEGER) AS num_nodes, CAST(coalesce(m, 0) AS INTEGER) AS num_edges, nodes, coalesce(edges, '') AS edges, coalesce(adjacency, '') AS adjacency
+FROM n LEFT JOIN e USING (doc_id, page_no) LEFT JOIN a USING (doc_id, page_no)""",
 }

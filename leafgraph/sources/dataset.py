@@ -54,6 +54,11 @@ def first_of_split(df: DataFrame, split: str, order: str, most: int) -> DataFram
     return df.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= most).drop("_r")
 
 
+def random_rows(df: DataFrame, most: int, seed: int) -> DataFrame:
+    """Some rows by chance; the same ones for the same seed and partitions. Each task keeps its best ``most`` before they are merged."""
+    return df.orderBy(F.rand(seed)).limit(most)
+
+
 def still_to_do(images: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """Images without a valid output."""
     return images.join(done.select(key).distinct(), key, "left_anti")
@@ -79,3 +84,42 @@ def read_json_documents(spark, path: str, leave_out: str = "dataset_statistics.j
     """Whole JSON files as text, by file name, apart from the statistics file."""
     df = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").text(path)
     return df.select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("payload")).filter(F.col("file_name") != leave_out)
+
+
+def read_csv(spark, path: str, schema: str) -> DataFrame:
+    """CSV files as ``write_csv`` writes them; a partition column may be among the columns."""
+    return spark.read.option("header", "true").option("quote", '"').option("escape", '"').option("multiLine", "true").schema(schema).csv(path)
+
+
+def read_templates(spark, path: str) -> DataFrame:
+    """Prompt templates of a JSON file: (template, reasoning_type, prompt_template, system_prompt)."""
+    kind = "system_prompt string, prompt_templates map<string, struct<reasoning_type: string, prompt_template: string>>"
+    text = spark.read.option("wholetext", "true").text(path).select(F.from_json("value", kind).alias("j"))
+    return text.select("j.system_prompt", F.explode("j.prompt_templates").alias("template", "t")).select("template", "t.*", "system_prompt")
+
+
+_REGION = "array<struct<region_type: string, score: double, block: struct<bbox: array<array<double>>, lines: array<struct<text: string>>>>>"
+
+
+def regions_of_payload(df: DataFrame, payload: str = "payload") -> DataFrame:
+    """Regions of stored results: those of ``layout``, else those at the top, else none. Adds node_id, region_type, bbox, score and text."""
+    j = F.from_json(F.col(payload), f"layout struct<regions: {_REGION}>, regions {_REGION}")
+    rows = df.withColumn("_j", j).select(*df.columns, F.posexplode(F.coalesce("_j.layout.regions", "_j.regions", F.array().cast(_REGION))).alias("node_id", "_r"))
+    return rows.select(*df.columns, "node_id", F.col("_r.region_type").alias("region_type"), F.col("_r.block.bbox").alias("bbox"), F.col("_r.score").alias("score"), F.array_join("_r.block.lines.text", "\n").alias("text")).drop(payload)
+
+
+# The regions of the demonstration page.
+DEMO_REGIONS = (
+    ("TextBlock", 50.0, 50.0, 300.0, 100.0, 0.95, "Document Title: Annual Report 2024"),
+    ("TextBlock", 50.0, 120.0, 200.0, 160.0, 0.92, "Table 1: Quarterly Sales Figures"),
+    ("Table", 50.0, 180.0, 350.0, 350.0, 0.88, "Q1: $1.2M | Q2: $1.5M | Q3: $1.8M | Q4: $2.1M"),
+    ("TextBlock", 400.0, 50.0, 550.0, 100.0, 0.90, "Figure 1: Sales Growth Chart"),
+    ("Figure", 400.0, 120.0, 650.0, 350.0, 0.85, "[Chart Image]"),
+    ("TextBlock", 50.0, 380.0, 650.0, 450.0, 0.93, "The sales figures show consistent growth across all quarters..."),
+)
+
+
+def demo_regions(spark) -> DataFrame:
+    """The demonstration page as graph nodes."""
+    rows = [("demo", 1, k, *r, False) for k, r in enumerate(DEMO_REGIONS)]
+    return spark.createDataFrame(rows, "doc_id string, page_no int, node_id int, region_type string, xmin double, ymin double, xmax double, ymax double, score double, text string, is_short boolean")

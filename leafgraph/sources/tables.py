@@ -15,14 +15,23 @@ def table(spark: SparkSession, directory: str, name: str, *columns: str) -> Data
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The checkpoint folder that the cluster names in ``spark.checkpoint.dir``; where unset (tests on one machine), a folder of our own."""
+    """The checkpoint folder that the cluster names in ``spark.checkpoint.dir``; where unset, as in tests on one machine, a folder of our own.
+
+    On a cluster it must be set: a folder of one machine isn't there for the others."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
+        if not named and not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all machines share")
         context.setCheckpointDir(named or tempfile.mkdtemp(prefix="leafgraph-"))
     return context._jsc.sc().getCheckpointDir().get()
 
 
+def fresh_path(spark: SparkSession, name: str) -> str:
+    """A place in the shared folder that nothing else uses."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     """The rows, written to the shared folder: lost executors lose nothing, and later plans don't compute them again."""
     shared_folder(df.sparkSession)
@@ -33,7 +42,7 @@ def written(df: DataFrame, name: str, by: str | None = None) -> DataFrame:
     """The rows, written as a compressed table to the shared folder and read again; later reads prune its columns.
 
     ``by``: a column of few values that later reads filter by; each value then has its own files."""
-    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    path = fresh_path(df.sparkSession, name)
     writer = df.write.partitionBy(by) if by else df.write
     writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path).select(*df.columns)

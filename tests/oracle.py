@@ -66,7 +66,7 @@ def main(names: list[str]) -> int:
     import __spark_entry__ as e
 
     d = "/root/testdata/sf0.01"
-    spark = SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8").config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false").config("spark.driver.memory", "8g").getOrCreate()
+    spark = SparkSession.builder.master("local[8]").config("spark.sql.shuffle.partitions", "8").config("spark.sql.session.timeZone", "UTC").config("spark.ui.enabled", "false").config("spark.driver.memory", "8g").config("spark.ui.showConsoleProgress", "false").getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     con, qs, sqls, bad = connect(d), e.queries(), e.oracle_sql(), 0
     for name in names or sqls:
