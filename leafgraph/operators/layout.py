@@ -76,9 +76,9 @@ def token_pairs(tokens: DataFrame, config: LayoutConfig = LayoutConfig()) -> Dat
     return p.select("doc_id", F.col("a_token_id").alias("a"), F.col("b_token_id").alias("b"))
 
 
-def tokens_of_lines(tokens: DataFrame, config: LayoutConfig = LayoutConfig()) -> DataFrame:
-    """Tokens with the label of their line, the smallest token id in it. The tokens are read three times, so they are written first."""
-    tokens = written(tokens, "tokens")
+def tokens_of_lines(tokens: DataFrame, config: LayoutConfig = LayoutConfig(), stored: bool = False) -> DataFrame:
+    """Tokens with the label of their line, the smallest token id in it. They are read three times, so they are written first if they aren't ``stored``."""
+    tokens = tokens if stored else written(tokens, "tokens")
     labels = components(tokens.select("doc_id", F.col("token_id").alias("id")), token_pairs(tokens, config))
     return tokens.join(labels.withColumnRenamed("id", "token_id"), ["doc_id", "token_id"])
 
@@ -195,35 +195,48 @@ def block_features(block_lines: DataFrame, labelled: DataFrame, config: LayoutCo
     )
     shape = shape.join(key_values(block_lines).select(*keys, "keyvalue_ratio", "has_pattern"), keys)
     home = block_lines.filter("label IS NOT NULL").select("doc_id", "block_id", "line_id", "label")
-    tok = labelled.select("doc_id", "label", "token_id", "text", *BOUNDS).join(home, ["doc_id", "label"]).withColumn("cx", (F.col("xmin") + F.col("xmax")) / 2)
-    cw = medians(tok, *keys, config=config).select(*keys, "char_width")
-    tok = tok.join(cw, keys)
-    wide, slim = F.greatest(F.lit(50.0), 5 * F.col("char_width")), F.greatest(F.lit(30.0), 3 * F.col("char_width"))
-    centers = column_islands(tok, wide, *keys).groupBy(*keys).agg(F.count("*").alias("num_cols"), F.array_sort(F.collect_list("center")).alias("centers"))
-    narrow = column_islands(tok, slim, *keys).groupBy(*keys).agg(F.count("*").alias("text_cols"))
-    near = F.array_min(F.transform("centers", lambda c: F.abs(F.col("cx") - c))) < wide
-    aligned = tok.join(centers.select(*keys, "centers"), keys).groupBy(*keys, "line_id").agg(F.max(near.cast("int")).alias("hit")).groupBy(*keys).agg(F.sum("hit").alias("aligned"))
-    t = tok.join(shape.select(*keys, *(F.col(c).alias("b_" + c) for c in BOUNDS)), keys)
+    tok = labelled.select("doc_id", "label", "token_id", "text", *BOUNDS).join(home, ["doc_id", "label"])
+    return shape.join(_token_features(tok, shape, keys, config), keys, "left").fillna(0, ["num_cols", "text_cols", "aligned", "token_n", "ticks", "right_n", "full_cells"])
+
+
+def _cells(lo: Column, hi: Column, columns: Column) -> Column:
+    """Bits of five rows of ten cells: those of ``columns`` in the rows from lo to hi (0 to 4)."""
+    first, last = F.greatest(lo, F.lit(0)).cast("int"), F.least(hi, F.lit(4)).cast("int")
+    bit = lambda n: F.call_function("shiftleft", F.lit(1).cast("long"), n)
+    return F.when(first <= last, columns * ((bit(10 * (last + 1)) - bit(10 * first)) / 1023).cast("long")).otherwise(F.lit(0).cast("long"))
+
+
+def _token_features(tok: DataFrame, shape: DataFrame, keys: list[str], config: LayoutConfig) -> DataFrame:
+    """What the detectors look at among a block's tokens. All of it is windows and one aggregate over one partitioning by block.
+
+    Columns are density clusters of token centres: runs without a gap above a reach. A column of two tokens or more shows as a token that
+    opens a run and isn't followed by another such; a token can only be near the centre of its own run, as all others are farther than
+    the reach. The middle of the block is a grid of ten by ten cells, kept as bits of two numbers."""
+    around = Window.partitionBy(*keys)
+    order = around.orderBy("cx", "token_id")
+    tok = tok.join(shape.select(*keys, *(F.col(c).alias("b_" + c) for c in BOUNDS)), keys).withColumn("cx", (F.col("xmin") + F.col("xmax")) / 2)
+    n = F.length("text")
+    tok = tok.withColumn("_cw", F.coalesce(F.percentile(F.when(n > 0, (F.col("xmax") - F.col("xmin")) / n), F.lit(0.5)).over(around), F.lit(config.default_char_width)))
+    wide, slim = F.greatest(F.lit(50.0), 5 * F.col("_cw")), F.greatest(F.lit(30.0), 3 * F.col("_cw"))
+    gap = F.col("cx") - F.lag("cx").over(order)
+    tok = tok.withColumns({"_wide": wide, "_opens": F.coalesce(gap > wide, F.lit(True)), "_slim": F.coalesce(gap > slim, F.lit(True))})
+    alone = lambda c: F.coalesce(F.lead(c).over(order), F.lit(True))  # noqa: E731  the next token opens a run, too
+    tok = tok.withColumns({"_run": F.sum(F.col("_opens").cast("int")).over(order.rowsBetween(Window.unboundedPreceding, 0)), "_column": F.col("_opens") & ~alone("_opens"), "_text": F.col("_slim") & ~alone("_slim")})
+    run = Window.partitionBy(*keys, "_run")
+    near = (F.count("*").over(run) >= 2) & (F.abs(F.col("cx") - F.avg("cx").over(run)) < F.col("_wide"))
     bw, bh = F.col("b_xmax") - F.col("b_xmin"), F.col("b_ymax") - F.col("b_ymin")
     at = lambda v, lo, ext: F.coalesce(F.try_divide(F.col(v) - F.col(lo), ext) * 20, F.lit(0.0)).cast("int")
+    x1, x2 = F.greatest(at("xmin", "b_xmin", bw) - 5, F.lit(0)), F.least(at("xmax", "b_xmin", bw) - 5, F.lit(9))
+    y1, y2 = at("ymin", "b_ymin", bh) - 5, at("ymax", "b_ymin", bh) - 5
+    bit = lambda n: F.call_function("shiftleft", F.lit(1).cast("long"), n)
+    columns = F.when(x1 <= x2, bit(x2 + 1) - bit(x1)).otherwise(F.lit(0).cast("long"))
     bare = strip(F.col("text"))
     tick = bare.rlike(r"(?U)^-?\d+\.?\d*$") & (F.length(bare) <= 6)
-    figure = t.groupBy(*keys).agg(F.count("*").alias("token_n"), F.count_if(tick).alias("ticks"), F.count_if(F.col("xmin") > F.col("b_xmin") + 0.7 * bw).alias("right_n"))
-    gx1, gx2, gy1, gy2 = at("xmin", "b_xmin", bw), at("xmax", "b_xmin", bw), at("ymin", "b_ymin", bh), at("ymax", "b_ymin", bh)
-    grid = t.select(*keys, F.greatest(gx1, F.lit(5)).alias("x1"), F.least(gx2, F.lit(14)).alias("x2"), F.greatest(gy1, F.lit(5)).alias("y1"), F.least(gy2, F.lit(14)).alias("y2")).filter("x1 <= x2 AND y1 <= y2")
-    cells = grid.select(*keys, F.explode(F.sequence("x1", "x2")).alias("x"), "y1", "y2").select(*keys, "x", F.explode(F.sequence("y1", "y2")).alias("y"))
-    center = cells.groupBy(*keys).agg(F.count_distinct("x", "y").alias("full_cells"))
-    out = shape
-    for extra in (centers.drop("centers"), narrow, aligned, figure, center):
-        out = out.join(extra, keys, "left")
-    return out.fillna(0, ["num_cols", "text_cols", "aligned", "token_n", "ticks", "right_n", "full_cells"])
-
-
-def _weighted(parts: dict[str, Column], weights: dict[str, float]) -> Column:
-    total = F.lit(0.0)
-    for name, weight in weights.items():
-        total = total + parts[name] * weight
-    return total
+    tok = tok.withColumns({"_near": near, "_tick": tick, "_right": F.col("xmin") > F.col("b_xmin") + 0.7 * bw, "_upper": _cells(y1, y2, columns), "_lower": _cells(y1 - 5, y2 - 5, columns)})
+    return tok.groupBy(*keys).agg(
+        F.count_if("_column").alias("num_cols"), F.count_if("_text").alias("text_cols"), F.count_distinct(F.when(F.col("_near"), F.col("line_id"))).alias("aligned"), F.count("*").alias("token_n"), F.count_if("_tick").alias("ticks"),
+        F.count_if("_right").alias("right_n"), (F.bit_count(F.bit_or("_upper")) + F.bit_count(F.bit_or("_lower"))).alias("full_cells"),
+    )
 
 
 # Weights and limits of the four detectors.
@@ -250,8 +263,9 @@ def hypotheses(features: DataFrame) -> DataFrame:
     spread = F.when(c("m_gap") > 0, c("sd_gap") / c("m_gap")).otherwise(1.0)
     cols = c("num_cols")
     can_table = (n >= TABLE_LEAST_LINES) & (c("token_n") >= TABLE_LEAST_TOKENS)
-    parts = {"columns": cols / TABLE_FULL_COLUMNS, "stability": stable, "consistency": consistency, "several": multi, "spacing": 1 - F.least(one, spread)}
-    table = F.when(can_table, _weighted(parts, TABLE_WEIGHTS)).otherwise(0.0)
+    w = TABLE_WEIGHTS
+    looks_table = cols / TABLE_FULL_COLUMNS * w["columns"] + stable * w["stability"] + consistency * w["consistency"] + multi * w["several"] + (1 - F.least(one, spread)) * w["spacing"]
+    table = F.when(can_table, looks_table).otherwise(0.0)
     is_table = can_table & (cols >= 2) & (((stable >= 0.5) & (spread < 0.4)) | ((consistency >= 0.6) & (multi >= 0.6)) | ((cols >= 3) & (stable >= 0.4)))
     left, right = _even(c("sd_left"), c("m_left")), _even(c("sd_right"), c("m_right"))
     uneven = c("sd_len") / F.greatest(c("avg_len"), one)
@@ -259,18 +273,17 @@ def hypotheses(features: DataFrame) -> DataFrame:
     limit = JUSTIFIED_LIMITS
     justified = (left >= limit["left"]) & (right >= limit["right"]) & (long >= limit["long"]) & (avg > limit["length"])
     true_form = ((colon >= 0.25) & (short >= 0.3) & (uneven > 0.25)) | ((colon >= 0.1) & (left >= 0.65) & (right < 0.65) & (short >= 0.25))
-    looks = {"colon": colon, "short": short, "uneven": uneven, "left": left}
-    form = (
-        F.when(n < 2, 0.0).when(c("has_pattern"), FORM_PATTERN_SCORE + colon * FORM_PATTERN_WEIGHT).when(justified, 0.0).when(true_form, _weighted(looks, FORM_WEIGHTS)).otherwise(_weighted(looks, FORM_ELSE_WEIGHTS))
-    )
-    block_look = {"edges": (left + right) / 2, "long": long, "length": F.least(one, avg / FULL_LENGTH)}
-    boost = (
-        F.when(n < 2, 0.0).when(c("has_pattern"), BOOSTS["pattern"]).when(justified, _weighted(block_look, JUSTIFIED_WEIGHTS)).when(true_form, BOOSTS["form"]).otherwise(0.0)
-    )
+    w = FORM_WEIGHTS
+    looks_form = colon * w["colon"] + short * w["short"] + uneven * w["uneven"] + left * w["left"]
+    otherwise = colon * FORM_ELSE_WEIGHTS["colon"] + left * FORM_ELSE_WEIGHTS["left"]
+    form = F.when(n < 2, 0.0).when(c("has_pattern"), FORM_PATTERN_SCORE + colon * FORM_PATTERN_WEIGHT).when(justified, 0.0).when(true_form, looks_form).otherwise(otherwise)
+    w = JUSTIFIED_WEIGHTS
+    looks_justified = (left + right) / 2 * w["edges"] + long * w["long"] + F.least(one, avg / FULL_LENGTH) * w["length"]
+    boost = F.when(n < 2, 0.0).when(c("has_pattern"), BOOSTS["pattern"]).when(justified, looks_justified).when(true_form, BOOSTS["form"]).otherwise(0.0)
     flat = (c("xmax") == c("xmin")) | (c("ymax") == c("ymin"))
     empty, legend = 1 - c("full_cells") / FIGURE_CELLS, c("right_n") >= FIGURE_LEGEND_TOKENS
-    seen = {"empty": empty, "ticks": F.least(one, c("ticks") / FIGURE_FULL_TICKS), "legend": legend.cast("double")}
-    figure = F.when(flat, 0.0).otherwise(_weighted(seen, FIGURE_WEIGHTS))
+    w = FIGURE_WEIGHTS
+    figure = F.when(flat, 0.0).otherwise(empty * w["empty"] + F.least(one, c("ticks") / FIGURE_FULL_TICKS) * w["ticks"] + legend.cast("double") * w["legend"])
     even = F.coalesce(_even(c("sd_gap"), c("m_gap")), F.lit(0.0))
     jb = F.when(justified, TEXT_WEIGHTS["justified"]).otherwise(0.0)
     text = F.when(n < 2, 0.0).otherwise(F.least(one, F.least(one, avg / FULL_LENGTH) * TEXT_WEIGHTS["length"] + even * TEXT_WEIGHTS["spacing"] + jb + boost))
@@ -283,7 +296,7 @@ def hypotheses(features: DataFrame) -> DataFrame:
 
 def regions(scored: DataFrame, config: LayoutConfig = LayoutConfig()) -> DataFrame:
     """The best two hypotheses of each block that reach the least score of their type, numbered by block and rank."""
-    w = Window.partitionBy("doc_id", "block_id").orderBy(F.desc("score"), "type_ord")
+    w = Window.partitionBy("doc_id", "block_id").orderBy(F.desc(F.round("score", 9)), "type_ord")  # equal but for the last bits is equal
     least = F.create_map(*(F.lit(x) for kv in config.min_scores.items() for x in kv))
     top = scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= config.top_hypotheses).filter(F.col("score") >= F.element_at(least, F.col("region_type")))
     return top.withColumn("region_id", F.row_number().over(Window.partitionBy("doc_id").orderBy("block_id", "rank")) - 1)
@@ -291,17 +304,18 @@ def regions(scored: DataFrame, config: LayoutConfig = LayoutConfig()) -> DataFra
 
 def analyze(tokens: DataFrame, config: LayoutConfig = LayoutConfig()) -> dict[str, DataFrame]:
     """All stages: labelled tokens, lines, block lines, hypotheses and regions. What several stages read is written once."""
-    labelled = written(tokens_of_lines(usable(written(tokens, "pages")), config), "tokens")
+    labelled = written(tokens_of_lines(usable(written(tokens, "pages")), config, stored=True), "tokens")
     raw = lines(labelled)
     block_lines = written(lines_of_blocks(written(form_split(raw), "lines"), config), "blocks")
     scored = hypotheses(block_features(block_lines, labelled, config))
     return {"tokens": labelled, "lines": raw, "block_lines": block_lines, "hypotheses": scored, "regions": regions(scored, config)}
 
 
-def region_nodes(result: dict[str, DataFrame], line_separator: str = " ", most: int = 200) -> DataFrame:
-    """Regions as graph nodes: (doc_id, page_no, node_id, region_type, bounds, score, text, is_short)."""
+def region_nodes(result: dict[str, DataFrame], line_separator: str = " ", most: int | None = 200) -> DataFrame:
+    """Regions as graph nodes: (doc_id, page_no, node_id, region_type, bounds, score, text, is_short). Questions take whole texts (``most`` None)
+    with their line breaks."""
     ordered = F.array_sort(F.collect_list(F.struct("pos", "text")))
     text = result["block_lines"].groupBy("doc_id", "block_id").agg(F.array_join(F.transform(ordered, lambda x: x["text"]), line_separator).alias("text"), F.count("*").alias("_n"), F.sum(F.length("text")).alias("_c"))
     r = result["regions"].join(text, ["doc_id", "block_id"])
     short = (F.col("region_type") == "text") & (F.col("_n") <= 3) & (F.col("_c") < 150)
-    return r.select(F.col("doc_id").cast("string").alias("doc_id"), F.lit(1).alias("page_no"), F.col("region_id").alias("node_id"), "region_type", *BOUNDS, "score", F.substring("text", 1, most).alias("text"), short.alias("is_short"))
+    return r.select(F.col("doc_id").cast("string").alias("doc_id"), F.lit(1).alias("page_no"), F.col("region_id").alias("node_id"), "region_type", *BOUNDS, "score", (F.col("text") if most is None else F.substring("text", 1, most)).alias("text"), short.alias("is_short"))

@@ -100,38 +100,41 @@ nodes AS (
 
 _OBJ_A, _OBJ_B = "coalesce(a.region_type IN ('figure', 'table'), false)", "coalesce(b.region_type IN ('figure', 'table'), false)"
 
-EDGES_SQL = (
-    NODES_SQL
-    + f""",
-pairs AS (
+
+def edges_sql(names: tuple[str, ...] = ("pairs", "scored", "relations", "kept", "edges")) -> str:
+    """SQL tables from ``nodes`` to ``edges``, by these names."""
+    pairs, scored, relations, kept, edges = names
+    return f""",
+{pairs} AS (
   SELECT a.doc_id, a.page_no, a.node_id AS source, b.node_id AS target, {_left("a", "b")} AS s0, {_left("b", "a")} AS s1, {_above("a", "b")} AS s2, {_above("b", "a")} AS s3,
          {_inside("a", "b")} AS s4, {_inside("b", "a")} AS s5, {_DIST} AS dist, a.is_short AS sa, b.is_short AS sb, {_OBJ_A} AS oa, {_OBJ_B} AS ob, a.region_type AS ta, b.region_type AS tb
   FROM nodes a JOIN nodes b ON a.doc_id = b.doc_id AND a.page_no = b.page_no AND a.node_id <> b.node_id
 ),
-scored AS (
+{scored} AS (
   SELECT *, CASE WHEN dist <= 200 THEN greatest(0e0, 1e0 - dist / 200e0) ELSE 0e0 END AS s6,
          CASE WHEN sa AND ob AND s2 > 0 THEN 0.9e0 * s2 WHEN sa AND ob AND s3 > 0 THEN 0.8e0 * s3 WHEN oa AND sb AND s3 > 0 THEN 0.9e0 * s3 WHEN oa AND sb AND s2 > 0 THEN 0.8e0 * s2
               WHEN dist < 200 AND ((ta = 'table' AND tb = 'text' AND NOT sb) OR (ta = 'text' AND tb = 'table' AND NOT sa)) THEN 0.7e0 * (1e0 - dist / 200e0) ELSE 0e0 END AS s7,
          CASE WHEN sa AND ob AND (s2 > 0 OR s3 > 0) THEN 'is_caption_of' WHEN oa AND sb AND (s2 > 0 OR s3 > 0) THEN 'has_caption'
               WHEN dist < 200 AND ta = 'table' AND tb = 'text' AND NOT sb THEN 'has_explanation' WHEN dist < 200 AND ta = 'text' AND tb = 'table' AND NOT sa THEN 'explains' END AS cap
-  FROM pairs
+  FROM {pairs}
 ),
-relations AS (
-  SELECT doc_id, page_no, source, target, 0 AS rel_ord, 'left_of' AS relation, s0 AS score, 'spatial' AS category FROM scored
-  UNION ALL SELECT doc_id, page_no, source, target, 1, 'right_of', s1, 'spatial' FROM scored
-  UNION ALL SELECT doc_id, page_no, source, target, 2, 'above', s2, 'spatial' FROM scored
-  UNION ALL SELECT doc_id, page_no, source, target, 3, 'below', s3, 'spatial' FROM scored
-  UNION ALL SELECT doc_id, page_no, source, target, 4, 'inside', s4, 'spatial' FROM scored
-  UNION ALL SELECT doc_id, page_no, source, target, 5, 'contains', s5, 'spatial' FROM scored
-  UNION ALL SELECT doc_id, page_no, source, target, 6, 'nearest_neighbor', s6, 'proximity' FROM scored
-  UNION ALL SELECT doc_id, page_no, source, target, 7, cap, s7, 'semantic' FROM scored WHERE cap IS NOT NULL
+{relations} AS (
+  SELECT doc_id, page_no, source, target, 0 AS rel_ord, 'left_of' AS relation, s0 AS score, 'spatial' AS category FROM {scored}
+  UNION ALL SELECT doc_id, page_no, source, target, 1, 'right_of', s1, 'spatial' FROM {scored}
+  UNION ALL SELECT doc_id, page_no, source, target, 2, 'above', s2, 'spatial' FROM {scored}
+  UNION ALL SELECT doc_id, page_no, source, target, 3, 'below', s3, 'spatial' FROM {scored}
+  UNION ALL SELECT doc_id, page_no, source, target, 4, 'inside', s4, 'spatial' FROM {scored}
+  UNION ALL SELECT doc_id, page_no, source, target, 5, 'contains', s5, 'spatial' FROM {scored}
+  UNION ALL SELECT doc_id, page_no, source, target, 6, 'nearest_neighbor', s6, 'proximity' FROM {scored}
+  UNION ALL SELECT doc_id, page_no, source, target, 7, cap, s7, 'semantic' FROM {scored} WHERE cap IS NOT NULL
 ),
-kept AS (SELECT * FROM relations WHERE score >= 0.2),
-edges AS (
-  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, page_no, source ORDER BY score DESC, target, rel_ord) AS rank FROM kept) WHERE rank <= 5
+{kept} AS (SELECT * FROM {relations} WHERE score >= 0.2),
+{edges} AS (
+  SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, page_no, source ORDER BY score DESC, target, rel_ord) AS rank FROM {kept}) WHERE rank <= 5
 )
 """
-)
+
+EDGES_SQL = NODES_SQL + edges_sql()
 
 _E = "SELECT doc_id, page_no, source, target, relation, round(score, 6) AS score, category, rank FROM edges"
 _STATS = "count(*) AS edges, round(avg(score), 6) AS mean, round(quantile_cont(score, 0.25), 6) AS lower_quartile, round(median(score), 6) AS median, round(quantile_cont(score, 0.75), 6) AS upper_quartile, round(min(score), 6) AS least, round(max(score), 6) AS greatest, round(stddev_pop(score), 6) AS deviation"

@@ -1,4 +1,5 @@
-"""Pages of tokens with boxes, laid out by rule from the tables, for the layout stage: prose pages of documents and form pages of orders.
+"""Pages of tokens with boxes, laid out by rule from the tables, for the layout stage: prose pages of documents, form pages of orders, and the
+scanned pages, word by word within the boxes of their regions: uneven heights, gaps, words that run over other boxes, and pages that fail.
 
 A character is 8 wide, a line 16 high, lines are 24 apart; ``DOCUMENT_TOKENS_SQL`` and ``ORDER_TOKENS_SQL`` say the same in SQL.
 """
@@ -8,7 +9,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from leafgraph.functions import geometry as g
 from leafgraph.functions.textnorm import WS, collapse
+from leafgraph.operators.graph import latest
 from leafgraph.sources.tables import table
 
 WORDS_A_LINE, LINES_A_PARAGRAPH, PARAGRAPH_GAP = 12, 5, 40
@@ -60,3 +63,31 @@ ORDER_TOKENS_SQL = (
     )
     + "), tokens AS (SELECT doc_id, token_id, text, xmin, ymin, xmin + 8 * length(text) AS xmax, ymin + 16 AS ymax FROM cells)"
 )
+
+
+def region_tokens(spark, d: str) -> DataFrame:
+    """Every scanned page: the lines of a region share its height, a word stands where its characters do. Regions without a box give tokens without one."""
+    r = table(spark, d, "graph_visualization_output", "doc_id", "page_no", "node_id", "bbox", "text", "created_at", "region_id")
+    r = latest(r, ("doc_id", "page_no", "node_id"), ("created_at", "region_id")).filter("doc_id IS NOT NULL AND page_no IS NOT NULL AND node_id IS NOT NULL")
+    box = g.corners_bounds(F.col("bbox"))
+    lines = F.split(F.replace(F.coalesce("text", F.lit("")), F.lit("\t"), F.lit("    ")), "\n")
+    r = r.select(F.concat_ws("_", "doc_id", F.col("page_no").cast("string")).alias("doc_id"), "node_id", *(v.alias(k) for k, v in box.items()), lines.alias("_l"))
+    step = (F.col("ymax") - F.col("ymin")) / F.size("_l")
+    r = r.withColumn("_h", step).select("doc_id", "node_id", "xmin", "ymin", "_h", F.posexplode("_l").alias("line", "_t"))
+    r = r.withColumn("_w", F.split("_t", " ")).select("doc_id", "node_id", "xmin", "ymin", "_h", "line", "_w", F.posexplode("_w").alias("k", "text")).filter("text <> ''")
+    before = F.when(F.col("k") > 0, F.length(F.array_join(F.slice("_w", F.lit(1), F.col("k")), " ")) + 1).otherwise(0)
+    x, y = F.col("xmin") + 8 * before, F.col("ymin") + F.col("_h") * F.col("line")
+    number = F.row_number().over(Window.partitionBy("doc_id").orderBy("node_id", "line", "k")) - 1
+    t = r.select("doc_id", number.alias("token_id"), "text", F.lit(0.9).alias("confidence"), x.alias("xmin"), y.alias("ymin"), "_h")
+    return t.select("doc_id", "token_id", "text", "confidence", "xmin", "ymin", (F.col("xmin") + 8 * F.length("text")).alias("xmax"), (F.col("ymin") + 0.8 * F.col("_h")).alias("ymax"))
+
+
+REGION_TOKENS_SQL = """
+WITH RECURSIVE newest AS (SELECT * FROM graph_visualization_output WHERE doc_id IS NOT NULL AND page_no IS NOT NULL AND node_id IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY doc_id, page_no, node_id ORDER BY created_at DESC NULLS LAST, region_id DESC) = 1),
+boxed AS (SELECT doc_id || '_' || page_no AS doc_id, node_id, list_min(list_transform(bbox, lambda p: p[1])) AS x, list_min(list_transform(bbox, lambda p: p[2])) AS y, list_max(list_transform(bbox, lambda p: p[2])) AS y2,
+  string_split(replace(coalesce(text, ''), chr(9), '    '), chr(10)) AS ls FROM newest),
+spread AS (SELECT doc_id, node_id, x, y, (y2 - y) / len(ls) AS h, i - 1 AS line, string_split(ls[i], ' ') AS ws FROM (SELECT *, unnest(range(1, len(ls) + 1)) AS i FROM boxed)),
+placed AS (SELECT doc_id, node_id, line, k, ws[k] AS text, x + 8 * CASE WHEN k > 1 THEN length(array_to_string(ws[1:k - 1], ' ')) + 1 ELSE 0 END AS xmin, y + h * line AS ymin, h FROM (SELECT *, unnest(range(1, len(ws) + 1)) AS k FROM spread)),
+tokens AS (SELECT doc_id, CAST(row_number() OVER (PARTITION BY doc_id ORDER BY node_id, line, k) - 1 AS INTEGER) AS token_id, text, xmin, ymin, xmin + 8 * length(text) AS xmax, ymin + 0.8e0 * h AS ymax FROM placed WHERE text <> '')
+"""
