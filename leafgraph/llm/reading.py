@@ -1,25 +1,31 @@
 """Reading level of each English prose document (problem 8).
 
-A Rasch-style latent model in its ideal-point form: document d has a level t_d, word w a difficulty b_w and a spread s_w, and the log odds
-that w occurs in d are ``a_w - (t_d - b_w)^2 / (2 s_w^2)``. (The monotone Rasch curve can't hold here: easy words become rarer as texts
-become harder.) Its likelihood equations are solved by alternating two steps over all documents, each a distributed sum:
+A Rasch-style latent model in its ideal-point form: document d has a level t_d, and word w's log odds among the words that occur at level t
+are ``a_w + b_w t - c_w t^2``: a curve with its top at the word's difficulty ``b_w / 2 c_w``. (The monotone Rasch curve, c_w = 0, can't hold
+alone: easy words become rarer as texts become harder.) Given the number of its different words, a document's words have the likelihood
+``sum(a_w + b_w t - c_w t^2) - n log Z(t)``, where Z sums over all words, those that don't occur included. It is maximised, with a normal prior
+on b_w and c_w that keeps rare words flat, by alternating two steps over all documents:
 
-* words: b_w and s_w are mean and spread of the levels of the documents in which w occurs;
-* documents: t_d is the mean difficulty of its words, each weighted by 1 / s_w^2, so that words of all levels (function words) hardly count.
+* documents: t_d is the maximum of its likelihood, which is three sums over its words and the curve log Z, known on a grid of levels;
+* words: Newton steps on a_w, b_w, c_w from three distributed sums for each word (documents, their levels, squared levels) and one histogram
+  of the words at each level, from which the expected sums follow.
 
-Documents graded by readers are held at their grade, and after each round the scale is set so that the graded documents' estimates fit
-their grades; this keeps the latent scale that of the grades. Levels are cut midway between the graded documents of neighbouring grades.
+Rounds end when the log likelihood of a word changes by less than ``gain``, after ``rounds`` at the latest. Documents graded by readers are held at their grade; since such a scale
+can be stretched and shifted without changing the likelihood, after each round a line is fitted that brings the graded documents' own
+estimates onto their grades. Levels are cut midway between the graded documents of neighbouring grades.
 
 Words are hashed to ``2**bits`` slots. That bounds what is sent to tasks and gathered at the driver (three numbers a slot) whatever the
-corpus. Texts are tokenised once; the slots of eligible documents are checkpointed in the cluster's shared folder and all rounds read them.
-The grades are a small table; at most ``most_graded`` are used (a documented bound; more would only sharpen the scale).
+corpus; with a million words a word shares its slot with one other on average, most of them words of few documents, which weigh little.
+Texts are tokenised once; the slots of eligible documents are checkpointed in the cluster's shared folder and all rounds read them.
+The grades are a small table; at most ``most_graded`` are used, those of the smallest ids (a documented bound; more would only sharpen the
+scale).
 
 Eligible are documents whose greater part is prose (as in ``quality``), in blocks whose function words are English, with ``least_words``
 words or more of it.
 
 Defined results for odd input: null, blank or foreign texts and texts without enough prose have no row; a repeated document has a row for
-each time it stands there; grades of unknown or ineligible documents are ignored; null grades too; without any usable grade the result is
-empty, as there is no scale.
+each time it stands there; grades of unknown or ineligible documents are ignored; null grades too; a document of numbers only has no row;
+without any usable grade the result is empty, as there is no scale.
 """
 
 from __future__ import annotations
@@ -82,63 +88,109 @@ def _slots(docs: DataFrame, doc_id: str, text: str, bits: int, least_words: int)
     return map_columns(docs, {"i": F.col(doc_id).cast("long"), "t": text}, make, "doc_id long, slots array<int>")
 
 
-def _levels(values: np.ndarray, offsets: np.ndarray, difficulty: np.ndarray, weight: np.ndarray) -> np.ndarray:
-    """Weighted mean difficulty of each document's slots; NaN where none of them is known."""
-    cum = lambda x: np.concatenate(([0.0], np.cumsum(x)))
-    w = weight[values]
-    num, den = cum(w * difficulty[values]), cum(w)
-    with np.errstate(invalid="ignore", divide="ignore"):
-        return (num[offsets[1:]] - num[offsets[:-1]]) / (den[offsets[1:]] - den[offsets[:-1]])
-
-
 def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     offsets = column.offsets.to_numpy()
     return column.values.to_numpy(), offsets
 
 
 class Scale:
-    """Word difficulties and weights, and the line that brings estimates onto the grades."""
-
-    def __init__(self, size: int):
-        self.difficulty = np.zeros(size, np.float32)
-        self.weight = np.zeros(size, np.float32)
+    """The words' curves, log Z on a grid of levels, and the line that brings estimates onto the grades."""
+
+    def __init__(self, size: int, low: float, high: float, points: int = 97):
+        self.a = np.full(size, -np.inf, np.float32)
+        self.b, self.c = np.zeros(size, np.float32), np.zeros(size, np.float32)
+        self.middle = (low + high) / 2
+        self.grid = np.linspace(low, high, points) - self.middle
+        self.log_z = np.zeros(points)
         self.slope, self.shift = 1.0, 0.0
 
-    def learn(self, slots: np.ndarray, n: np.ndarray, s1: np.ndarray, s2: np.ndarray, spread: float) -> None:
-        """Words step, from sums over the documents of each slot. Spreads of words in few documents are drawn to the overall spread."""
-        mean = s1 / n
-        var = np.maximum(s2 / n - mean**2, 0.0)
-        var = (n * var + 4.0 * spread) / (n + 4.0)
-        self.difficulty[:] = 0
-        self.weight[:] = 0
-        self.difficulty[slots] = mean
-        self.weight[slots] = (1.0 / (var + 0.02)) * (n / (n + 2.0))
-
-    def fit(self, raw: np.ndarray, grades: np.ndarray) -> None:
-        ok = np.isfinite(raw)
-        raw, grades = raw[ok], grades[ok]
-        if len(raw) > 1 and np.ptp(raw) > 1e-9 and np.ptp(grades) > 0:
-            self.slope, self.shift = np.polyfit(raw, grades, 1)
+    def learn(self, slots: np.ndarray, n: np.ndarray, s1: np.ndarray, s2: np.ndarray, words_at: np.ndarray, prior: float, steps: int = 4) -> None:
+        """Words step: Newton steps for the words of these sums (documents, levels and squared levels from the middle); ``words_at``: words at each level of the grid."""
+        fresh = ~np.isfinite(self.a[slots])
+        self.a[slots[fresh]] = np.log(n[fresh] / n.sum())
+        powers = np.stack((np.ones_like(self.grid), self.grid, -(self.grid**2)))
+        for _ in range(steps):
+            self._normalize(slots)
+            weight = words_at * np.exp(-self.log_z)
+            for lo in range(0, len(slots), 1 << 15):
+                at = slots[lo : lo + (1 << 15)]
+                theta = np.stack((self.a[at], self.b[at], self.c[at]), 1).astype(np.float64)
+                expected = np.exp(theta @ powers) * weight  # of each word at each level
+                pull = np.array([0.0, prior, prior])
+                seen = np.stack((n[lo : lo + len(at)], s1[lo : lo + len(at)], -s2[lo : lo + len(at)]), 1)
+                gradient = seen - expected @ powers.T - pull * theta
+                curvature = np.einsum("wg,ig,jg->wij", expected, powers, powers) + np.diag(pull + 1e-6)
+                theta += np.clip(np.linalg.solve(curvature, gradient[:, :, None])[:, :, 0], -1.0, 1.0)
+                self.a[at], self.b[at], self.c[at] = theta[:, 0], theta[:, 1], np.clip(theta[:, 2], 0.0, 16.0)
+        self._normalize(slots)
+
+    def _normalize(self, slots: np.ndarray) -> None:
+        z = np.zeros(len(self.grid))
+        for lo in range(0, len(slots), 1 << 15):
+            at = slots[lo : lo + (1 << 15)]
+            z += np.exp(self.a[at, None] + self.b[at, None] * self.grid - self.c[at, None] * self.grid**2).sum(0)
+        self.log_z = np.log(z)
+
+    def anchor(self, own: np.ndarray, grades: np.ndarray) -> None:
+        ok = np.isfinite(own)
+        own, grades = own[ok], grades[ok]
+        if len(own) > 1 and np.ptp(own) > 1e-9 and np.ptp(grades) > 0:
+            self.slope, self.shift = np.polyfit(own, grades, 1)
         else:
-            self.slope, self.shift = 1.0, float(grades.mean() - raw.mean()) if len(raw) else 0.0
+            self.slope, self.shift = 1.0, float(grades.mean() - own.mean()) if len(own) else 0.0
+
+    def own_levels(self, values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Documents step: each document's level before the line, its log likelihood there and its known words; NaN without any."""
+        known = np.isfinite(self.a[values])
+        sums = []
+        for x in (known, np.where(known, self.a[values], 0.0), np.where(known, self.b[values], 0.0), np.where(known, self.c[values], 0.0)):
+            total = np.concatenate(([0.0], np.cumsum(x, dtype=np.float64)))
+            sums.append(total[offsets[1:]] - total[offsets[:-1]])
+        n, a, b, c = sums
+        g = self.grid
+        surface = b[:, None] * g - c[:, None] * g**2 - n[:, None] * self.log_z
+        top = np.clip(surface.argmax(1), 1, len(g) - 2)
+        rows = np.arange(len(n))
+        left, mid, right = (surface[rows, top + k] for k in (-1, 0, 1))
+        bend = left - 2 * mid + right
+        with np.errstate(invalid="ignore", divide="ignore"):
+            step = np.where(bend < 0, np.clip((left - right) / (2 * bend), -1, 1), 0.0)  # top of the parabola through the three
+        t = np.where(n > 0, self.middle + g[top] + step * (g[1] - g[0]), np.nan)
+        return t, a + surface.max(1, initial=-np.inf), n
 
     def estimate(self, values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        return self.slope * _levels(values, offsets, self.difficulty, self.weight) + self.shift
+        return self.slope * self.own_levels(values, offsets)[0] + self.shift
+
+
+_LIKELIHOOD = -1  # below it the levels of the grid
 
 
-def _word_sums(docs: DataFrame, scale: Scale, grades: dict[int, int], lo: float, hi: float) -> tuple[np.ndarray, ...]:
-    """Per slot: documents, and sums of their levels and squared levels. Dense per task, so tasks send at most a row a slot."""
-    size = len(scale.difficulty)
+def _word_sums(docs: DataFrame, scale: Scale, grades: dict[int, int]) -> tuple[tuple[np.ndarray, ...], np.ndarray, float]:
+    """Documents step over all documents: sums for each slot, words at each level, and the log likelihood of a word. Dense per task, so
+    tasks send at most a row a slot."""
+    shared = docs.sparkSession.sparkContext.broadcast(scale)
 
     def run(batches):
-        n, s1, s2 = np.zeros(size), np.zeros(size), np.zeros(size)
+        scale = shared.value
+        size, points = len(scale.a), len(scale.grid)
+        n, s1, s2, at_level = np.zeros(size), np.zeros(size), np.zeros(size), np.zeros(points)
+        gain = words = 0.0
         for batch in batches:
             values, offsets = _flat(batch.column(1))
-            t = np.clip(scale.estimate(values, offsets), lo, hi)
+            own, likelihood, known = scale.own_levels(values, offsets)
+            t = np.clip(scale.slope * own + scale.shift - scale.middle, scale.grid[0], scale.grid[-1])
             for k, i in enumerate(batch.column(0).to_pylist()):
                 if i in grades:
-                    t[k] = grades[i]
-            per = np.repeat(t, np.diff(offsets))
+                    t[k] = grades[i] - scale.middle
+            ok = known > 0
+            gain += float(likelihood[ok].sum())
+            words += float(known[ok].sum())
+            size_of = np.diff(offsets)
+            ok = np.isfinite(t)
+            place = np.where(ok, (t - scale.grid[0]) / (scale.grid[1] - scale.grid[0]), 0.0)
+            low = np.clip(place.astype(np.int64), 0, points - 2)
+            at_level += np.bincount(low, np.where(ok, size_of * (1 - place + low), 0.0), points) + np.bincount(low + 1, np.where(ok, size_of * (place - low), 0.0), points)
+            per = np.repeat(t, size_of)
             v = values[offsets[0] : offsets[-1]]
             ok = np.isfinite(per)
             v, per = v[ok], per[ok]
@@ -146,16 +198,23 @@ def _word_sums(docs: DataFrame, scale: Scale, grades: dict[int, int], lo: float,
             s1 += np.bincount(v, per, size)
             s2 += np.bincount(v, per * per, size)
         at = np.flatnonzero(n)
-        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(n[at]), pa.array(s1[at]), pa.array(s2[at])], ["slot", "n", "s1", "s2"])
+        slot = np.concatenate((at, _LIKELIHOOD - 1 - np.arange(points), [_LIKELIHOOD])).astype(np.int32)
+        nothing = np.zeros(points)
+        yield pa.RecordBatch.from_arrays([pa.array(slot), *(pa.array(np.concatenate((x[at], y, [z]))) for x, y, z in ((n, at_level, gain), (s1, nothing, words), (s2, nothing, 0.0)))], ["slot", "n", "s1", "s2"])
 
     sums = docs.mapInArrow(run, "slot int, n double, s1 double, s2 double").groupBy("slot").agg(F.sum("n").alias("n"), F.sum("s1").alias("s1"), F.sum("s2").alias("s2"))
     got = sums.toArrow()
-    return tuple(got.column(c).to_numpy() for c in ("slot", "n", "s1", "s2"))
+    slot, n, s1, s2 = (got.column(c).to_numpy() for c in ("slot", "n", "s1", "s2"))
+    levels, word = slot < _LIKELIHOOD, slot >= 0
+    words_at = np.zeros(len(scale.grid))
+    words_at[_LIKELIHOOD - 1 - slot[levels]] = n[levels]
+    one = slot == _LIKELIHOOD
+    return tuple(x[word] for x in (slot, n, s1, s2)), words_at, float(n[one].sum() / max(s1[one].sum(), 1.0))
 
 
-def fit_levels(slots: DataFrame, labels: DataFrame, doc_id: str, level: str, rounds: int, bits: int, most_graded: int) -> tuple[Scale, list[tuple[int, float]]] | None:
+def fit_levels(slots: DataFrame, labels: DataFrame, doc_id: str, level: str, rounds: int, gain: float, prior: float, bits: int, most_graded: int) -> tuple[Scale, list[tuple[int, float]]] | None:
     """The scale, and the lowest estimate of each level; None without grades."""
-    rows = labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(level).cast("int").alias("level")).dropna().limit(most_graded).collect()
+    rows = labels.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(level).cast("int").alias("level")).dropna().orderBy("doc_id", "level").limit(most_graded).collect()
     grades = {r.doc_id: r.level for r in rows}
     if not grades:
         return None
@@ -165,16 +224,20 @@ def fit_levels(slots: DataFrame, labels: DataFrame, doc_id: str, level: str, rou
     lists = [np.array(r.slots, np.int32) for r in graded]
     values, offsets = np.concatenate(lists), np.concatenate(([0], np.cumsum([len(x) for x in lists])))
     y = np.array([grades[r.doc_id] for r in graded], float)
-    scale = Scale(1 << bits)
+    scale = Scale(1 << bits, y.min() - 0.75, y.max() + 0.75)
     at, inverse = np.unique(values, return_inverse=True)
-    per = np.repeat(y, np.diff(offsets))
-    sums = [np.bincount(inverse, x) for x in (np.ones_like(per), per, per * per)]
-    spread = float(y.var()) or 1.0
-    scale.learn(at, *sums, spread)
-    scale.fit(_levels(values, offsets, scale.difficulty, scale.weight), y)
-    for _ in range(rounds):
-        scale.learn(*_word_sums(slots, scale, grades, y.min() - 0.5, y.max() + 0.5), spread)
-        scale.fit(_levels(values, offsets, scale.difficulty, scale.weight), y)
+    per = np.repeat(y - scale.middle, np.diff(offsets))
+    place = np.repeat(np.abs(scale.grid[None, :] - (y - scale.middle)[:, None]).argmin(1), np.diff(offsets))
+    scale.learn(at, *(np.bincount(inverse, x) for x in (np.ones_like(per), per, per * per)), np.bincount(place, minlength=len(scale.grid)).astype(float), prior)
+    scale.anchor(scale.own_levels(values, offsets)[0], y)
+    before = -np.inf
+    for k in range(rounds):
+        sums, words_at, likelihood = _word_sums(slots, scale, grades)
+        if k > 1 and abs(likelihood - before) < gain:  # the first round knows the words of graded documents only
+            break
+        before = likelihood
+        scale.learn(*sums, words_at, prior)
+        scale.anchor(scale.own_levels(values, offsets)[0], y)
     return scale, cut_points(scale.estimate(values, offsets), y.astype(int))
 
 
@@ -189,21 +252,21 @@ def cut_points(estimates: np.ndarray, grades: np.ndarray) -> list[tuple[int, flo
     return cuts
 
 
-def reading_levels(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label_id: str = "doc_id", level: str = "reading_level", least_words: int = 80, rounds: int = 3, bits: int = 18, most_graded: int = 100_000) -> DataFrame:
+def reading_levels(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label_id: str = "doc_id", level: str = "reading_level", least_words: int = 80, rounds: int = 12, gain: float = 2e-3, prior: float = 2.0, bits: int = 20, most_graded: int = 100_000) -> DataFrame:
     """Rows (doc_id, reading_level, difficulty): level on the scale of the grades, and the latent estimate before it is cut."""
-    slots = checkpointed(_slots(docs, doc_id, text, bits, least_words))
-    fitted = fit_levels(slots, labels, label_id, level, rounds, bits, most_graded)
+    slots = checkpointed(_slots(docs, doc_id, text, bits, least_words).filter(F.size("slots") > 0))
+    fitted = fit_levels(slots, labels, label_id, level, rounds, gain, prior, bits, most_graded)
     if fitted is None:
         return docs.sparkSession.createDataFrame([], "doc_id long, reading_level int, difficulty double")
-    scale, cuts = fitted
-    names, edges = [c[0] for c in cuts], np.array([c[1] for c in cuts])
+    shared = docs.sparkSession.sparkContext.broadcast(fitted)
 
     def run(batches):
+        scale, cuts = shared.value
+        names, edges = np.array([c[0] for c in cuts], np.int32), np.array([c[1] for c in cuts])
         for batch in batches:
             t = scale.estimate(*_flat(batch.column(1)))
-            t = np.where(np.isfinite(t), t, edges[-1] if len(edges) == 1 else 0.0)
             at = np.maximum(np.searchsorted(edges, t, side="right") - 1, 0)
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.array(names, np.int32)[at]), pa.array(t)], ["doc_id", "reading_level", "difficulty"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names[at]), pa.array(t)], ["doc_id", "reading_level", "difficulty"])
 
     return slots.mapInArrow(run, "doc_id long, reading_level int, difficulty double")
 
