@@ -2,10 +2,12 @@
 
 A text is taken block by block (blank lines part blocks), a block line by line:
 
-* delimiters: tabs, pipes and wide gaps split a line into cells; lines with the same number of cells below one another are aligned, and
-  the share of aligned lines is the block's ``alignment``. A column written cell under cell shows as values on most lines, and as
-  autocorrelation of the lines' kinds and lengths at the row's length (``row_period``);
-* markers and indentation: the share of lines that begin with a list marker or repeat the indentation of the line one period before;
+* delimiters: tabs, pipes and wide gaps split a line into cells; lines with the same number of cells below one another are aligned. Gaps of
+  two blanks count only where they stand above one another, column on column (``gap_columns``), as they do in tables and not in spaced prose;
+  the share of aligned lines is the block's ``alignment``. A column written cell under cell shows as values on most lines, or as
+  autocorrelation of the lines' kinds and lengths at the row's length (``row_period``, ``length_period``);
+* markers and indentation: the share of lines that begin with a list marker; hanging indents, where each item's first line stands out and the
+  rest goes on deeper (``hanging_items``), and levels that return with a period (``indent_period``);
 * ratios: words, mean word length, symbols, lines closed by punctuation, words among the common function words of four languages, words
   without a vowel, words repeated on and on.
 
@@ -33,6 +35,8 @@ KINDS = ("prose", "list", "table", "junk")
 _COMMON = frozenset(w for words in FUNCTION_WORDS.values() for w in words)
 _VOWEL = re.compile(r"[aeiouyàâäáéèêëíîïóôöúùûüœæ]", re.I)
 _CELLS = re.compile(r"\t+|\s*\|\s*|\s{3,}")
+_NARROW = re.compile(r"\t+|\s*\|\s*|\s{2,}")
+_GAP = re.compile(r"(?<=\S) {2,}(?=\S)")
 _VALUE = re.compile(r"[-(+]?[$€£¥]?\s?\d[\d.,:/]*\s?%?\)?|[-–—]|n/?a|\d+\s?[a-zA-Z]{1,3}", re.I)
 _MARKER = re.compile(r"\s*(?:[-*•·–‣◦o+>]|\(?(?:\d{1,3}|[a-zA-Z]|[ivxlc]{1,5})[.):])\s+(?=\S)")
 _CLOSED = re.compile(r"""[.!?;:]["'”’)\]]*\s*$""")
@@ -82,14 +86,60 @@ def row_period(kinds: list[bool], lengths: list[int], longest: int = 12) -> tupl
     return best
 
 
+def length_period(lengths: list[int], longest: int = 12) -> float:
+    """By how much line lengths agree better at their best shift than at most others: 0 for even or random lines, near 1 for rows.
+    Rows have to come back almost alike, two and a half times at least."""
+    n = len(lengths)
+    fits = [sum(abs(lengths[i] - lengths[i + shift]) <= 1 for i in range(n - shift)) / (n - shift) for shift in range(1, min(longest, n // 2) + 1)]
+    if len(fits) < 2:
+        return 0.0
+    best = max(range(1, len(fits)), key=fits.__getitem__)
+    if fits[best] < 0.85 or n * 2 < 5 * (best + 1):
+        return 0.0
+    others = sorted(f for k, f in enumerate(fits) if (k + 1) % (best + 1))
+    return fits[best] - others[len(others) // 2] if others else 0.0
+
+
+def gap_columns(lines: list[str]) -> list[bool]:
+    """Which lines have a gap of two blanks or more that overlaps one of the line above or below."""
+    spans = [[m.span() for m in _GAP.finditer(x)] for x in lines]
+
+    def meet(a: list[tuple[int, int]], b: list[tuple[int, int]]) -> bool:
+        return any(lo < hi2 and lo2 < hi for lo, hi in a for lo2, hi2 in b)
+
+    return [bool(s) and ((i > 0 and meet(s, spans[i - 1])) or (i + 1 < len(lines) and meet(s, spans[i + 1]))) for i, s in enumerate(spans)]
+
+
+def hanging_items(indents: list[int], closed: list[bool]) -> int:
+    """Items of a block in which first lines stand out and what goes on is deeper; 0 if deeper lines begin paragraphs, or there are none."""
+    base = min(indents)
+    deep = [w > base + 1 for w in indents]
+    if deep[0] or not any(deep):
+        return 0
+    goes_on = sum(d and not closed[i - 1] for i, d in enumerate(deep))
+    return deep.count(False) if goes_on * 5 >= 4 * sum(deep) else 0
+
+
+def indent_period(indents: list[int], longest: int = 8) -> float:
+    """How well the widths of the indents agree with themselves at their best shift; 0 where few lines, or nearly all, stand deeper."""
+    n, base = len(indents), min(indents)
+    if not n <= 5 * sum(w > base + 1 for w in indents) <= 4 * n:
+        return 0.0
+    return max((sum(indents[i] == indents[i + shift] for i in range(n - shift)) / (n - shift) for shift in range(2, n // 2 + 1 if n // 2 < longest else longest + 1)), default=0.0)
+
+
 def block_kind(lines: list[str], stats: Counter) -> str:
     """Kind of a block of non-blank lines; adds its figures to the statistics."""
     n = len(lines)
-    junk_chars = chars = common = words_n = letters = marked = closed = ended = values = lower_start = 0
+    junk_chars = chars = common = words_n = letters = marked = ended = values = 0
+    lines = [x.expandtabs(8) if x[0] == "\t" else x for x in lines]
+    indents = [len(x) - len(x.lstrip()) for x in lines] if any(x[0] == " " for x in lines) else None
+    in_columns = gap_columns(lines) if n > 1 and sum("  " in x for x in lines) > 1 else None
+    is_closed: list[bool] = []
     cells: list[int] = []
     is_value: list[bool] = []
     short = 0
-    for line in lines:
+    for i, line in enumerate(lines):
         bare = line.strip()
         words = WORD.findall(bare.lower())
         size = len(bare)
@@ -100,18 +150,21 @@ def block_kind(lines: list[str], stats: Counter) -> str:
         words_n += len(words)
         letters += sum(map(len, words))
         common += known
-        closed += bool(_CLOSED.search(bare))
+        is_closed.append(bool(_CLOSED.search(bare)))
         marker = _MARKER.match(line)
         ended += len(_SENTENCE_END.findall(line, marker.end() if marker else 0))
         marked += bool(marker)
-        lower_start += bare[:1].islower()
         short += len(words) <= 6
-        parts = [c for c in _CELLS.split(bare.strip("|")) if c.strip()] if "\t" in bare or "|" in bare or "   " in bare else [bare]
+        if in_columns and in_columns[i]:
+            parts = [c for c in _NARROW.split(bare.strip("|")) if c.strip()]
+        else:
+            parts = [c for c in _CELLS.split(bare.strip("|")) if c.strip()] if "\t" in bare or "|" in bare or "   " in bare else [bare]
         cells.append(len(parts))
         filled = [bool(_VALUE.fullmatch(c.strip())) for c in parts]
         values += sum(filled)
         is_value.append(len(parts) == 1 and filled[0])
     aligned = sum(c >= 2 and (c == cells[i - 1] if i else n > 1 and c == cells[1]) or (c >= 2 and i + 1 < n and cells[i + 1] == c) for i, c in enumerate(cells))
+    closed = sum(is_closed)
     in_cells = sum(c >= 2 for c in cells)
     share = common / max(words_n, 1)
     stats["lines"] += n
@@ -122,25 +175,37 @@ def block_kind(lines: list[str], stats: Counter) -> str:
     stats["closed_lines"] += closed
     stats["marked_lines"] += marked
     stats["aligned_lines"] += aligned
+    stats["indented_lines"] += sum(map(bool, indents)) if indents else 0
     whole = "\n".join(lines)
     stats["symbols"] += len(_SYMBOL.findall(whole))
-    kind = _decide(n, chars, junk_chars, words_n, share, marked, ended, short, cells, in_cells, aligned, values, is_value, lower_start, lines)
+    columns = sum(in_columns) if in_columns else 0
+    items = hanging_items(indents, is_closed) if indents else 0
+    levels = indent_period(indents) if indents else 0.0
+    kind = _decide(n, chars, junk_chars, words_n, share, marked, ended, short, cells, in_cells, aligned, values, is_value, items, levels, columns, lines)
     stats[kind + "_chars"] += len("".join(whole.split()))
     stats[kind + "_words"] += words_n
     return kind
 
 
-def _decide(n, chars, junk_chars, words_n, share, marked, ended, short, cells, in_cells, aligned, values, is_value, lower_start, lines) -> str:
+def _decide(n, chars, junk_chars, words_n, share, marked, ended, short, cells, in_cells, aligned, values, is_value, items, levels, columns, lines) -> str:
     if junk_chars * 2 > chars:
         return "junk"
     if n > 1 and in_cells * 2 >= n and aligned * 2 >= in_cells and (values * 4 >= sum(cells) or share < 0.15):
         return "table"
+    if n > 2 and columns * 10 >= 8 * n and aligned * 10 >= 8 * n:
+        return "table"  # column on column, whatever stands in the cells
     if n == 1 and cells[0] >= 3 and (values * 2 >= cells[0] or share < 0.1):
         return "table"
     if n >= 4 and sum(is_value) * 3 >= n and short * 10 >= 9 * n:
         period, fit = row_period(is_value, [len(x) for x in lines])
         if fit >= 0.5 or sum(is_value) * 2 >= n:
             return "table"
+    if items >= 2 and ended <= items and words_n <= 25 * items:
+        return "list"  # hanging indents
+    if n >= 4 and levels >= 0.6 and ended * 4 <= n and words_n <= 9 * n:
+        return "list"  # levels of an outline
+    if n >= 6 and short * 10 >= 9 * n and ended * 4 <= n and not marked and length_period([len(x.strip()) for x in lines]) >= 0.5:
+        return "table"  # text cells, one under the other
     if n > 1 and marked * 10 >= 8 * n and ended * 10 <= 14 * n:  # every line an item; a numbered paragraph has more lines or sentences
         return "list"
     if marked * 10 >= 6 * n and n > 1 and share < 0.2 and words_n <= 9 * n:
@@ -167,7 +232,7 @@ def profile(text: str | None) -> Counter:
     return stats
 
 
-_SUMS = ("chars", "lines", "words", "word_chars", "common", "symbols", "closed_lines", "marked_lines", "aligned_lines", *(f"{k}_chars" for k in KINDS), *(f"{k}_words" for k in KINDS))
+_SUMS = ("chars", "lines", "words", "word_chars", "common", "symbols", "closed_lines", "marked_lines", "aligned_lines", "indented_lines", *(f"{k}_chars" for k in KINDS), *(f"{k}_words" for k in KINDS))
 
 
 def region_profiles(df: DataFrame, keys: tuple[str, ...], text: str = "text") -> DataFrame:
@@ -208,7 +273,7 @@ def document_statistics(df: DataFrame, doc_id: str = "doc_id", page: str = "page
     return sums.select(
         "doc_id", "regions", "lines", "words", "chars",
         ratio("word_chars", "words").alias("mean_word_length"), ratio("symbols", "chars").alias("symbol_ratio"), ratio("closed_lines", "lines").alias("closed_line_share"),
-        ratio("common", "words").alias("common_word_share"), ratio("marked_lines", "lines").alias("marker_share"), ratio("aligned_lines", "lines").alias("alignment"),
+        ratio("common", "words").alias("common_word_share"), ratio("marked_lines", "lines").alias("marker_share"), ratio("aligned_lines", "lines").alias("alignment"), ratio("indented_lines", "lines").alias("indented_share"),
         *(F.col(f"{k}_chars") for k in KINDS), kind.alias("text_kind"),
     )
 

@@ -15,7 +15,8 @@ can be stretched and shifted without changing the likelihood, after each round a
 estimates onto their grades. Levels are cut midway between the graded documents of neighbouring grades.
 
 Words are hashed to ``2**bits`` slots. That bounds what is sent to tasks and gathered at the driver (three numbers a slot) whatever the
-corpus; with a million words a word shares its slot with one other on average, most of them words of few documents, which weigh little.
+corpus. Where a corpus has more words than slots, words share them: a million words share ``2**18`` slots by four, most of them words of few
+documents, which weigh little beside the frequent word of the slot, if there is one (README has a measurement).
 Texts are tokenised once; the slots of eligible documents are checkpointed in the cluster's shared folder and all rounds read them.
 The grades are a small table; at most ``most_graded`` are used, those of the smallest ids (a documented bound; more would only sharpen the
 scale).
@@ -104,6 +105,18 @@ class Scale:
         self.log_z = np.zeros(points)
         self.slope, self.shift = 1.0, 0.0
 
+    def __getstate__(self) -> dict:
+        """Only the known words are sent to the tasks."""
+        at = np.flatnonzero(np.isfinite(self.a)).astype(np.int32)
+        return {**self.__dict__, "a": (len(self.a), at, self.a[at]), "b": self.b[at], "c": self.c[at]}
+
+    def __setstate__(self, state: dict) -> None:
+        size, at, a = state["a"]
+        self.__dict__.update(state)
+        self.a = np.full(size, -np.inf, np.float32)
+        self.b, self.c = np.zeros(size, np.float32), np.zeros(size, np.float32)
+        self.a[at], self.b[at], self.c[at] = a, state["b"], state["c"]
+
     def learn(self, slots: np.ndarray, n: np.ndarray, s1: np.ndarray, s2: np.ndarray, words_at: np.ndarray, prior: float, steps: int = 4) -> None:
         """Words step: Newton steps for the words of these sums (documents, levels and squared levels from the middle); ``words_at``: words at each level of the grid."""
         fresh = ~np.isfinite(self.a[slots])
@@ -204,6 +217,7 @@ def _word_sums(docs: DataFrame, scale: Scale, grades: dict[int, int]) -> tuple[t
 
     sums = docs.mapInArrow(run, "slot int, n double, s1 double, s2 double").groupBy("slot").agg(F.sum("n").alias("n"), F.sum("s1").alias("s1"), F.sum("s2").alias("s2"))
     got = sums.toArrow()
+    shared.destroy()
     slot, n, s1, s2 = (got.column(c).to_numpy() for c in ("slot", "n", "s1", "s2"))
     levels, word = slot < _LIKELIHOOD, slot >= 0
     words_at = np.zeros(len(scale.grid))
@@ -252,7 +266,7 @@ def cut_points(estimates: np.ndarray, grades: np.ndarray) -> list[tuple[int, flo
     return cuts
 
 
-def reading_levels(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label_id: str = "doc_id", level: str = "reading_level", least_words: int = 80, rounds: int = 12, gain: float = 2e-3, prior: float = 2.0, bits: int = 20, most_graded: int = 100_000) -> DataFrame:
+def reading_levels(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", label_id: str = "doc_id", level: str = "reading_level", least_words: int = 80, rounds: int = 12, gain: float = 2e-3, prior: float = 2.0, bits: int = 18, most_graded: int = 100_000) -> DataFrame:
     """Rows (doc_id, reading_level, difficulty): level on the scale of the grades, and the latent estimate before it is cut."""
     slots = checkpointed(_slots(docs, doc_id, text, bits, least_words).filter(F.size("slots") > 0))
     fitted = fit_levels(slots, labels, label_id, level, rounds, gain, prior, bits, most_graded)

@@ -1,6 +1,6 @@
 import pytest
 
-from leafgraph.llm.quality import document_statistics, not_prose, profile, row_period
+from leafgraph.llm.quality import document_statistics, gap_columns, hanging_items, indent_period, length_period, not_prose, profile, row_period
 
 PROSE = "The clerk counted every ledger\nnear the old harbor before\nthat winter. Each note was lost\nin the office of the manager."
 TABLE = "Item    Cost    Share\nPaper    12    4%\nGlass    7    9%"
@@ -19,6 +19,13 @@ TABLE = "Item    Cost    Share\nPaper    12    4%\nGlass    7    9%"
         ("- red paper\n- old glass, thin\n- 12 tins by door", "list"),
         ("a. The clerk counted it.\nb. Each note was lost.\nc. Our lamp broke.", "list"),
         ("old paper\nthin glass\nred door, tall\n12 tins by door", "list"),
+        ("red paper for the office\n    and the store\nold glass that is thin\n    from the harbor\n12 tins by the door\n    near the gate", "list"),
+        ("reports of the office\n  for the manager\n  for the clerk\nletters of the store\n  for the manager\n  for the clerk\nnotes of the harbor\n  for the manager\n  for the clerk", "list"),
+        ("Name of item  Place of the item\nred paper     on the left shelf\nold glass     by the back door\nthin wire     in the store", "table"),
+        ("Clerk\nRoom at the end\nTo be kept in the store\nBoxes\nHall at the top\nTo be sent to the mayor\nPaper\nShed at the sea\nTo be read by the clerk", "table"),
+        ("    " + PROSE.replace("\n", "\n").replace("winter. ", "winter.\n    "), "prose"),
+        ("The clerk  counted every ledger\nnear the old  harbor before that\nwinter.  Each note was lost in the\noffice of  the manager.", "prose"),
+        ("The clerk counted every ledger near\n    the old harbor before that winter. Each note\n    was lost. The manager of the office was there.\n    Then it was found in the store.", "prose"),
         ("bird bird bird bird\ngate gate gate", "junk"),
         ("xzkfx thmkhpn sgmzp\ncmdrtp jtkw cjjbc", "junk"),
         ("nap/YJ947sr+OTMNH11SRJCVUGdb8LyKaLJC4hzKhMGJR9vcx1z", "junk"),
@@ -36,6 +43,13 @@ def test_period_of_a_column_table():
     assert row_period([False, True, True] * 4, [6, 2, 2] * 4)[0] == 3
 
 
+def test_periods_and_columns():
+    assert length_period([5, 12, 20] * 4) > 0.9 and length_period([30, 31, 30, 29, 31, 30, 30, 31]) < 0.2 and length_period([5, 12, 20]) == 0.0
+    assert indent_period([0, 2, 2, 0, 2, 2, 0]) == 1.0 and indent_period([0, 0, 0, 0]) == 0.0 and indent_period([1] + [0] * 9) == 0.0
+    assert gap_columns(["ab  cd", "ef  gh", "x y"]) == [True, True, False] and gap_columns(["a  bcdef", "abcd  e"]) == [False, False]
+    assert hanging_items([0, 4, 0, 4], [False, True, False, True]) == 2 and hanging_items([0, 0, 4, 0], [False, True, False, True]) == 0
+
+
 def test_documents(spark):
     t = "2026-01-0{} 00:00:00"
     rows = [
