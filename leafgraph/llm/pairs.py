@@ -3,8 +3,9 @@
 Each answer is read once, in this order; the first that holds is its defect:
 
 * ``empty_answer``: null, or without a letter or digit;
-* ``refusal``: a sentence derives from a grammar of refusals in the first person, after openers ("Sorry, ", "As an assistant "). Quoted
-  passages are left out first, and a reported refusal ("The letter says that ... cannot") has another subject, so neither counts;
+* ``refusal``: a sentence derives from a grammar of refusals (productions below): openers ("Sorry, ", "As an assistant "), then somebody who
+  answers and can't or won't, or the request that can't be met. Quoted passages are left out first; a reported refusal ("The letter says that
+  ... cannot") has another subject, and what a page says of its writers ("We do not ship on Sundays") has another verb, so neither counts;
 * ``copies_question``: greedy string tiling of the answer with pieces of the question covers it, but for a lead-in;
 * ``other_language``: script, then function words, of answer and question differ; quoted passages are left out, a bare value has no language;
 * ``truncated_answer``: a pushdown parser of fences, brackets, quotation marks, list markers and markup ends with something open, or
@@ -33,24 +34,45 @@ _INK = re.compile(r"[^\W_]")
 _QUOTED = re.compile(r'"[^"]*"|“[^”]*”|«[^»]*»|„[^“”]*[“”]')
 
 # --- refusals -----------------------------------------------------------------------------------------------------------------------
-# The grammar of refusals, over lower-case text with plain apostrophes.
-_OPENER = (
-    r"(?:(?:well|so|sorry|very sorry|apologies|my apologies|unfortunately|regrettably|sadly|please note that|however|but|and|i am sorry|i'm sorry|i'm so sorry|i am afraid|i'm afraid"
-    r"|i apologi[sz]e|i regret|we are sorry|we regret|as an? (?:\w+ ){0,3}?(?:assistant|model|system|program|ai|bot)|being an? (?:\w+ ){0,3}?(?:assistant|model)"
-    r"|désolée?|je suis désolée?|malheureusement|leider|es tut mir leid|entschuldigung|lo siento|lamentablemente|perdón)[,;:.! ]+(?:(?:but|that|to say that|mais|aber|pero) )?)*"
-)
-_CORE = (
-    r"(?:(?:i|we)(?: |')(?:(?:really |simply |just )?(?:can't|cannot|can not|could not|couldn't|couldnt|cant|won't|wont|will not|would rather not|would prefer not|prefer not|'m not|m not|am not|are not|'m unable|m unable"
-    r"|am unable|are unable|do not|don't|dont|did not find|didn't find|have no|have not been|haven't|lack|must decline|decline|must refuse|refuse|have to decline|may not|must not|am not allowed|see no way|know of no|was not able|was unable|wasn't able|were unable))\b"
-    r"|no (?:answer|reply|response|information)\b[^.]* by (?:me|us)\b"
-    r"|it(?: is not|'s not| isn't| is impossible|'s impossible| was not| wasn't)\b[^.]*\bfor (?:me|us)\b"
-    r"|(?:this|that|it) (?:is|goes|lies) beyond (?:my|what i|our)\b"
-    r"|je ne (?:peux|puis|sais|suis)|je n'ai (?:pas|aucune?)|ich kann\b[^.]*\b(?:nicht|keine?)|ich (?:weiß|habe)\b[^.]*\b(?:nicht|keine?)|(?:yo )?no (?:puedo|sé|tengo)\b)"
-)
-_REFUSAL = re.compile(rf"(?:^|[.!?\n]\s*){_OPENER}{_CORE}")
+# The grammar of refusals, over lower-case text with plain apostrophes. ``<name>`` stands for another production.
+GRAMMAR = {
+    "refusal": "<openers>(?:<person> <unable>|<person>(?:'m|'ve| am| are| have| do| did)? ?<lacking>|<no answer>|<impossible>|<request> <unmet>|<answering> <outside>|<beyond>|<french>|<german>|<spanish>)",
+    "openers": "(?:(?:<regret>|<role>)[,;:.! ]+(?:(?:but|that|to say that|mais|aber|pero) )?)*",
+    "regret": (
+        "(?:well|so|sorry|very sorry|apologies|my apologies|unfortunately|regrettably|regretfully|sadly|please note that|however|but|and|i am sorry|i'm sorry|i'm so sorry|i am afraid|i'm afraid"
+        "|i apologi[sz]e|i regret|we are sorry|we regret|désolée?|je suis désolée?|malheureusement|leider|es tut mir leid|entschuldigung|lo siento|lamentablemente|perdón)"
+    ),
+    "role": r"(?:(?:as|being) an? (?:\w+ ){0,3}?(?:assistant|model|system|program|ai|bot))",
+    "person": "(?:i|we)",
+    "unable": (
+        "(?:(?:really |simply |just )?(?:can't|cannot|can not|could not|couldn't|couldnt|cant|won't|wont|will not|would rather not|would prefer not|prefer not|am unable|are unable|was unable|were unable|was not able|wasn't able"
+        "|were not able|must decline|decline|must refuse|refuse|have to decline|may not|must not|see no way|know of no|lack|haven't|have not been|have no)\\b)"
+    ),
+    "lacking": "(?:unable\\b|not (?:really |quite |at all )?<not able>|(?:n't|not) (?:really |actually )?<not know>|n't <not able>|no (?:answer|information|knowledge|way|access|idea|basis|data|means)\\b|do(?:n't|nt| not) <not know>|did(?:n't| not) <not know>|am not <not able>|are not <not able>|not been able)",
+    "not able": "(?:able|allowed|permitted|authori[sz]ed|in a position|sure|certain|going to|willing|at liberty|comfortable|qualified|aware|prepared|equipped|capable|inclined|free to|supposed)\\b",
+    "not know": "(?:know|have|see|find|think|feel|want|wish|recall|understand|believe|provide|give|answer|share|disclose|comment|say|tell|discuss|possess|care|intend|recogni[sz]e|hold|offer|consider|dare)\\b",
+    "no answer": r"no (?:answer|reply|response|information)\b[^.]* by (?:me|us)\b",
+    "impossible": r"it(?: is not|'s not| isn't| is impossible|'s impossible| was not| wasn't)\b[^.]*\bfor (?:me|us)\b",
+    "request": "(?:that|this|your|such a) (?:request|question|query|inquiry)",
+    "unmet": "(?:cannot|can't|can not|could not|couldn't|won't|will not) be (?:answered|fulfilled|completed|processed|met|handled|addressed|granted|resolved)\\b",
+    "answering": "(?:answering|replying|responding|an answer|a reply|a response)(?: to)?(?: (?:that|this|the|your|it))?(?: (?:question|request|query))?(?: here)?",
+    "outside": r"(?:is (?:impossible|not possible|out of the question)|isn't possible|(?:falls|lies|goes|is) (?:outside|beyond)|exceeds) ?[^.]*",
+    "beyond": r"(?:this|that|it) (?:is|goes|lies|falls) (?:beyond|outside) (?:my|what i|our|what we|what this assistant)\b",
+    "french": "(?:je ne (?:peux|puis|sais|suis)|je n'ai (?:pas|aucune?))",
+    "german": r"(?:ich kann\b[^.]*\b(?:nicht|keine?)|ich (?:weiß|habe)\b[^.]*\b(?:nicht|keine?))",
+    "spanish": r"(?:(?:yo )?no (?:puedo|sé|tengo)\b)",
+}
+
+
+def _derived(name: str) -> str:
+    """The pattern of a production; the grammar has no recursion, so its language is regular."""
+    return re.sub(r"<([a-z ]+)>", lambda m: _derived(m[1]), GRAMMAR[name])
+
+
+_REFUSAL = re.compile(rf"(?:^|[.!?\n]\s*){_derived('refusal')}")
 _ONLY_SORRY = re.compile(r"\W*(?:(?:i'm|i am|we are|we're) (?:very |so )?sorry|sorry|my apologies|apologies)\W*")
 #: Letters without which no sentence of the grammar can be derived; most answers are done with after this.
-_MAY_REFUSE = re.compile(r"\b(?:i|i'm|we|me|us|my|our|sorry|je|ich|no|yo|apologies)\b")
+_MAY_REFUSE = re.compile(r"\b(?:i|i'm|we|me|us|my|our|sorry|je|ich|no|yo|apologies|request|question|query|inquiry|answering|replying|responding|answer|reply|response)\b")
 
 
 def refuses(answer: str) -> bool:
@@ -144,6 +166,15 @@ _SENTENCE_WORDS = frozenset("a an the each every our their this that these those
 _END = re.compile(r"""[.!?。！？][)\]}"'”’»*_`]*\Z""")
 
 
+_CONNECTORS = frozenset("a an the of and or for in to on at by with de la le des du von der und y".split())
+
+
+def is_name(words: list[str]) -> bool:
+    """Whether words read as a title or name: an article, then capitals, with connectors between them."""
+    content = [w for w in words if w.lower().strip("\"'“”‘’(),.") not in _CONNECTORS]
+    return len(content) >= 2 and all(w.lstrip("\"'“‘(")[:1].isupper() for w in content)
+
+
 def open_at_end(text: str) -> bool:
     """Whether fences, brackets, quotation marks, emphasis or tags are still open where the text ends, or a list marker stands alone."""
     if not any(c in text for c in '([{"“«„`<*-•') and not _LIST.search(text):
@@ -200,7 +231,9 @@ def breaks_off(answer: str, reasoning_type: str | None, summary_words: int = 30)
     if last and last[-1] in _DANGLING and words[-1].islower() and len(words) > 2:
         return True
     bare = [w for w in WORD.findall(text.lower())]
-    if bare and bare[0] in _SUBJECT and len(words) >= 4:
+    if is_name(words):
+        return False
+    if bare and bare[0] in _SUBJECT and words[0].lower() == bare[0] and len(words) >= 4:
         return True
     if re.search(r"[a-z]{2}[.!?]\s+[A-Z]", text) and len(words) >= 5:
         return True

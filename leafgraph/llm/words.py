@@ -20,6 +20,17 @@ for _i, _l in enumerate(_LANGUAGES):
     for _w in FUNCTION_WORDS[_l]:
         _OF_WORD[_w] = (*_OF_WORD.get(_w, ()), _i)
 
+# Function words of further languages; texts in one of them are told from those above only.
+FURTHER_WORDS = {
+    "it": "che di del della delle dei degli il lo gli le la un una uno non per con da dal dalla nel nella sono è era ha hanno si ma come più anche questo questa quale quando dove perché suo sua al alla ai".split(),
+    "nl": "de het een van en in op te dat die voor met aan niet zijn was wordt werd heeft bij ook naar uit door over maar om als dan deze dit welke wat waar hij zij ze wij hun onze geen nog".split(),
+    "pt": "o os as um uma de do da dos das em no na nos nas que não por para com foi são é está mais mas ao à como quando onde qual seu sua pelo pela este esta ele ela eles foram".split(),
+    "sv": "och i att det som en på är av för med till den har de inte om ett men var från vid kan sig så eller när hur vad efter under detta denna hans deras vi ska".split(),
+    "da": "og i at det som en på er af for med til den har de ikke om et men var fra ved kan sig så eller når hvordan hvad efter under dette denne hans deres vi skal".split(),
+    "pl": "i w na z do nie się że jest to o jak po co za od przez dla są był była oraz ale tak przy jego jej ich tym tego który która które czy już".split(),
+}
+_OF_FURTHER = {w: tuple(k for k, ws in FURTHER_WORDS.items() if w in ws) for ws in FURTHER_WORDS.values() for w in ws}
+
 # Letters that only some of the languages write.
 _MARKED = {"ä": "de", "ö": "de", "ü": "de", "ß": "de", "ñ": "es", "¿": "es", "¡": "es", "ç": "fr", "œ": "fr", "è": "fr", "ê": "fr", "û": "fr", "à": "fr"}
 _MARK = re.compile("[" + "".join(_MARKED) + "]")
@@ -63,6 +74,28 @@ def language_of(text: str, least: int = 2) -> str:
         for ch in _MARK.findall(low):
             scores[_LANGUAGES.index(_MARKED[ch])] += 1
     best = max(scores)
+    if best >= least and best * 6 >= len(words) and scores.count(best) == 1 and best * 3 >= len(words):
+        return _LANGUAGES[scores.index(best)]
+    further = _further_language(words, best)
+    if further:
+        return further
     if best < least or best * 6 < len(words) or scores.count(best) > 1:
         return ""
     return _LANGUAGES[scores.index(best)]
+
+
+def _further_language(words: list[str], best: int) -> str:
+    """A further language that has more of the words, three at least and a fourth of all, than any of the main ones (``best``)."""
+    if len(words) < 4:
+        return ""
+    counts: dict[str, int] = {}
+    for w in words:
+        for k in _OF_FURTHER.get(w, ()):
+            counts[k] = counts.get(k, 0) + 1
+    if not counts:
+        return ""
+    top = max(counts.values())
+    if top < 3 or top * 4 < len(words) or top <= best + 1:
+        return ""
+    leaders = [k for k, v in counts.items() if v == top]
+    return leaders[0] if len(leaders) == 1 else "-".join(sorted(leaders))  # close kin, such as Danish and Swedish: none of the main ones anyway

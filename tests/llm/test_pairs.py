@@ -41,6 +41,21 @@ WHOLE = "The office charged the contract to its account."
         (Q, " ".join(["word"] * 29) + "...", "comprehension", "truncated_answer"),
         (Q, " ".join(["word"] * 30) + "...", "lookup", "truncated_answer"),
         (Q, "19 June 1968", "lookup", None),
+        (Q, "The New York Times", "lookup", None),
+        (Q, "The Old Man and the Sea", "lookup", None),
+        (Q, "The Board of Trustees", "lookup", None),
+        (Q, "The Ministry of Trade and Industry", "lookup", None),
+        (Q, "The Old Man and the", "lookup", "truncated_answer"),
+        (Q, "(a) first item; (b) second item", "lookup", None),
+        (Q, "We do not ship on Sundays.", "lookup", None),
+        (Q, "I am not available on Friday.", "lookup", None),
+        (Q, "We don't know.", "lookup", "refusal"),
+        (Q, "I'm not able to say.", "lookup", "refusal"),
+        (Q, "That request cannot be fulfilled.", "lookup", "refusal"),
+        (Q, "Regretfully, answering is impossible without more context.", "lookup", "refusal"),
+        (Q, "Answering that question falls outside what this assistant can do.", "lookup", "refusal"),
+        (Q, "Il contratto non è stato pagato dalla banca per la consegna.", "lookup", "other_language"),
+        (Q, "Het contract werd niet door het kantoor voor de rekening betaald.", "lookup", "other_language"),
         (Q, "Yes.", "validation", None),
         (Q, WHOLE, "comprehension", None),
         (None, WHOLE, None, None),
