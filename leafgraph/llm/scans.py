@@ -1,8 +1,9 @@
 """Noise in text from scanned pages: words parted at line ends, misread letters, running headers and page numbers (problem 2).
 
-1. *Words.* One pass over the distinct texts counts every lower-case word and learns its skip-gram vector: counts of the hashed words to its left and right, which
-   with the buckets' totals give the positive mutual information that skip-gram training with negative sampling factorises. Tasks send
-   one row a word; vectors stay distributed. Words that make up at least ``lexicon_share`` of all (so at most 1 / lexicon_share of them)
+1. *Words.* One pass over the distinct texts counts every lower-case word, and the hashed words to its left and right. From these come the
+   skip-gram vectors: the words' mutual information with the 2 x 128 buckets, which training with negative sampling factorises, is
+   factorised by its leading eigenvectors. The 256 x 256 matrix that they come from is a distributed sum; a word's vector is its row
+   times the eigenvectors, and a bucket's vector is its row of them. Tasks send one row a word; vectors stay distributed. Words that make up at least ``lexicon_share`` of all (so at most 1 / lexicon_share of them)
    are the lexicon, the only thing besides 256 bucket totals that goes to the driver and the tasks. Misreadings of words below that share
    are found by an equality join of glyph variants with the counted words, from ``ratio`` occurrences on whatever the size of the corpus.
 2. *Lines.* A second pass over the texts gives narrow rows only: the first lines and the last line of each region, parted words, and words
@@ -13,7 +14,7 @@
 4. *Parted words* are joined; a compound keeps its hyphen if the lexicon knows it with it. A region that ends in a parted word is joined
    with the next text of its document, found by equality joins on the page and its successor.
 5. *Misread words.* A rare word is linked to frequent neighbours ``ratio`` times as frequent; among several the context decides: the sum of
-   log frequency and the mutual information of the neighbour with the words left and right.
+   log frequency and the products of the neighbour's vector with those of the words left and right.
 
 Defined results for odd input: null and blank texts give nothing; regions delivered again give their own rows and count as one place;
 null page or node numbers are places before all others; a text of any length is read whole; ties between neighbours go to the more
@@ -30,6 +31,7 @@ from hashlib import blake2b
 from string import punctuation
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -307,6 +309,49 @@ def word_vectors(df: DataFrame, text: str) -> DataFrame:
     return map_columns(parts.repartition("word"), {c: c for c in ("word", "n", "at", "c")}, make, "word string, n long, ctx array<long>")
 
 
+def _information(ctx: np.ndarray, n: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Mutual information of words (rows) with buckets, smoothed by ten expected neighbours."""
+    return np.log((ctx + 10 * share + 1e-9) / ((n[:, None] + 10) * share + 1e-9))
+
+
+def _contexts(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    return batch.column(1).to_numpy().astype(float), batch.column(2).flatten().to_numpy().reshape(-1, 2 * BUCKETS)
+
+
+def skip_gram_basis(words: DataFrame, totals: dict, least: float, size: int) -> np.ndarray:
+    """The leading eigenvectors (256 x ``size``) of the lexicon's mutual information; each word weighs as the root of its occurrences."""
+    share = np.array(totals["ctx"], float) / max(totals["n"], 1)
+
+    def run(batches):
+        gram = np.zeros((2 * BUCKETS, 2 * BUCKETS))
+        for batch in batches:
+            if batch.num_rows:
+                n, ctx = _contexts(batch)
+                rows = _information(ctx, n, share) * n[:, None] ** 0.25
+                gram += rows.T @ rows
+        if gram.any():
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(gram.size, dtype=np.int32)), pa.array(gram.ravel())], ["cell", "v"])
+
+    cells = words.filter((F.col("word") != "") & (F.col("n") >= least)).select("word", "n", "ctx").mapInArrow(run, "cell int, v double").groupBy("cell").agg(F.sum("v").alias("v")).toArrow()
+    gram = np.zeros(4 * BUCKETS * BUCKETS)
+    gram[cells.column("cell").to_numpy()] = cells.column("v").to_numpy()
+    return np.linalg.eigh(gram.reshape(2 * BUCKETS, 2 * BUCKETS))[1][:, -size:]
+
+
+def skip_gram_vectors(words: DataFrame, totals: dict, basis: np.ndarray) -> DataFrame:
+    """Rows (item, vec): the vector of each word."""
+    share = np.array(totals["ctx"], float) / max(totals["n"], 1)
+
+    def run(batches):
+        for batch in batches:
+            if batch.num_rows:
+                n, ctx = _contexts(batch)
+                vec = (_information(ctx, n, share) @ basis).astype(np.float32)
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.FixedSizeListArray.from_arrays(pa.array(vec.ravel()), basis.shape[1]).cast(pa.list_(pa.float32()))], ["item", "vec"])
+
+    return words.filter(F.col("word") != "").select("word", "n", "ctx").mapInArrow(run, "item string, vec array<float>")
+
+
 # --- lines --------------------------------------------------------------------------------------------------------------------------
 _ROW = "kind string, region_id long, doc_id string, page int, node int, line int, lines int, prose boolean, a string, b string, skel string, num int, styled boolean, cands array<string>, ns array<long>, lb int, rb int"
 _NAMES = [x.strip().split(" ")[0] for x in _ROW.split(",")]
@@ -527,32 +572,60 @@ def _carried_on(rows: DataFrame, furniture: DataFrame) -> DataFrame:
     ends = rows.filter("kind = 'E'").select("region_id", *place, "a")
     s = starts.select(F.col("doc_id").alias("d"), F.col("page").alias("p"), F.col("node").alias("m"), "b")
     on_page = ends.join(s, F.equal_null("doc_id", "d") & (F.col("page") == F.col("p")) & (F.col("m") > F.col("node"))).groupBy("region_id", "a").agg(F.min_by("b", "m").alias("b"))
-    rest = ends.join(on_page.select("region_id"), "region_id", "left_anti")
+    rest = ends.join(on_page.select("region_id").distinct(), "region_id", "left_anti")
     pages = s.groupBy("d", "p").agg(F.min_by("b", "m").alias("b"))
-    next_page = rest.join(pages, F.equal_null("doc_id", "d") & (F.col("page") + 1 == F.col("p"))).select("region_id", "a", "b", "doc_id")
-    later = rest.join(next_page.select("region_id"), "region_id", "left_anti")
-    later = later.join(pages, F.equal_null("doc_id", "d") & (F.col("p") > F.col("page") + 1)).groupBy("region_id", "a").agg(F.min_by("b", "p").alias("b"))
-    return on_page.unionByName(next_page.drop("doc_id")).unionByName(later)
+    # The first text of the nearest later page that begins inside a sentence, in one sort by document: pages from last to first, ends before starts.
+    both = rest.select(F.col("doc_id").alias("d"), F.col("page").alias("p"), F.lit(0).alias("o"), "region_id", "a", F.lit(None).cast("string").alias("b"))
+    both = both.unionByName(pages.select("d", "p", F.lit(1).alias("o"), F.lit(None).cast("long").alias("region_id"), F.lit(None).cast("string").alias("a"), "b"))
+    back = Window.partitionBy("d").orderBy(F.desc("p"), "o").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    later = both.withColumn("b", F.last("b", ignorenulls=True).over(back)).filter("o = 0 AND b IS NOT NULL").select("region_id", "a", "b")
+    return on_page.unionByName(later)
 
 
-def _best_neighbours(rows: DataFrame, words: DataFrame, totals: dict, ratio: float) -> DataFrame:
+def _best_neighbours(rows: DataFrame, words: DataFrame, totals: dict, ratio: float, lexicon_share: float, size: int = 64) -> DataFrame:
     """Rows (region_id, line, word, item): each misread word with the neighbour that fits best."""
-    found = rows.filter("kind = 'M'").select("region_id", "line", F.col("a").alias("word"), "lb", "rb", F.explode(F.arrays_zip("cands", "ns")).alias("z"))
-    found = found.select("region_id", "line", "word", "lb", "rb", F.col("z.cands").alias("item"), F.col("z.ns").alias("n"))
-    counts = words.select("word", F.col("n").alias("own"))
-    found = found.join(counts, "word", "left").filter((F.col("n") == 0) | (F.col("n") >= ratio * F.coalesce("own", F.lit(1))))
-    vectors = words.filter(F.col("word") != "").select(F.col("word").alias("item"), "ctx")
-    found = found.join(vectors, "item", "left")
-    found = found.join(F.broadcast(words.filter("word = ''").select(F.col("ctx").alias("all_ctx"))))  # one row of 256 totals
-    everything = float(max(totals["n"], 1))
+    place = ["region_id", "line", "word", "lb", "rb"]
+    found = rows.filter("kind = 'M'").select("region_id", "line", F.col("a").alias("word"), "lb", "rb", F.arrays_zip("cands", "ns").alias("z"))
+    found = found.join(words.select("word", F.col("n").alias("own")), "word", "left")
+    frequent = F.filter("z", lambda x: (x["ns"] == 0) | (x["ns"] >= ratio * F.coalesce(F.col("own"), F.lit(1))))
+    found = written(found.select(*place, frequent.alias("z")).filter(F.size("z") > 0), "misread")
+    one = found.filter(F.size("z") == 1).select("region_id", "line", "word", F.col("z")[0]["cands"].alias("item"))
+    several = found.filter(F.size("z") > 1).select(*place, F.explode("z").alias("x")).select(*place, F.col("x.cands").alias("item"), F.col("x.ns").alias("n"))
+    basis = skip_gram_basis(words, totals, max(2.0, lexicon_share * totals["n"]), size)
+    several = several.join(skip_gram_vectors(words, totals, basis), "item", "left")
+    shared = rows.sparkSession.sparkContext.broadcast(basis.astype(np.float32))
 
-    def information(at):
-        share = F.get("all_ctx", at) / everything
-        return F.coalesce(F.ln((F.coalesce(F.get("ctx", at), F.lit(0)) + 10 * share + 1e-9) / ((F.col("n") + 10) * share + 1e-9)), F.lit(0.0))
+    def make():
+        basis = shared.value
+
+        def run(vecs, lefts, rights, ns):
+            context = np.array([(basis[a] if a is not None else 0.0) + (basis[BUCKETS + b] if b is not None else np.zeros(basis.shape[1])) for a, b in zip(lefts, rights)])
+            known = [v is not None for v in vecs]
+            fit = np.zeros(len(vecs))
+            if any(known):
+                fit[known] = (np.array([v for v in vecs if v is not None]) * context[known]).sum(1)
+            return {"score": (fit + np.log(np.array(ns) + 1.0)).tolist()}
+
+        return run
+
+    scored = _with_scores(several, make)
+    best = F.max_by("item", F.struct("score", "n", F.hash("item")))
+    return one.unionByName(scored.groupBy(*place).agg(best.alias("item")).select("region_id", "line", "word", "item"))
+
+
+def _with_scores(several: DataFrame, make) -> DataFrame:
+    names = ["region_id", "line", "word", "lb", "rb", "item", "n"]
+
+    def keep():
+        score = make()
+
+        def run(*columns):
+            *rest, vecs = columns
+            return {**dict(zip(names, rest)), **score(vecs, rest[3], rest[4], rest[6])} if len(vecs) else {k: [] for k in (*names, "score")}
+
+        return run
 
-    score = F.ln(F.col("n") + 1) + information(F.col("lb")) + information(F.col("rb") + BUCKETS)
-    best = F.max_by("item", F.struct(score.alias("s"), F.col("n").alias("n"), F.hash("item").alias("h")))
-    return found.groupBy("region_id", "line", "word", "lb", "rb").agg(best.alias("item")).select("region_id", "line", "word", "item")
+    return map_columns(several, {c: F.col(c) for c in (*names, "vec")}, keep, "region_id long, line int, word string, lb int, rb int, item string, n long, score double")
 
 
 def _halves(rows: DataFrame, furniture: DataFrame, words: DataFrame) -> DataFrame:
@@ -592,7 +665,7 @@ def repaired_paragraphs(df: DataFrame, region_id: str = "region_id", doc_id: str
     rows, words, totals = scan_rows(df, region_id, doc_id, page, node, text, lexicon_share, ratio)
     furniture = written(_furniture(rows), "furniture")
     halves = written(_halves(rows, furniture, words), "halves")
-    fixes = _best_neighbours(rows, words, totals, ratio).groupBy("region_id").agg(F.collect_set(F.concat_ws("\x01", "word", "item")).alias("fixes"))
+    fixes = _best_neighbours(rows, words, totals, ratio, lexicon_share).groupBy("region_id").agg(F.collect_set(F.concat_ws("\x01", "word", "item")).alias("fixes"))
     gone = furniture.groupBy("region_id").agg(F.collect_set("line").alias("gone"))
     ends = halves.groupBy("region_id").agg(F.min(F.concat_ws("\x01", "a", "item")).alias("half"))
     joins = rows.filter("kind = 'H'").groupBy("region_id").agg(F.collect_set(F.concat_ws("\x01", "a", "b")).alias("joins"))
@@ -649,6 +722,6 @@ def scan_noise(df: DataFrame, region_id: str = "region_id", doc_id: str = "doc_i
     furniture = written(_furniture(rows), "furniture")
     in_line = rows.filter("kind = 'H'").join(furniture.select("region_id", "line"), ["region_id", "line"], "left_anti").select("region_id", F.col("b").alias("item"))
     carried = _halves(rows, furniture, words).select("region_id", "item")
-    misread = _best_neighbours(rows, words, totals, ratio).join(furniture.select("region_id", "line"), ["region_id", "line"], "left_anti").select("region_id", "item")
+    misread = _best_neighbours(rows, words, totals, ratio, lexicon_share).join(furniture.select("region_id", "line"), ["region_id", "line"], "left_anti").select("region_id", "item")
     out = in_line.withColumn("noise_kind", F.lit("hyphen_split")).unionByName(carried.withColumn("noise_kind", F.lit("hyphen_split"))).unionByName(misread.withColumn("noise_kind", F.lit("misread_char")))
     return out.select("region_id", "noise_kind", "item").unionByName(furniture.select("region_id", "noise_kind", "item")).distinct()
