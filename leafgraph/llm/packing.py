@@ -139,7 +139,7 @@ def pack_group(ids: np.ndarray, tokens: np.ndarray, name: str, capacity: int, gr
     return [ids[row], piece, piece * capacity, size, container + (np.int64(group) << 32)]
 
 
-def pack(docs: DataFrame, capacities: DataFrame, doc_id: str = "doc_id", text: str = "text", name: str = "capacity_name", capacity: str = "capacity_tokens", ranks_path: str = RANKS, group_rows: int = 20_000) -> DataFrame:
+def pack(docs: DataFrame, capacities: DataFrame, doc_id: str = "doc_id", text: str = "text", name: str = "capacity_name", capacity: str = "capacity_tokens", ranks_path: str = RANKS, group_rows: int = 20_000, most_tasks: int = 20_000) -> DataFrame:
     """Rows (capacity_name, capacity_tokens, doc_id, piece, from_token, tokens, container): the container of each text (or piece) of each capacity.
 
     Container numbers are unique within a capacity. ``piece`` is 0 for texts that fit."""
@@ -166,7 +166,8 @@ def pack(docs: DataFrame, capacities: DataFrame, doc_id: str = "doc_id", text: s
             }))
         return pa.concat_tables(parts)
 
-    return counted.groupBy("g").applyInArrow(run, _OUT)
+    # The rows are tiny, so by their size all groups would go to one task; their number is what takes time.
+    return counted.repartition(min(groups, most_tasks), "g").groupBy("g").applyInArrow(run, _OUT)
 
 
 def fill_report(packed: DataFrame) -> DataFrame:

@@ -3,7 +3,7 @@ import random
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from leafgraph.llm.leaks import Automaton, item_blocks, leaked_items, normal_words, without_leaks, word_places
+from leafgraph.llm.leaks import _SENTENCE, Automaton, item_blocks, leak_report, leaked_items, normal_words, without_leaks, word_places
 
 PASSAGE = "The first early clerk counted every long ledger near the old harbor before that cold winter. Each later note was lost."
 NOTICE = "This sheet must not leave the reading room today."
@@ -42,6 +42,16 @@ def test_found_and_removed(spark):
     assert leaked_items(d, i.limit(0)).count() == leaked_items(d.limit(0), i).count() == 0
     left = {(r.doc_id, r.spans_removed): r.text for r in without_leaks(d, i, most_covered=0.95).collect()}
     assert left[1, 1] == "Before. . After it all." and (3, 1) not in left and left[5, 0] is None
+    assert {(r.doc_id, r.spans_removed): r.text for r in without_leaks(d, i, most_covered=0.95, block_words=10).collect()} == left
+    report = {r.doc_id: (r.spans_removed, r.kept) for r in leak_report(d, i, most_covered=0.95).collect()}
+    assert report == {1: (1, True), 3: (1, False)}
+
+
+def test_sentences_begin_with_any_capital():
+    assert len(_SENTENCE.split("Ça va bien, mes amis. Été comme hiver. Ключ здесь! 12 notes. and so on")) == 4
+    notice = "Été comme hiver cette salle reste ouverte."
+    rows = [(k, f"Ça va bien, mes amis. {notice}") for k in range(3)]
+    assert not [w for block in item_blocks(rows, 100) for _, runs in block for r in runs for w in r if w == "hiver"]
 
 
 def test_blocks_hold_every_item():
