@@ -21,15 +21,17 @@ import unicodedata
 from collections import Counter
 from collections.abc import Iterable
 
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafgraph.llm.batches import map_columns
+from leafgraph.sources.tables import written
 
 _SOFT = re.compile("[\u00ad\u200b\u200c\u200d\u2060\ufeff]")
 _JOIN = re.compile(r"(?<=[^\W\d_])[-\u2010\u2011\u00ac]\s*(?=[^\W\d_])")
 _WORDS = re.compile(r"[^\W_]+")
-_SENTENCE = re.compile(r"(?<=[.!?])[\"'”’)]*\s+(?=[\"'“‘(]*[A-Z0-9])")
+_SENTENCE = regex.compile(r"(?V1)(?<=[.!?…])[\"'”’»)\]]*\s+(?=[\"'“‘«(\[¿¡]*(?:\p{Lu}|\p{Lt}|\p{Lo}|\p{N}))|(?<=[。！？])\s*")
 
 
 def normal_words(text: str | None) -> list[str]:
@@ -210,48 +212,94 @@ def leaked_items(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text
     return out
 
 
-def without_leaks(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", passage: str = "passage", least: int = 12, most_covered: float = 0.8, block_words: int = 200_000) -> DataFrame:
-    """Rows (doc_id, text, spans_removed) without the leaked spans; documents covered to ``most_covered`` or more are left out wholly.
+def _covered(words: list[str], automaton: Automaton, least: int) -> list[int]:
+    """Where runs of at least ``least`` words of an item begin and end, as from, to, from, to, ..., joined where they touch."""
+    spans: list[int] = []
+    for end, _, size in automaton.matches(words):
+        if size >= least:
+            start = end - size + 1
+            while spans and spans[-1] >= start:  # it reaches into the last span
+                start = min(start, spans[-2])
+                del spans[-2:]
+            spans += (start, end + 1)
+    return spans
+
+
+def _merged(spans: list[int]) -> list[int]:
+    out: list[int] = []
+    for lo, hi in sorted(zip(spans[::2], spans[1::2])):
+        if out and lo <= out[-1]:
+            out[-1] = max(out[-1], hi)
+        else:
+            out += (lo, hi)
+    return out
+
+
+def _without(text: str, spans: list[int]) -> str:
+    """The text without the words of the spans."""
+    places = word_places(text)
+    if len(places) != len(normal_words(text)):  # forms of letters that unfold into several words; the words themselves are kept then
+        words = normal_words(text)
+        return " ".join(w for lo, hi in zip([0, *spans[1::2]], [*spans[::2], len(words)]) for w in words[lo:hi])
+    out, at = [], 0
+    for lo, hi in zip(spans[::2], spans[1::2]):
+        out.append(text[at : places[lo][0]])
+        at = places[hi - 1][1]
+    return "".join((*out, text[at:]))
+
 
-    Blocks of items are applied one after another, so a text loses the spans of all."""
+_SPANS = "doc_id long, text string, spans array<int>"
+
+
+def leaked_spans(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", text: str = "text", item_id: str = "item_id", passage: str = "passage", least: int = 12, block_words: int = 200_000) -> DataFrame:
+    """Rows (doc_id, text, spans): every document with the word positions that leaked, empty for most.
+
+    Blocks of items are applied one after another, each in a pass whose result is written, so a task holds one block's automaton at a time;
+    with one block, as here, it is a single narrow pass."""
     rows = [tuple(r) for r in items.select(F.col(item_id).cast("long"), F.col(passage).cast("string")).toLocalIterator()]
-    blocks = item_blocks(rows, block_words)
+    out = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("text"), F.array().cast("array<int>").alias("spans"))
+    for k, block in enumerate(item_blocks(rows, block_words)):
+
+        def make(block=block):
+            automaton = Automaton((i, run) for i, runs in block for run in runs if len(run) >= least)
+            known = frozenset(w for _, runs in block for run in runs for w in run)
 
+            def run(ids, texts, before):
+                spans = []
+                for t, b in zip(texts, before):
+                    words = normal_words(t)
+                    found = _covered(words, automaton, least) if len(words) >= least and sum(map(known.__contains__, words)) >= least else []
+                    spans.append(_merged(b + found) if b and found else b or found)
+                return {"doc_id": ids, "text": texts, "spans": spans}
+
+            return run
+
+        out = map_columns(written(out, "spans") if k else out, {"doc_id": "doc_id", "text": "text", "spans": "spans"}, make, _SPANS)
+    return out
+
+
+def _cleaned(spans: DataFrame, most_covered: float) -> DataFrame:
     def make():
-        automata = [Automaton((i, run) for i, runs in b for run in runs if len(run) >= least) for b in blocks]
-
-        def clean(t: str | None) -> tuple[str | None, int, float]:
-            words = normal_words(t)
-            if len(words) < least:
-                return t, 0, 0.0
-            bad = [False] * len(words)
-            for a in automata:
-                for end, _, size in a.matches(words):
-                    if size >= least:
-                        bad[end - size + 1 : end + 1] = [True] * size
-            if True not in bad:
-                return t, 0, 0.0
-            places = word_places(t)
-            if len(places) != len(words):  # forms of letters that unfold into several words; the words themselves are kept then
-                return " ".join(w for w, b in zip(words, bad) if not b), 1, sum(bad) / len(bad)
-            out, at, spans = [], 0, 0
-            for k, (b, (lo, hi)) in enumerate(zip(bad, places)):
-                if b:
-                    if not k or not bad[k - 1]:
-                        out.append(t[at:lo])
-                        spans += 1
-                    at = hi
-            out.append(t[at:])
-            return "".join(out), spans, sum(bad) / len(bad)
-
-        def run(ids, texts):
-            got = [(i, *clean(t)) for i, t in zip(ids, texts)]
-            got = [g for g in got if g[3] < most_covered]
-            return {"doc_id": [g[0] for g in got], "text": [g[1] for g in got], "spans_removed": [g[2] for g in got]}
+        def run(ids, texts, spans):
+            share = [sum(s[1::2]) - sum(s[::2]) if s else 0 for s in spans]
+            share = [n / len(normal_words(t)) if n else 0.0 for n, t in zip(share, texts)]
+            kept = [x < most_covered for x in share]
+            clean = [(_without(t, s) if s else t) if k else None for t, s, k in zip(texts, spans, kept)]
+            return {"doc_id": ids, "text": clean, "spans_removed": [len(s) // 2 for s in spans], "share_covered": share, "kept": kept}
 
         return run
 
-    return map_columns(docs, {"d": F.col(doc_id).cast("long"), "t": text}, make, "doc_id long, text string, spans_removed int")
+    return map_columns(spans, {"doc_id": "doc_id", "text": "text", "spans": "spans"}, make, "doc_id long, text string, spans_removed int, share_covered double, kept boolean")
+
+
+def without_leaks(docs: DataFrame, items: DataFrame, most_covered: float = 0.8, **options) -> DataFrame:
+    """Rows (doc_id, text, spans_removed) without the leaked spans; documents covered to ``most_covered`` or more are left out wholly."""
+    return _cleaned(leaked_spans(docs, items, **options), most_covered).filter("kept").select("doc_id", "text", "spans_removed")
+
+
+def leak_report(docs: DataFrame, items: DataFrame, most_covered: float = 0.8, **options) -> DataFrame:
+    """Rows (doc_id, spans_removed, share_covered, kept) of the documents that ``without_leaks`` changes or leaves out."""
+    return _cleaned(leaked_spans(docs, items, **options), most_covered).filter("spans_removed > 0").drop("text")
 
 
 _PLACE = re.compile(r"[^\W_]+(?:[\u00ad\u200b-\u200d\u2060\ufeff]+\s*[^\W_]+|(?<=[^\W\d_])[-\u2010\u2011\u00ac]\s*(?=[^\W\d_])[^\W_]+)*")

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from leafgraph.llm.leaks import leaked_items, without_leaks
+import unicodedata
+
+from leafgraph.llm.leaks import leak_report, leaked_items, without_leaks
 from leafgraph.llm.packing import fill_report, pack
 from leafgraph.llm.pairs import defect_counts, defective_pairs
 from leafgraph.llm.quality import document_statistics, not_prose
@@ -53,6 +55,7 @@ QUERIES = {
     "p6_fill": lambda s, d: fill_report(_packed(s, d)),
     "p7_found": lambda s, d: leaked_items(_documents(s, d), _items(s, d)).select("doc_id", "item_id"),
     "p7_spans": lambda s, d: leaked_items(_documents(s, d), _items(s, d)),
+    "p7_removed": lambda s, d: leak_report(_documents(s, d), _items(s, d)),
     "p7_cleaned": lambda s, d: without_leaks(_documents(s, d), _items(s, d)),
     "p8_found": lambda s, d: _levels(s, d).select("doc_id", "reading_level"),
     "p8_profile": lambda s, d: level_profile(_levels(s, d)),
@@ -70,7 +73,38 @@ found AS (
   WHERE common >= 0.7 * (e.n + t.n - common) - 1e-9 AND ((e.n >= 12 AND t.n >= 12) OR e.doc_id = t.doc_id) AND e.qa_id <> t.qa_id)
 """
 
+#: Forms of letters that unfold to one other letter or digit, by rule.
+_FORMS = [(chr(c), u) for c in range(0x80, 0xFFFF) if not 0xD800 <= c < 0xE000 and len(u := unicodedata.normalize("NFKC", chr(c)).casefold()) == 1 and u.isalnum() and u != chr(c) and u != chr(c).lower()]
+_LIGATURES = [(chr(c), unicodedata.normalize("NFKC", chr(c)).casefold()) for c in (0xDF, *range(0xFB00, 0xFB07))]
+
+
+def _words_sql(text: str) -> str:
+    """SQL for the words of a text, whatever its case, spacing, hyphens and forms of letters."""
+    t = rf"regexp_replace(coalesce({text}, ''), '[\x{{200b}}\x{{200c}}\x{{200d}}\x{{2060}}\x{{feff}}]', '', 'g')"
+    t = rf"replace(regexp_replace({t}, '\x{{ad}}([^\S\n]*\n)', '-\1', 'g'), chr(173), '')"
+    t = f"lower(translate(nfc_normalize({t}), '{''.join(a for a, _ in _FORMS)}', '{''.join(b for _, b in _FORMS)}'))"
+    for a, b in _LIGATURES:
+        t = f"replace({t}, '{a}', '{b}')"
+    for _ in range(2):
+        t = rf"regexp_replace({t}, '(\p{{L}})[-\x{{2010}}\x{{2011}}\x{{ac}}]\s*(\p{{L}})', '\1\2', 'g')"
+    return rf"regexp_extract_all({t}, '[\p{{L}}\p{{N}}]+')"
+
+
+_LEAKS = rf"""
+WITH s AS (SELECT item_id, i, parts[i] AS sentence FROM (SELECT item_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM (
+  SELECT item_id, string_split(regexp_replace(passage, '([.!?…]["''”’»)\]]*)\s+(["''“‘«(\[¿¡]*[\p{{Lu}}\p{{Lt}}\p{{Lo}}\p{{N}}])', '\1' || chr(1) || '\2', 'g'), chr(1)) AS parts FROM eval_items WHERE passage IS NOT NULL))),
+w AS (SELECT item_id, i, {_words_sql("sentence")} AS words FROM s),
+standing AS (SELECT words FROM w WHERE len(words) >= 4 GROUP BY words HAVING count(DISTINCT item_id) >= 3),
+n AS (SELECT w.*, st.words IS NOT NULL AS notice FROM w LEFT JOIN standing st ON w.words = st.words),
+r AS (SELECT *, sum(CAST(notice AS INTEGER)) OVER (PARTITION BY item_id ORDER BY i) AS run FROM n),
+runs AS (SELECT item_id, flatten(list(words ORDER BY i)) AS words FROM r WHERE NOT notice GROUP BY item_id, run),
+item_grams AS (SELECT DISTINCT item_id, array_to_string(words[k:k + 11], ' ') AS g FROM (SELECT item_id, words, unnest(range(1, len(words) - 10)) AS k FROM runs WHERE len(words) >= 12)),
+doc_words AS (SELECT doc_id, {_words_sql("text")} AS words FROM documents),
+doc_grams AS (SELECT doc_id, array_to_string(words[k:k + 11], ' ') AS g FROM (SELECT doc_id, words, unnest(range(1, len(words) - 10)) AS k FROM doc_words WHERE len(words) >= 12))
+SELECT DISTINCT doc_id, item_id FROM doc_grams JOIN item_grams USING (g)"""
+
 ORACLE = {
+    "p7_found": _LEAKS,
     "p4_found": _OVERLAPS + "SELECT DISTINCT least(train_id, eval_id) AS qa_id_a, greatest(train_id, eval_id) AS qa_id_b FROM found",
     "p4_report": _OVERLAPS
     + """, each AS (SELECT eval_id, count(*) AS pairs FROM found GROUP BY 1),
