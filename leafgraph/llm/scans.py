@@ -591,8 +591,11 @@ def _best_neighbours(rows: DataFrame, words: DataFrame, totals: dict, ratio: flo
     found = written(found.select(*place, frequent.alias("z")).filter(F.size("z") > 0), "misread")
     one = found.filter(F.size("z") == 1).select("region_id", "line", "word", F.col("z")[0]["cands"].alias("item"))
     several = found.filter(F.size("z") > 1).select(*place, F.explode("z").alias("x")).select(*place, F.col("x.cands").alias("item"), F.col("x.ns").alias("n"))
+    wanted = written(several.select(F.col("item").alias("word")).distinct(), "wanted")  # few of the words: the others need no vectors
+    if wanted.isEmpty():
+        return one
     basis = skip_gram_basis(words, totals, max(2.0, lexicon_share * totals["n"]), size)
-    several = several.join(skip_gram_vectors(words, totals, basis), "item", "left")
+    several = several.join(skip_gram_vectors(words.join(wanted, "word", "left_semi"), totals, basis), "item", "left")
     shared = rows.sparkSession.sparkContext.broadcast(basis.astype(np.float32))
 
     def make():
