@@ -10,7 +10,7 @@ Rows are spread evenly over groups of about ``group_rows`` texts, and each group
 group, whatever the corpus, and a group of thousands of texts leaves no room but in its last containers. A row's group comes from a hash
 of its place in the scan, not from its id or source, so no key can make a group large.
 
-Tokens are counted with a public byte-level BPE vocabulary of rank lines; its file is a parameter.
+Tokens are counted with a public byte-level BPE vocabulary of rank lines; its file is a parameter, read on the driver's machine and sent to the tasks.
 
 Defined results for odd input: null and empty texts have 0 tokens and lie in their group's first container; a repeated row is a text of
 its own; a null or non-positive capacity is left out, capacities of the same name and size count once; no texts or no capacities give no
@@ -26,7 +26,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark import TaskContext
+from pyspark import SparkFiles, TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,8 +49,11 @@ def _encoding(ranks_path: str):
 def token_counts(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", ranks_path: str = RANKS) -> DataFrame:
     """Rows (doc_id, place, tokens); ``place`` is a hash of the row's position in the scan."""
 
+    docs.sparkSession.sparkContext.addFile(ranks_path)  # executors needn't have it
+    name = os.path.basename(ranks_path)
+
     def make():
-        encode = _encoding(ranks_path).encode_ordinary
+        encode = _encoding(SparkFiles.get(name)).encode_ordinary
         task = TaskContext.get()
         base, at = task.partitionId() if task else 0, 0
 

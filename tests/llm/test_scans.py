@@ -121,3 +121,62 @@ def test_paragraphs(spark):
         ("n", 2, 1): "Item    Cost\nA    2\nB    3", (None, 1, 0): "the clerk of the garden and the harbor of the letter.",
     }
     assert repaired_paragraphs(df.limit(0)).count() == 0
+
+
+def spoiled(text: str, rng: random.Random, width: int = 46) -> str:
+    """A paragraph as a scan gives it: short lines, words parted at their ends, letters misread in long words."""
+    words = []
+    for w in text.split():
+        if len(w) > 6 and w.isalpha() and w.islower() and rng.random() < 0.12:
+            for right, read in (("m", "rn"), ("cl", "d"), ("o", "0"), ("l", "1"), ("h", "b")):
+                if right in w:
+                    w = w.replace(right, read, 1)
+                    break
+        words.append(w)
+    lines, line = [], ""
+    for w in words:
+        if len(line) + len(w) + 1 > width:
+            room = width - len(line) - 2
+            if 3 <= room <= len(w) - 3 and w.isalpha() and rng.random() < 0.5:
+                lines.append(f"{line} {w[:room]}-")
+                line = w[room:]
+                continue
+            lines.append(line)
+            line = w
+        else:
+            line = f"{line} {w}".strip()
+    return "\n".join([*lines, line])
+
+
+def test_recall_of_paragraphs(spark):
+    """Of 240 paragraphs on 120 pages, nearly all come out letter by letter."""
+    from leafgraph.llm.scans import repaired_paragraphs
+
+    rng = random.Random(11)
+    names = "clerk counter ledger garden harbor window modern double followed station printer letter recommended number machine cleaner thermal chamber holder model carton colony clover climate".split()
+    rows, want, k = [], {}, 0
+    for d in range(40):
+        for page in (1, 2, 3):
+            for node in (0, 1):
+                k += 1
+                text = " ".join(rng.choice(["the", "each", "of", "and", "with"]) if i % 2 == 0 else rng.choice(names) for i in range(45))
+                text = text[0].upper() + text[1:] + "."
+                want[f"d{d}", page, node] = text
+                body = spoiled(text, rng)
+                body = f"Neskton Mills / station report   {page}\n{body}" if node == 0 else f"{body}\n- {page} -"
+                rows.append((k, f"d{d}", page, node, body, "2026-01-01 00:00:00", "x"))
+    got = {(r.doc_id, r.page, r.node): r.text for r in repaired_paragraphs(spark.createDataFrame(rows, SCHEMA)).collect()}
+    whole = sum(got.get(k) == v for k, v in want.items())
+    assert len(got) == len(want) and whole >= 0.95 * len(want), (whole, [(got.get(k), v) for k, v in want.items() if got.get(k) != v][:3])
+
+
+def test_vectors_choose_by_context(spark):
+    """A misreading of two words that are equally frequent: the one that stands between such words is meant."""
+    t = "2026-01-01 00:00:00"
+    left, right = "paper table shelf cupboard".split(), "river water bridge valley".split()
+    rng, rows = random.Random(2), []
+    # lamt may be lamf (f read as t) or iamt (i read as l).
+    rows += [(2 * i + k, f"{c}{i}", 1, 0, f"The {rng.choice(side)} {w} {rng.choice(side)} of the house and each day.", t, "x") for i in range(60) for k, (c, side, w) in enumerate((("e", left, "lamf"), ("f", right, "iamt")))]
+    rows += [(900 + k, f"q{k}", 1, 0, f"The {a} lamt {b} of the house and each day.", t, "x") for k, (a, b) in enumerate([("paper", "shelf"), ("river", "bridge")])]
+    got = {tuple(r) for r in scan_noise(spark.createDataFrame(rows, SCHEMA)).filter("noise_kind = 'misread_char' AND region_id >= 900").collect()}
+    assert got == {(900, "misread_char", "lamf"), (901, "misread_char", "iamt")}
