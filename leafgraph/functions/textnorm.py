@@ -168,3 +168,13 @@ def answer_span(answer: Column, context: Column, config: NormConfig = NormConfig
     hit = F.struct(exact.alias("start"), (exact + F.length(answer)).alias("stop"), F.lit(1.0).alias("similarity"))
     fuzzy = F.struct(at.alias("start"), (at + F.length(best["w"])).alias("stop"), best["s"].alias("similarity"))
     return F.when(exact >= 0, hit).when(best.isNotNull() & (size > 0), fuzzy).otherwise(none)
+
+
+def normalized_rows(df, column: str = "text", config: NormConfig = NormConfig()):
+    """Tokens or lines with their normal form; the text as it was stays in ``original_text``."""
+    return df.withColumn("original_text", F.col(column)).withColumn(column, normalize(F.col(column), config))
+
+
+def sentences(text: Column) -> Column:
+    """The pieces between full stops, exclamation and question marks."""
+    return F.split(F.coalesce(text, F.lit("")), "[.!?]")

@@ -44,6 +44,11 @@ def _pairs(nodes: DataFrame) -> DataFrame:
     return a.join(b, list(KEYS)).filter(F.col("a_node_id") != F.col("b_node_id"))
 
 
+def overlaps(nodes: DataFrame) -> DataFrame:
+    """Intersection over union of the nodes of a page that share ground: (keys, source, target, iou)."""
+    return _pairs(nodes).select(*KEYS, F.col("a_node_id").alias("source"), F.col("b_node_id").alias("target"), g.iou("a_", "b_").alias("iou")).filter("iou > 0")
+
+
 def relations(nodes: DataFrame, config: GraphConfig = GraphConfig()) -> DataFrame:
     """All relations of all ordered pairs of a page that reach the least score: (keys, source, target, relation, score, category)."""
     a, b = "a_", "b_"

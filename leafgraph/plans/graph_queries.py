@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from leafgraph.functions import geometry as g
 from leafgraph.operators import graph as G
+from leafgraph.sources.dataset import DEMO_REGIONS, demo_regions, regions_of_payload
 from leafgraph.sources.tables import table
 
 
@@ -21,11 +22,6 @@ def rounded(df, *names, places=6):
     return df.withColumns({n: F.round(n, places) for n in names})
 
 
-def _iou(s, d):
-    n = nodes(s, d)
-    return rounded(G._pairs(n).select("doc_id", "page_no", F.col("a_node_id").alias("source"), F.col("b_node_id").alias("target"), g.iou("a_", "b_").alias("iou")).filter("iou > 0"), "iou")
-
-
 def _flat_documents(docs):
     """Every part of the nested documents as text, so that both engines compare them whole."""
     units = lambda x, n: F.floor(x * n + 0.5).cast("long").cast("string")
@@ -38,6 +34,16 @@ def _flat_documents(docs):
     return docs.select("doc_id", "page_no", "version", "metadata.source_image", "metadata.num_regions", "metadata.num_nodes", "metadata.num_edges", nodes_text.alias("nodes"), edges_text.alias("edges"), adjacency.alias("adjacency"))
 
 
+def _payloads(s, d):
+    """Each page as a stored result: its regions under ``layout``, at the top, or (every third page) nowhere."""
+    rows = G.latest(table(s, d, "graph_visualization_output", "doc_id", "page_no", "node_id", "region_type", "bbox", "score", "text", "created_at", "region_id"), ("doc_id", "page_no", "node_id"), ("created_at", "region_id"))
+    block = F.struct("bbox", F.array(F.struct(F.coalesce("text", F.lit("")).alias("text"))).alias("lines")).alias("block")
+    pages = rows.filter("doc_id IS NOT NULL AND page_no IS NOT NULL AND node_id IS NOT NULL").groupBy("doc_id", "page_no").agg(F.array_sort(F.collect_list(F.struct("node_id", "region_type", "score", block))).alias("regions"))
+    third = F.pmod("page_no", F.lit(3))
+    payload = F.when(third == 0, F.to_json(F.struct(F.struct("regions").alias("layout")))).when(third == 1, F.to_json(F.struct("regions"))).otherwise(F.lit('{"ocr": {}}'))
+    return pages.select("doc_id", "page_no", payload.alias("payload"))
+
+
 QUERIES = {
     "graph_nodes": lambda s, d: rounded(nodes(s, d), "xmin", "ymin", "xmax", "ymax"),
     "graph_edges_topk": lambda s, d: rounded(edges(s, d), "score"),
@@ -53,7 +59,8 @@ QUERIES = {
     "region_type_distribution": lambda s, d: rounded(G.share_of_total(nodes(s, d), "region_type"), "percent"),
     "top_edges": lambda s, d: rounded(G.edge_ends(nodes(s, d), edges(s, d)).orderBy(F.desc("score"), "doc_id", "page_no", "source", "target", "relation").limit(20), "score").drop("rank"),
     "canvas_extent": lambda s, d: G.canvas(nodes(s, d)),
-    "box_iou": _iou,
+    "demo_graph": lambda s, d: rounded(G.graph_edges(demo_regions(s)), "score"),
+    "stored_regions": lambda s, d: regions_of_payload(_payloads(s, d)).select("doc_id", "page_no", "node_id", "region_type", "score", "text", F.size("bbox").alias("corners")),
     "graph_documents": lambda s, d: _flat_documents(G.graph_documents(nodes(s, d), edges(s, d))),
 }
 
@@ -166,10 +173,12 @@ SELECT CAST(least(floor((score - lo) / ((hi - lo) / 20)), 19) AS INTEGER) AS bin
 FROM edges e JOIN nodes a ON e.doc_id = a.doc_id AND e.page_no = a.page_no AND source = a.node_id JOIN nodes b ON e.doc_id = b.doc_id AND e.page_no = b.page_no AND target = b.node_id
 ORDER BY e.score DESC, e.doc_id, e.page_no, source, target, relation LIMIT 20""",
     "canvas_extent": NODES_SQL + "SELECT doc_id, page_no, max(xmax) + 50 AS width, max(ymax) + 50 AS height FROM nodes GROUP BY ALL",
-    "box_iou": NODES_SQL
-    + f""", inter AS (SELECT a.doc_id, a.page_no, a.node_id AS source, b.node_id AS target, greatest(0e0, least(a.xmax, b.xmax) - greatest(a.xmin, b.xmin)) * greatest(0e0, least(a.ymax, b.ymax) - greatest(a.ymin, b.ymin)) AS i,
-  {_area("a")} AS sa, {_area("b")} AS sb FROM nodes a JOIN nodes b ON a.doc_id = b.doc_id AND a.page_no = b.page_no AND a.node_id <> b.node_id)
-SELECT doc_id, page_no, source, target, round(i / (sa + sb - i), 6) AS iou FROM inter WHERE sa + sb - i > 0 AND i > 0""",
+    "demo_graph": f"WITH nodes AS (SELECT 'demo' AS doc_id, 1 AS page_no, * FROM (VALUES {', '.join(str((k, *r[:5], r[6].replace(chr(39), chr(39) * 2), False)) for k, r in enumerate(DEMO_REGIONS))}) v(node_id, region_type, xmin, ymin, xmax, ymax, text, is_short))"
+    + edges_sql()
+    + "SELECT doc_id, page_no, source, target, relation, round(score, 6) AS score, category, rank FROM edges",
+    "stored_regions": """WITH newest AS (SELECT * FROM graph_visualization_output WHERE doc_id IS NOT NULL AND page_no IS NOT NULL AND node_id IS NOT NULL AND page_no % 3 < 2
+  QUALIFY row_number() OVER (PARTITION BY doc_id, page_no, node_id ORDER BY created_at DESC NULLS LAST, region_id DESC) = 1)
+SELECT doc_id, page_no, CAST(row_number() OVER (PARTITION BY doc_id, page_no ORDER BY node_id) - 1 AS INTEGER) AS node_id, region_type, score, coalesce(text, '') AS text, CAST(coalesce(len(bbox), -1) AS INTEGER) AS corners FROM newest""",
     "graph_documents": EDGES_SQL
     + """, adj AS (SELECT doc_id, page_no, source, string_agg(target::VARCHAR, ',' ORDER BY rank) AS v FROM edges GROUP BY ALL),
 a AS (SELECT doc_id, page_no, string_agg(source || ':' || v, '¶' ORDER BY source) AS adjacency FROM adj GROUP BY ALL),

@@ -36,6 +36,13 @@ def _scores(s, d, kind):
     return rounded(_doc_layout(s, d)["hypotheses"].filter(F.col("region_type") == kind).select("doc_id", "block_id", "score", "flag"), "score")
 
 
+def _variants(s, d):
+    """Recognition of each document as it is, and without tokens that are signs only, side by side."""
+    t = document_tokens(s, d)
+    both = t.withColumn("variant", F.lit("plain")).unionByName(t.filter(F.col("text").rlike(r"[\p{L}\p{N}]")).withColumn("variant", F.lit("cleaned")))
+    return rounded(stats.variants(stats.recognition(both, "doc_id", "variant"), "doc_id", "variant", ["plain", "cleaned"], "num_lines", "avg_confidence"), "plain_avg_confidence", "cleaned_avg_confidence")
+
+
 def _export_counts(export):
     joined = lambda c, f: F.array_join(F.transform(c, f), "|")
     return export.select(
@@ -65,6 +72,8 @@ QUERIES = {
     "page_scores": lambda s, d: rounded(_page_layout(s, d)["hypotheses"].select("doc_id", "block_id", "region_type", "score", "flag"), "score"),
     "page_regions": lambda s, d: _region_rows(_page_layout(s, d)),
     "page_graphs": lambda s, d: rounded(G.graph_edges(L.region_nodes(_page_layout(s, d))), "score"),
+    "box_iou": lambda s, d: rounded(G.overlaps(L.region_nodes(_page_layout(s, d))), "iou"),
+    "recognition_variants": lambda s, d: _variants(s, d),
     "page_results": lambda s, d: page_results(region_tokens(s, d)).select("doc_id", "success", "error", "num_regions", "num_nodes", "num_edges"),
     "full_export": lambda s, d: _export_counts(full_export(region_tokens(s, d))),
 }
@@ -202,6 +211,14 @@ ORACLE = {
     "page_scores": REGION_TOKENS_SQL + _SCORES_SQL + "SELECT doc_id, block_id, region_type, round(score, 6) AS score, flag FROM scores",
     "page_regions": REGION_TOKENS_SQL + _SCORES_SQL + _REGIONS,
     "page_graphs": REGION_TOKENS_SQL + _GRAPH_SQL + "SELECT doc_id, page_no, source, target, relation, round(score, 6) AS score, category, rank FROM edges",
+    "box_iou": REGION_TOKENS_SQL
+    + _GRAPH_SQL
+    + """, sized AS (SELECT *, (xmax - xmin) * (ymax - ymin) AS area FROM nodes),
+inter AS (SELECT a.doc_id, a.page_no, a.node_id AS source, b.node_id AS target, greatest(0e0, least(a.xmax, b.xmax) - greatest(a.xmin, b.xmin)) * greatest(0e0, least(a.ymax, b.ymax) - greatest(a.ymin, b.ymin)) AS i,
+  a.area AS sa, b.area AS sb FROM sized a JOIN sized b ON a.doc_id = b.doc_id AND a.page_no = b.page_no AND a.node_id <> b.node_id)
+SELECT doc_id, page_no, source, target, round(i / (sa + sb - i), 6) AS iou FROM inter WHERE sa + sb - i > 0 AND i > 0""",
+    "recognition_variants": DOCUMENT_TOKENS_SQL
+    + "SELECT doc_id, CAST(count(*) AS INTEGER) AS plain_num_lines, 0.9 AS plain_avg_confidence, CAST(nullif(count_if(regexp_matches(text, '[\\p{L}\\p{N}]')), 0) AS INTEGER) AS cleaned_num_lines, CASE WHEN count_if(regexp_matches(text, '[\\p{L}\\p{N}]')) > 0 THEN 0.9 END AS cleaned_avg_confidence FROM tokens GROUP BY doc_id",
     "page_results": REGION_TOKENS_SQL
     + _GRAPH_SQL
     + """, pages AS (SELECT DISTINCT doc_id FROM tokens), failed AS (SELECT DISTINCT doc_id FROM tokens WHERE xmin IS NULL OR ymin IS NULL OR xmax IS NULL OR ymax IS NULL),

@@ -10,10 +10,11 @@ from leafgraph.functions import tokens as T
 from leafgraph.operators import graph as G
 from leafgraph.operators import qa as Q
 from leafgraph.operators import stats
+from leafgraph.operators.stored import questions_of_payloads
 from leafgraph.plans.graph_queries import EDGES_SQL, edges, nodes, rounded
 from leafgraph.plans.text_queries import _CATEGORY, _CLOCK_SQL
-from leafgraph.sources.dataset import first_of_split, image_bytes, labels, random_rows, read_csv, split_counts, split_of_file, still_to_do, with_file_rows
-from leafgraph.sources.sinks import write_csv
+from leafgraph.sources.dataset import first_of_split, image_bytes, labels, random_rows, read_csv, read_images, read_json_documents, read_parquet, split_counts, split_of_file, still_to_do, with_file_rows
+from leafgraph.sources.sinks import write_csv, write_documents, write_images
 from leafgraph.sources.tables import fresh_path, table
 
 
@@ -52,6 +53,22 @@ def _labels_csv(s, d):
     return read_csv(s, path, "question_id long, question string, doc_id string, image_filename string, image_path string, answers string, split string")
 
 
+def _graph_files(s, d):
+    """Every payload as a file of its own, and the files read again."""
+    path = fresh_path(s, "graphs")
+    write_documents(table(s, d, "graph_json", "record_id", "payload").filter("payload IS NOT NULL"), path, "record_id", "payload")
+    return read_json_documents(s, path)
+
+
+def _image_files(s, d):
+    """Images as files by split, and the folders listed again."""
+    path = fresh_path(s, "images")
+    t = table(s, d, "source_rows", "file_name", "questionid", "image")
+    rows = t.select(split_of_file(F.col("file_name")).alias("split"), F.concat(F.col("questionid").cast("string"), F.lit(".png")).alias("name"), image_bytes(t).alias("content"))
+    write_images(rows.filter("name IS NOT NULL"), path, "split", "name", "content")
+    return read_images(s, path).groupBy("split").agg(F.count("*").alias("images"))
+
+
 def _images(s, d):
     rows = table(s, d, "source_rows", "file_name", "questionid", "image")
     return rows.select(split_of_file(F.col("file_name")).alias("split"), F.col("questionid").cast("string").alias("image_id"), F.when(F.col("image").isNull(), "no image").alias("error"))
@@ -111,12 +128,16 @@ QUERIES = {
     "dataset_stats": lambda s, d: rounded(stats.dataset_stats(nodes(s, d).select("doc_id", "page_no").distinct(), nodes(s, d), edges(s, d), nodes(s, d).select(T.word_count(F.col("whole")).alias("tokens"))), "v"),
     "run_statistics": lambda s, d: rounded(stats.run_statistics(_images(s, d), _qa_rows(s, d).select(_split().alias("split"), "doc_id", F.col("question").isNull().alias("failed"), F.lower("reasoning_type").alias("reasoning_type"))), "value"),
     "labels_csv": _labels_csv,
+    "stored_qas": lambda s, d: _plain(questions_of_payloads(table(s, d, "graph_json", "record_id", "payload"))),
     "random_labels": lambda s, d: random_rows(table(s, d, "source_rows", "questionid", "docid"), 20, 7),
     "labels_export": _labels,
     "split_counts": lambda s, d: split_counts(table(s, d, "source_rows", "file_name"), split_of_file(F.col("file_name"))),
     "image_sizes": lambda s, d: (lambda t: t.select(split_of_file(F.col("file_name")).alias("split"), F.length(image_bytes(t)).alias("b")).groupBy("split").agg(F.count("b").alias("images"), F.sum("b").alias("bytes")))(table(s, d, "source_rows", "file_name", "image")),
     "first_files": lambda s, d: first_of_split(table(s, d, "graph_json", "record_id", "split", "file_name"), "split", "record_id", 5),
-    "skip_existing": lambda s, d: still_to_do(table(s, d, "source_rows", "docid").select(F.concat("docid", F.lit(".png")).alias("image_file")).filter("image_file IS NOT NULL").distinct(), table(s, d, "qa_pairs", "image_file", "answer").filter("answer IS NOT NULL"), "image_file"),
+    "skip_existing": lambda s, d: still_to_do(table(s, d, "source_rows", "docid").select(F.concat("docid", F.lit(".png")).alias("image_file")).filter("image_file IS NOT NULL").distinct(), table(s, d, "qa_pairs", "image_file", "answer", "split").filter((_split() == "test") & F.col("answer").isNotNull()), "image_file"),
+    "parquet_scan": lambda s, d: read_parquet(s, f"{d}/qa_pairs.parquet", "row_no", "qa_id"),
+    "graph_files": _graph_files,
+    "image_files": _image_files,
 }
 
 _COLLAPSED = f"trim(regexp_replace(coalesce(text, ''), '{WS}+', ' ', 'g'))"
@@ -304,7 +325,10 @@ n AS (SELECT *, coalesce(CAST(questionid AS VARCHAR) || '.png', docid || '_' ||
 SELECT questionid AS question_id, question, docid AS doc_id, split, name AS image_filename, split || '/' || name AS image_path, CAST(to_json(answers) AS VARCHAR) AS answers FROM n""",
     "image_sizes": f"SELECT {_FILE_SPLIT} AS split, count(image.bytes) AS images, sum(octet_length(image.bytes)) AS bytes FROM source_rows GROUP BY 1",
     "first_files": "SELECT record_id, split, file_name FROM graph_json QUALIFY row_number() OVER (PARTITION BY split ORDER BY record_id) <= 5",
-    "skip_existing": "SELECT DISTINCT docid || '.png' AS image_file FROM source_rows WHERE docid IS NOT NULL AND docid || '.png' NOT IN (SELECT image_file FROM qa_pairs WHERE image_file IS NOT NULL AND answer IS NOT NULL)",
+    "skip_existing": "SELECT DISTINCT docid || '.png' AS image_file FROM source_rows WHERE docid IS NOT NULL AND docid || '.png' NOT IN (SELECT image_file FROM qa_pairs WHERE image_file IS NOT NULL AND answer IS NOT NULL AND lower(trim(split)) = 'test')",
+    "parquet_scan": "SELECT row_no, qa_id, 'qa_pairs.parquet' AS file FROM qa_pairs",
+    "graph_files": "SELECT record_id || '.json' AS file_name, payload FROM graph_json WHERE payload IS NOT NULL",
+    "image_files": f"SELECT split, count(DISTINCT name) AS images FROM (SELECT {_FILE_SPLIT} AS split, questionid || '.png' AS name FROM source_rows WHERE questionid IS NOT NULL AND image.bytes IS NOT NULL) GROUP BY split",
 }
 # What was written as CSV and read again are the labels, but that empty texts and nulls are one.
 ORACLE["labels_csv"] = f"""SELECT question_id, nullif(question, '') AS question, nullif(doc_id, '') AS doc_id, split, image_filename, image_path, answers FROM ({ORACLE["labels_export"]})"""

@@ -8,6 +8,7 @@ from leafgraph.config import NormConfig
 from leafgraph.functions import textnorm as N
 from leafgraph.functions import tokens as T
 from leafgraph.operators import stats
+from leafgraph.plugins import target_size
 from leafgraph.plans.render import ORDER_TOKENS_SQL, order_tokens
 from leafgraph.sources.tables import table
 
@@ -30,6 +31,22 @@ def _order_types(s, d):
     return T.classify_tokens(order_tokens(s, d), ["doc_id"]).select("doc_id", "token_id", "text", "token_type")
 
 
+def _clock_texts(s, d):
+    """Times of events written in several ways, among texts that are none."""
+    ways = ("HH:mm", "h:mm a", "HH:mm:ss", "yyyy-MM-dd HH:mm", "HHmm")
+    e = table(s, d, "events", "event_id", "ts")
+    text = F.lit(None).cast("string")
+    for k, way in enumerate(ways):
+        text = F.when(F.col("event_id") % len(ways) == k, F.date_format("ts", way)).otherwise(text)
+    return e.select("event_id", text.alias("text"))
+
+
+def _sizes(s, d):
+    w, h = (F.col("p_partkey") * 37) % 6000 + 1, F.col("p_size") * 113
+    new_w, new_h = target_size(w, h)
+    return table(s, d, "part", "p_partkey", "p_size").select("p_partkey", new_w.cast("long").alias("width"), new_h.cast("long").alias("height"))
+
+
 QUERIES = {
     "ws_norm": _mapped("question", text=N.collapse),
     "ocr_fix": _mapped("answer", text=N.fix_ocr),
@@ -45,7 +62,10 @@ QUERIES = {
     "answer_span": _spans,
     "token_types": _mapped("answer", token_type=T.token_type),
     "token_type_hist": lambda s, d: stats.token_histogram(_qa(s, d, "answer"), F.col("answer")),
-    "time_values": lambda s, d: _qa(s, d, "answer").filter(T.is_time_value(F.col("answer"))).select("row_no", "answer"),
+    "time_values": lambda s, d: _clock_texts(s, d).filter(T.is_time_value(F.col("text"))),
+    "order_tokens_normalized": lambda s, d: N.normalized_rows(order_tokens(s, d).select("doc_id", "token_id", "text")),
+    "sentence_counts": lambda s, d: table(s, d, "documents", "doc_id", "text").select("doc_id", F.size(N.sentences(F.col("text"))).alias("pieces")),
+    "target_sizes": lambda s, d: _sizes(s, d),
     "form_value_override": _order_types,
     "form_lines": lambda s, d: table(s, d, "documents", "doc_id", "text").select("doc_id", F.posexplode(F.split("text", "\n")).alias("line", "t")).select("doc_id", "line", T.form_line(F.col("t")).alias("f")).filter("f IS NOT NULL").select("doc_id", "line", "f.key", "f.value"),
     "region_categories": lambda s, d: table(s, d, "graph_visualization_output", "region_id", "region_type").select("region_id", T.region_category(F.col("region_type")).alias("category")),
@@ -80,6 +100,27 @@ def _jaccard(a: str, b: str) -> str:
       ELSE len(list_intersect({_words(a)}, {_words(b)})) * 1.0 / len(list_distinct(list_concat({_words(a)}, {_words(b)}))) END)"""
 
 
+_LETTER = r"[\p{L}\p{M}\p{Nd}\p{Nl}_]"
+
+
+def _bare(x: str) -> str:
+    """Without punctuation; apostrophes and hyphens stay between letters, which is marked first as RE2 can't look around."""
+    t = rf"regexp_replace({x}, '[^\p{{L}}\p{{M}}\p{{Nd}}\p{{Nl}}_\s\p{{Z}}''\-]', ' ', 'g')"
+    for sign, mark, instead in (("''", 2, ""), ("-", 3, " ")):
+        for _ in range(2):
+            t = rf"regexp_replace({t}, '({_LETTER}){sign}({_LETTER})', '\1' || chr({mark}) || '\2', 'g')"
+        t = f"replace(replace({t}, '{sign}', '{instead}'), chr({mark}), '{sign}')"
+    return t
+
+
+def _match(x: str) -> str:
+    t = f"regexp_replace({_ocr(f"nfc_normalize(coalesce({x}, ''))")}, '[$€£¥₹]', '', 'g')"
+    for _ in range(2):
+        t = rf"regexp_replace({t}, '(\d),(\d{{3}})', '\1\2', 'g')"
+    t = rf"regexp_replace({t}, '(\d)%', '\1', 'g')"
+    return _collapse(_bare(f"lower({t})"))
+
+
 _TIME_CASE = r"regexp_matches(t, '\d{1,2}:\d{2}')"
 _DATE = "|".join(T._DATES)
 _KINDS = rf"""CASE WHEN t = '' THEN 'empty' WHEN {_TIME_CASE} THEN 'time' WHEN regexp_matches(t, '(?i){_DATE}') THEN 'date'
@@ -103,7 +144,15 @@ ORACLE = {
     "jaccard_pairs": f"WITH n AS (SELECT row_no, {_norm('question')} AS q, {_norm('answer')} AS a FROM qa_pairs) SELECT row_no, round({_jaccard('q', 'a')}, 6) AS similarity FROM n",
     "token_types": f"WITH n AS (SELECT row_no, {_TRIMMED} FROM qa_pairs) SELECT row_no, {_KINDS} AS token_type FROM n",
     "token_type_hist": f"WITH n AS (SELECT {_TRIMMED} FROM qa_pairs) SELECT {_KINDS} AS token_type, count(*) AS n FROM n GROUP BY 1",
-    "time_values": f"SELECT row_no, answer FROM qa_pairs WHERE regexp_matches(answer, '{_CLOCK_SQL}')",
+    "time_values": f"""WITH t AS (SELECT event_id, CASE event_id % 5 WHEN 0 THEN strftime(ts, '%H:%M') WHEN 1 THEN strftime(ts, '%-I:%M %p') WHEN 2 THEN strftime(ts, '%H:%M:%S') WHEN 3 THEN strftime(ts, '%Y-%m-%d %H:%M') ELSE strftime(ts, '%H%M') END AS text FROM events)
+SELECT event_id, text FROM t WHERE regexp_matches(text, '{_CLOCK_SQL}')""",
+    "order_tokens_normalized": ORDER_TOKENS_SQL + f"SELECT doc_id, token_id, text AS original_text, {_norm('text')} AS text FROM tokens",
+    "sentence_counts": "SELECT doc_id, CAST(len(regexp_split_to_array(coalesce(text, ''), '[.!?]')) AS INTEGER) AS pieces FROM documents",
+    "target_sizes": """WITH s AS (SELECT p_partkey, (p_partkey * 37) % 6000 + 1 AS w, p_size * 113 AS h FROM part)
+SELECT p_partkey, CAST(CASE WHEN greatest(w, h) <= 2500 THEN w WHEN w >= h THEN 2500 ELSE floor(w * (2500e0 / h)) END AS BIGINT) AS width, CAST(CASE WHEN greatest(w, h) <= 2500 THEN h WHEN w >= h THEN floor(h * (2500e0 / w)) ELSE 2500 END AS BIGINT) AS height FROM s""",
+    "punctuation_removed": f"SELECT row_no, {_bare('answer')} AS text FROM qa_pairs",
+    "normalized_for_matching": f"SELECT row_no, {_match('answer')} AS text FROM qa_pairs",
+    "similarity_matching": f"WITH n AS (SELECT row_no, {_match('question')} AS q, {_match('answer')} AS a FROM qa_pairs) SELECT row_no, round({_jaccard('q', 'a')}, 6) AS similarity FROM n",
     "answer_span": f"""
 WITH n AS (SELECT row_no, {_norm("answer")} AS a, {_norm("evidence_quotes")} AS c FROM qa_pairs WHERE answer IS NOT NULL AND evidence_quotes IS NOT NULL),
 e AS (SELECT *, CASE WHEN a = '' THEN 0 ELSE instr(c, a) - 1 END AS hit, {_words("a")} AS wa, {_words("c")} AS wc FROM n),

@@ -8,6 +8,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+_WRITTEN: list[str] = []
+
+
 def table(spark: SparkSession, directory: str, name: str, *columns: str) -> DataFrame:
     """One table; only the named columns if any are given, so that the scan reads no others."""
     df = spark.read.parquet(f"{directory}/{name}.parquet")
@@ -29,7 +32,16 @@ def shared_folder(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A place in the shared folder that nothing else uses."""
-    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(path)
+    return path
+
+
+def drop_written(spark: SparkSession) -> None:
+    """Deletes the tables that this application wrote to the shared folder. Results that read them must be stored before."""
+    while _WRITTEN:
+        at = spark._jvm.org.apache.hadoop.fs.Path(_WRITTEN.pop())
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

@@ -38,15 +38,19 @@ def graphs_of(tokens: DataFrame) -> DataFrame:
     return docs.select("doc_id", body.alias("payload"))
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is any output yet. Other failures of the file system are raised: taken for absence, all pages would be done again."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    store = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    return store.exists(at) and any(not s.getPath().getName().startswith(("_", ".")) for s in store.listStatus(at))
+
+
 def process_new(spark: SparkSession, source: str, target: str, checkpoint: str) -> StreamingQuery:
     """Reads the token files (JSON lines) that are new, and appends their graphs to a Parquet folder. Ends when all are done.
 
     The target is read anew in each batch; a batch that is run again after a failure leaves out what it wrote before."""
     def each(batch: DataFrame, _: int) -> None:
-        try:
-            done = done_pages(spark.read.parquet(target))
-        except Exception:  # noqa: BLE001  the first batch: there is no output yet
-            done = batch.select("doc_id").limit(0)
+        done = done_pages(spark.read.parquet(target)) if exists(spark, target) else batch.select("doc_id").limit(0)
         graphs_of(batch.join(done, "doc_id", "left_anti")).write.mode("append").parquet(target)
 
     stream = spark.readStream.schema(TOKENS).json(source)

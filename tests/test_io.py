@@ -89,3 +89,47 @@ def test_model_plugin_and_sizes(spark):
     assert [r.reply for r in plugins.complete(df, lambda: lambda ps: [p + "!" for p in ps]).orderBy("prompt").collect()] == ["p!", "q!"]
     w, h = plugins.target_size(F.col("w"), F.col("h"))
     assert [tuple(r) for r in df.orderBy("prompt").select(w, h).collect()] == [(2500, 500), (100, 50)]
+
+
+def test_command_line_asks_what_the_generator_asks(spark, tmp_path):
+    from leafgraph.__main__ import main
+    from leafgraph.operators import graph as G
+    from leafgraph.operators import qa as Q
+
+    nodes = dataset.demo_regions(spark)
+    edges = G.graph_edges(nodes)
+    doc = G.graph_documents(nodes, edges).select(F.to_json(F.struct("version", "nodes", "edges", "adjacency", "metadata")).alias("j")).first().j
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in/demo.json").write_text(doc)
+    (tmp_path / "in/cut.json").write_text(doc[:50])
+    main(["--doc", str(tmp_path / "in"), "--out", str(tmp_path / "out"), "--max_qas", "4"])
+    rows = spark.read.json(str(tmp_path / "out")).collect()
+    assert [(r.source_document, r.num_qas) for r in rows] == [("demo.json", 4)]
+    want = [r.question for r in Q.generate_qas(nodes, edges).orderBy("idx").limit(4).collect()]
+    assert [q.question for q in rows[0].qas] == want
+
+
+def test_templates_and_absent_outputs(spark, tmp_path):
+    from leafgraph.streaming.incremental import exists
+
+    (tmp_path / "t.json").write_text(json.dumps({"system_prompt": "S", "prompt_templates": {"k": {"reasoning_type": "r", "prompt_template": "P {source_id}", "more": 1}}}))
+    assert [tuple(r) for r in dataset.read_templates(spark, str(tmp_path / "t.json")).collect()] == [("k", "r", "P {source_id}", "S")]
+    assert not exists(spark, str(tmp_path / "none")) and exists(spark, str(tmp_path))
+
+
+def test_unreadable_parquet_files_are_skipped(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "p"))
+    (tmp_path / "p/part-bad.parquet").write_bytes(b"PAR1 nothing")
+    assert dataset.read_parquet(spark, str(tmp_path / "p"), "id", schema="id long").count() == 3
+
+
+def test_written_tables_are_dropped(spark):
+    from pathlib import Path
+
+    from leafgraph.sources import tables
+
+    tables.written(spark.range(5), "five")
+    paths = [Path(x.removeprefix("file:")) for x in tables._WRITTEN]
+    assert paths[-1].exists()
+    tables.drop_written(spark)
+    assert not any(p.exists() for p in paths) and not tables._WRITTEN

@@ -93,3 +93,9 @@ def test_generated_questions(spark):
     again = Q.first_questions(Q.generate_qas(nodes, edges).drop("idx"), ["doc_id"], ["node_id"])
     assert again.count() == len(got) and {r.qa_id for r in Q.csv_rows(Q.generate_qas(nodes, edges), F.lit("train")).collect()} == {f"d_1_{i}" for i in range(7)}
     assert Q.generate_qas(nodes.limit(0), edges.limit(0)).count() == 0
+
+
+def test_labels_begin_at_any_capital():
+    assert Q.fields_of_line("Tên: an Địa chỉ: hanoi Ngày: mai") == [("Tên", "an"), ("Địa chỉ", "hanoi"), ("Ngày", "mai")]
+    assert Q.fields_of_line("Имя: анна Город: Рим") == [("Имя", "анна"), ("Город", "Рим")]
+    assert Q.fields_of_line("Name: Anna Bell Room: 12") == [("Name", "Anna Bell"), ("Room", "12")]
