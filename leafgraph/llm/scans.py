@@ -598,39 +598,27 @@ def _best_neighbours(rows: DataFrame, words: DataFrame, totals: dict, ratio: flo
     several = several.join(skip_gram_vectors(words.join(wanted, "word", "left_semi"), totals, basis), "item", "left")
     shared = rows.sparkSession.sparkContext.broadcast(basis.astype(np.float32))
 
-    def make():
-        basis = shared.value
-
-        def run(vecs, lefts, rights, ns):
-            context = np.array([(basis[a] if a is not None else 0.0) + (basis[BUCKETS + b] if b is not None else np.zeros(basis.shape[1])) for a, b in zip(lefts, rights)])
-            known = [v is not None for v in vecs]
-            fit = np.zeros(len(vecs))
-            if any(known):
-                fit[known] = (np.array([v for v in vecs if v is not None]) * context[known]).sum(1)
-            return {"score": (fit + np.log(np.array(ns) + 1.0)).tolist()}
-
-        return run
 
-    scored = _with_scores(several, make)
+    def run(batches):
+        basis = shared.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            lefts, rights, ns = (batch.column(k).fill_null(-1).to_numpy(zero_copy_only=False) for k in (3, 4, 6))
+            vec = batch.column(7)
+            known = vec.is_valid().to_numpy(zero_copy_only=False)
+            fit = np.zeros(batch.num_rows)
+            if known.any():
+                own = vec.flatten().to_numpy().reshape(-1, basis.shape[1])
+                for at, side in ((lefts[known], 0), (rights[known], BUCKETS)):
+                    fit[known] += np.where(at >= 0, np.einsum("ij,ij->i", own, basis[side + np.maximum(at, 0)]), 0.0)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:7], pa.array(fit + np.log(ns + 1.0))], [*place, "item", "n", "score"])
+
+    scored = several.select(*place, "item", "n", "vec").mapInArrow(run, "region_id long, line int, word string, lb int, rb int, item string, n long, score double")
     best = F.max_by("item", F.struct("score", "n", F.hash("item")))
     return one.unionByName(scored.groupBy(*place).agg(best.alias("item")).select("region_id", "line", "word", "item"))
 
 
-def _with_scores(several: DataFrame, make) -> DataFrame:
-    names = ["region_id", "line", "word", "lb", "rb", "item", "n"]
-
-    def keep():
-        score = make()
-
-        def run(*columns):
-            *rest, vecs = columns
-            return {**dict(zip(names, rest)), **score(vecs, rest[3], rest[4], rest[6])} if len(vecs) else {k: [] for k in (*names, "score")}
-
-        return run
-
-    return map_columns(several, {c: F.col(c) for c in (*names, "vec")}, keep, "region_id long, line int, word string, lb int, rb int, item string, n long, score double")
-
-
 def _halves(rows: DataFrame, furniture: DataFrame, words: DataFrame) -> DataFrame:
     """Rows (region_id, item, a, next_doc, next_page, next_node): words parted at a region's end, as they must read, and where they go on."""
     known = words.filter(F.col("word") != "").select("word", "n")
