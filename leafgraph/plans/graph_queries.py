@@ -60,7 +60,7 @@ QUERIES = {
     "top_edges": lambda s, d: rounded(G.edge_ends(nodes(s, d), edges(s, d)).orderBy(F.desc("score"), "doc_id", "page_no", "source", "target", "relation").limit(20), "score").drop("rank"),
     "canvas_extent": lambda s, d: G.canvas(nodes(s, d)),
     "demo_graph": lambda s, d: rounded(G.graph_edges(demo_regions(s)), "score"),
-    "stored_regions": lambda s, d: regions_of_payload(_payloads(s, d)).select("doc_id", "page_no", "node_id", "region_type", "score", "text", F.size("bbox").alias("corners")),
+    "stored_regions": lambda s, d: regions_of_payload(_payloads(s, d)).select("doc_id", "page_no", "node_id", "region_type", "score", "text", F.coalesce(F.size("bbox"), F.lit(-1)).alias("corners")),
     "graph_documents": lambda s, d: _flat_documents(G.graph_documents(nodes(s, d), edges(s, d))),
 }
 

@@ -115,12 +115,22 @@ def _bare(x: str) -> str:
 
 def _match(x: str) -> str:
     t = f"regexp_replace({_ocr(f"nfc_normalize(coalesce({x}, ''))")}, '[$€£¥₹]', '', 'g')"
+    t = _unabbreviated(t)
     for _ in range(2):
         t = rf"regexp_replace({t}, '(\d),(\d{{3}})', '\1\2', 'g')"
     t = rf"regexp_replace({t}, '(\d)%', '\1', 'g')"
     return _collapse(_bare(f"lower({t})"))
 
 
+def _unabbreviated(x: str) -> str:
+    """Numbers with K, M or B written out, piece by piece: a computed replacement is no matter for one pattern."""
+    number, letter = (rf"regexp_extract(m, '(?i)^([\d,.]+)\s*([KMB])$', {k})" for k in (1, 2))
+    factor = f"CASE upper({letter}) WHEN 'K' THEN 1e3 WHEN 'M' THEN 1e6 ELSE 1e9 END"
+    full = f"coalesce(CAST(CAST(trunc(TRY_CAST(replace({number}, ',', '') AS DOUBLE) * {factor}) AS BIGINT) AS VARCHAR), m)"
+    marked = rf"string_split(regexp_replace({x}, '(?i)([\d,.]+\s*[KMB])\b', chr(4) || '\1' || chr(4), 'g'), chr(4))"
+    return f"array_to_string(list_transform({marked}, lambda m, i: CASE WHEN i % 2 = 0 THEN {full} ELSE m END), '')"
+
+
 _TIME_CASE = r"regexp_matches(t, '\d{1,2}:\d{2}')"
 _DATE = "|".join(T._DATES)
 _KINDS = rf"""CASE WHEN t = '' THEN 'empty' WHEN {_TIME_CASE} THEN 'time' WHEN regexp_matches(t, '(?i){_DATE}') THEN 'date'

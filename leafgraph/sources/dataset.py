@@ -82,7 +82,7 @@ def read_images(spark, path: str, suffix: str = "*.png") -> DataFrame:
 
 def read_json_documents(spark, path: str, leave_out: str = "dataset_statistics.json") -> DataFrame:
     """Whole JSON files as text, by file name, apart from the statistics file."""
-    df = spark.read.option("wholetext", "true").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").text(path)
+    df = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", "*.json").text(path, wholetext=True)
     return df.select(F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("payload")).filter(F.col("file_name") != leave_out)
 
 
@@ -94,7 +94,7 @@ def read_csv(spark, path: str, schema: str) -> DataFrame:
 def read_templates(spark, path: str) -> DataFrame:
     """Prompt templates of a JSON file: (template, reasoning_type, prompt_template, system_prompt)."""
     kind = "system_prompt string, prompt_templates map<string, struct<reasoning_type: string, prompt_template: string>>"
-    text = spark.read.option("wholetext", "true").text(path).select(F.from_json("value", kind).alias("j"))
+    text = spark.read.text(path, wholetext=True).select(F.from_json("value", kind).alias("j"))
     return text.select("j.system_prompt", F.explode("j.prompt_templates").alias("template", "t")).select("template", "t.*", "system_prompt")
 
 

@@ -100,7 +100,7 @@ def test_command_line_asks_what_the_generator_asks(spark, tmp_path):
     edges = G.graph_edges(nodes)
     doc = G.graph_documents(nodes, edges).select(F.to_json(F.struct("version", "nodes", "edges", "adjacency", "metadata")).alias("j")).first().j
     (tmp_path / "in").mkdir()
-    (tmp_path / "in/demo.json").write_text(doc)
+    (tmp_path / "in/demo.json").write_text(json.dumps(json.loads(doc), indent=2))
     (tmp_path / "in/cut.json").write_text(doc[:50])
     main(["--doc", str(tmp_path / "in"), "--out", str(tmp_path / "out"), "--max_qas", "4"])
     rows = spark.read.json(str(tmp_path / "out")).collect()
@@ -112,7 +112,7 @@ def test_command_line_asks_what_the_generator_asks(spark, tmp_path):
 def test_templates_and_absent_outputs(spark, tmp_path):
     from leafgraph.streaming.incremental import exists
 
-    (tmp_path / "t.json").write_text(json.dumps({"system_prompt": "S", "prompt_templates": {"k": {"reasoning_type": "r", "prompt_template": "P {source_id}", "more": 1}}}))
+    (tmp_path / "t.json").write_text(json.dumps({"system_prompt": "S", "prompt_templates": {"k": {"reasoning_type": "r", "prompt_template": "P {source_id}", "more": 1}}}, indent=2))
     assert [tuple(r) for r in dataset.read_templates(spark, str(tmp_path / "t.json")).collect()] == [("k", "r", "P {source_id}", "S")]
     assert not exists(spark, str(tmp_path / "none")) and exists(spark, str(tmp_path))
 
