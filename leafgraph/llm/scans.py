@@ -6,13 +6,13 @@
    times the eigenvectors, and a bucket's vector is its row of them. Tasks send one row a word; vectors stay distributed. Words that make up at least ``lexicon_share`` of all (so at most 1 / lexicon_share of them)
    are the lexicon, the only thing besides 256 bucket totals that goes to the driver and the tasks. Misreadings of words below that share
    are found by an equality join of glyph variants with the counted words, from ``ratio`` occurrences on whatever the size of the corpus.
-2. *Lines.* A second pass over the texts gives narrow rows only: the first lines and the last line of each region, parted words, and words
+2. *Lines.* A second pass over the texts gives narrow rows only: one a region with its first lines and its last line, parted words, and words
    outside the lexicon with the lexicon words that plausible glyph edits lead to. Text is shuffled once only, to count copies of a text once in pass 1.
 3. *Furniture.* A top line is a running header if one of its keys (case and confusable glyphs folded; numbers at its ends left out if they
-   go with the page) stands at the top of another page of the document; lines with several keys have more rows. A line with only a number is a page number if its style says so or its distance to the page's
+   go with the page) stands at the top of another page of the document. A line with only a number is a page number if its style says so or its distance to the page's
    position is that of another page. Both are grouped by (document, skeleton) or (document, distance) with partial aggregation.
 4. *Parted words* are joined; a compound keeps its hyphen if the lexicon knows it with it. A region that ends in a parted word is joined
-   with the next text of its document, found by equality joins on the page and its successor.
+   with the next text of its document that begins inside a sentence, found in one sort by document.
 5. *Misread words.* A rare word is linked to frequent neighbours ``ratio`` times as frequent; among several the context decides: the sum of
    log frequency and the products of the neighbour's vector with those of the words left and right.
 
@@ -127,19 +127,34 @@ _AT_ENDS = re.compile(rf"^(?:\W*(?:{_NUMBER})\W*\s{{2,}})|(?:\s{{2,}}\W*(?:{_NUM
 _CELLS = re.compile(r"\t|\||\S {4,}\S")
 
 
+def _celled(line: str) -> bool:
+    return "\t" in line or "|" in line or ("    " in line and _CELLS.search(line) is not None)
+
+
 def skeleton(line: str) -> str | None:
     """What a header keeps from page to page; None for lines that can't be one."""
     line = line.strip()
     if "  " in line:
         line = _AT_ENDS.sub(" ", line).strip()
-    if not 6 <= len(line) <= 120 or line[-1] in ".!?;,:" or " " not in line or _CELLS.search(line):
+    if not 6 <= len(line) <= 120 or line[-1] in ".!?;,:" or " " not in line or _celled(line):
         return None
     low = _folded(line)
     return low if len(low) >= 5 else None
 
 
 def _folded(line: str) -> str:
-    return "".join(_WORD.findall(line.replace("F", "E").lower().translate(_FOLD)))
+    if not line.isascii():
+        return "".join(_WORD.findall(line.replace("F", "E").lower().translate(_FOLD)))
+    low = line.encode().translate(_ASCII_FOLD, _ASCII_GONE)
+    for whole, parts in _ASCII_PARTS:
+        low = low.replace(whole, parts)
+    return low.decode()
+
+
+# The same for ASCII signs, by tables of bytes: the signs that are dropped, those that stand for one sign, those written as their parts.
+_ASCII_GONE = bytes(c for c in range(128) if not _WORD.search(chr(c).lower().translate(_FOLD)))
+_ASCII_FOLD = bytes(ord(low.translate(_FOLD) if low not in _PARTS else low) if c < 128 and c not in _ASCII_GONE else c for c in range(256) for low in [chr(c).replace("F", "E").lower()])
+_ASCII_PARTS = tuple((k.encode(), v.encode()) for k, v in _PARTS.items())
 
 
 _PAGE_WORD = r"(?:pages?|pag|pg|p|seite|página|folio|fol|sheet|blatt|s)\W{0,3}"
@@ -152,20 +167,28 @@ _MAY_START = re.compile(rf"{_PAGE_WORD}|(?:{_PAGE_WORD})?(?:{_NUMBER})", re.I)
 _MAY_END = re.compile(rf"(?:{_PAGE_WORD})?(?:{_NUMBER})", re.I)
 
 
+@lru_cache(1 << 16)
+def _may_number(word: str) -> tuple[bool, bool]:
+    """Whether a number may begin with the word at the start of a line, and end with it at the end."""
+    word = word.strip(punctuation)
+    return not word.isalpha() or _MAY_START.fullmatch(word) is not None, not word.isalpha() or _MAY_END.fullmatch(word) is not None
+
+
 def header_keys(line: str, page: int) -> list[str]:
     """Keys, one of which a top line shares with its returns on other pages: its skeleton, all its signs folded, and without a number at
     either end. Such a number is part of the key by its distance to the page, so captions counted on their own don't meet; behind a page
     word it is the page's number anyway."""
     line = line.strip()
     keys = [skeleton(line)] if "  " in line else []  # else it is the folded line
-    if not _CELLS.search(line):
+    if not _celled(line):
         keys.append(_folded(line))
-    first, last = (x.strip(punctuation) for x in (line.split(None, 1)[0], line.rsplit(None, 1)[-1]))
-    starts = None if first.isalpha() and not _MAY_START.fullmatch(first) else _STARTS.match(line)
-    ends = None if last.isalpha() and not _MAY_END.fullmatch(last) else _ENDS.search(line, max(0, len(line) - 120))
+    starts = _STARTS.match(line) if _may_number(line.split(None, 1)[0])[0] else None
+    ends = _ENDS.search(line, max(0, len(line) - 120)) if _may_number(line.rsplit(None, 1)[-1])[1] else None
     for m in (starts, ends):
-        rest = (line[: m.start()] + line[m.end() :]).strip() if m else ""
-        if not rest or _CELLS.search(rest) or not (low := _folded(rest)) or (value := _value(m["num"])) is None:
+        if not m:
+            continue
+        rest = (line[: m.start()] + line[m.end() :]).strip()
+        if not rest or _celled(rest) or not (low := _folded(rest)) or (value := _value(m["num"])) is None:
             continue
         keys.append(low if m["word"] and any(map(str.isdigit, m["num"])) else f"{low}#{value - page}")
     return [k if len(k) <= 60 else blake2b(k.encode(), digest_size=16).hexdigest() for k in dict.fromkeys(keys) if k]
@@ -176,14 +199,34 @@ def _bucket(word: str) -> int:
     return zlib.crc32(word.encode()) & (BUCKETS - 1)
 
 
+# For ASCII text: a hyphen that doesn't stand between letters or digits, and all other signs but those as blanks.
+_STRAY = re.compile(r"-(?:(?<![0-9A-Za-z]-)|(?![0-9A-Za-z]))")
+_BLANKS = bytes(c if chr(c).isalnum() or c == ord("-") or c > 127 else 32 for c in range(256))
+
+
+def _tokens(text: str) -> list[str]:
+    """All matches of _TOKEN; in ASCII text by splitting at blanks, which takes a fraction of the time."""
+    if not text.isascii():
+        return _TOKEN.findall(text)
+    if "-" in text:
+        text = _STRAY.sub(" ", text)
+    return text.encode().translate(_BLANKS).decode().split()
+
+
+def _may_part(text: str) -> bool:
+    return "-" in text or not text.isascii()
+
+
 def plain_words(text: str) -> list[str]:
     """Tokens with parted words joined, so that halves don't count as words."""
-    return _TOKEN.findall(_BREAK.sub("", text))
+    return _tokens(_BREAK.sub("", text) if _may_part(text) else text)
 
 
 def parted(text: str) -> list[tuple[int, str, str]]:
     """Where a word is parted at a line end, and its halves."""
     out = []
+    if not _may_part(text):
+        return out
     for m in _BREAK.finditer(text):
         left = _LEFT.search(text, max(0, m.start() - 80), m.start())
         if left and not left[0][0].isdigit():
@@ -353,8 +396,9 @@ def skip_gram_vectors(words: DataFrame, totals: dict, basis: np.ndarray) -> Data
 
 
 # --- lines --------------------------------------------------------------------------------------------------------------------------
-_ROW = "kind string, region_id long, doc_id string, page int, node int, line int, lines int, prose boolean, a string, b string, skel string, num int, styled boolean, cands array<string>, ns array<long>, lb int, rb int"
+_ROW = "kind string, region_id long, doc_id string, page int, node int, line int, a string, b string, cands array<string>, ns array<long>, lb int, rb int, lines int, prose boolean, at array<int>, tops array<string>, nums array<int>, styles array<boolean>, keys array<array<string>>"
 _NAMES = [x.strip().split(" ")[0] for x in _ROW.split(",")]
+_NO_WORD, _NO_TOPS = (None,) * 4, (None,) * 7
 
 
 class _Reader:
@@ -415,11 +459,11 @@ class _Reader:
                 continue
             here = (region, doc, page, node)
             n = len(lines)
-            common = sum(map(_COMMON.__contains__, text.lower().split()))
             body = "\n".join(lines)
             words = plain_words(body)
-            prose = common * 5 >= len(words) > 4
+            prose = len(words) > 4 and sum(map(_COMMON.__contains__, text.lower().split())) * 5 >= len(words)
             table = None
+            tops = []
             for i in (0, 1, 2, n - 1) if n > 3 else range(n):
                 num = page_number(lines[i])
                 if num is None and i > 2:
@@ -429,8 +473,8 @@ class _Reader:
                 if keys and n > 1 and " " not in bare:  # a cell of a table written cell under cell is no header
                     table = block_kind(lines, Counter()) == "table" if table is None else table
                     keys = [] if table else keys
-                rows.append(("L", *here, i, n, prose, bare, None, keys[0] if keys else None, num and num[0], num and num[1], None, None, None, None))
-                rows += [("K", *here, i, n, prose, bare, None, k, None, None, None, None, None, None) for k in keys[1:]]
+                tops.append((i, bare, num and num[0], num and num[1], keys))
+            rows.append(("R", *here, None, None, None, *_NO_WORD, n, prose, *zip(*tops)))
             last = n - 1
             while last > 0 and page_number(lines[last]):
                 last -= 1
@@ -440,22 +484,22 @@ class _Reader:
             if breaks:
                 starts = np.cumsum([len(x) + 1 for x in lines])
                 for at, left, right in breaks:
-                    rows.append(("H", *here, int(np.searchsorted(starts, at, side="right")), None, None, left, self.item(left, right), None, None, None, None, None, None, None))
+                    rows.append(("H", *here, int(np.searchsorted(starts, at, side="right")), left, self.item(left, right), *_NO_WORD, *_NO_TOPS))
             tail = lines[last].rstrip()
             if tail[-1] in _HYPHENS and (m := _LEFT.search(tail, max(0, len(tail) - 80), len(tail) - 1)):
-                rows.append(("E", *here, last, None, None, m[0], None, None, None, None, None, None, None, None))
+                rows.append(("E", *here, last, m[0], None, *_NO_WORD, *_NO_TOPS))
             if not prose or not (suspects := self.suspects(words)):
                 continue
             for i, line in enumerate(self.whole_lines(lines[: last + 1]) if breaks else lines[: last + 1]):
                 if not any(map(line.__contains__, suspects)):
                     continue
-                own = _TOKEN.findall(line)
+                own = _tokens(line)
                 if len(own) > 4 and sum(x.lower() in lexicon for x in own) * 3 < len(own):
                     continue  # no running text
                 for k, w in enumerate(own):
                     if (hits := suspects.get(w)) is not None:
-                        rows.append(("M" if hits else "U", *here, i, None, None, w, None, None, None, None, list(hits), [lexicon.get(h, 0) for h in hits],
-                                     _bucket(own[k - 1].lower()) if k else None, _bucket(own[k + 1].lower()) if k + 1 < len(own) else None))
+                        rows.append(("M" if hits else "U", *here, i, w, None, list(hits), [lexicon.get(h, 0) for h in hits],
+                                     _bucket(own[k - 1].lower()) if k else None, _bucket(own[k + 1].lower()) if k + 1 < len(own) else None, *_NO_TOPS))
         return dict(zip(_NAMES, map(list, zip(*rows)))) if rows else {k: [] for k in _NAMES}
 
 
@@ -528,34 +572,43 @@ def scan_rows(df: DataFrame, region_id: str, doc_id: str, page: str, node: str,
 
 # --- verdicts -----------------------------------------------------------------------------------------------------------------------
 def _top_lines(rows: DataFrame, top: int) -> DataFrame:
-    """Lines with ``above``, the page's lines before them, and ``bottom``, whether they end the page. Regions delivered again share a place."""
-    lines = rows.filter("kind = 'L'")
+    """Lines with ``above``, the page's lines before them, and ``bottom``, whether they end the page. Regions delivered again share a place.
+
+    One shuffle and sort by page: sums up to a place and over the page give what stands before and after it. Regions stay one row each until
+    those far from either end of the page are left out."""
     place = ["doc_id", "page", "node"]
+    regions = rows.filter("kind = 'R'").select("region_id", *place, "lines", "prose", "at", "tops", "nums", "styles", "keys").repartition("doc_id", "page")
+    copies = Window.partitionBy(*place).orderBy("region_id")
+    all_copies = copies.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     # Tables and the like stand before or after the running text of a page; its first and last lines are those without them, too.
-    regions = lines.groupBy(*place).agg(F.max("lines").alias("lines"), F.max(F.col("prose") | (F.col("lines") <= top)).alias("flows"))
-    w = Window.partitionBy("doc_id", "page").orderBy("node")
-    earlier, later = w.rowsBetween(Window.unboundedPreceding, -1), w.rowsBetween(1, Window.unboundedFollowing)
-    flowing = F.when(F.col("flows"), F.col("lines"))
-    before = F.least(F.coalesce(F.sum("lines").over(earlier), F.lit(0)), F.when(F.col("flows"), F.coalesce(F.sum(flowing).over(earlier), F.lit(0))))
-    after = F.least(F.coalesce(F.sum("lines").over(later), F.lit(0)), F.when(F.col("flows"), F.coalesce(F.sum(flowing).over(later), F.lit(0))))
-    regions = regions.select(*place, before.alias("before"), (after == 0).alias("is_last"))
-    lines = rows.filter("kind IN ('L', 'K') AND (num IS NOT NULL OR skel IS NOT NULL)")
-    joined = lines.join(regions, [F.equal_null(lines[k], regions[k]) for k in place]).drop(*(regions[k] for k in place))
-    return joined.withColumn("above", F.col("before") + F.col("line")).withColumn("bottom", F.col("is_last") & (F.col("line") == F.col("lines") - 1))
+    regions = regions.withColumns({"most": F.max("lines").over(all_copies), "flows": F.max(F.col("prose") | (F.col("lines") <= top)).over(all_copies), "copy": F.row_number().over(copies)})
+    once = F.when(F.col("copy") == 1, F.col("most")).otherwise(0)
+    regions = regions.withColumns({"once": once, "flowing": F.when(F.col("flows"), once).otherwise(0)})
+    so_far = Window.partitionBy("doc_id", "page").orderBy("node")  # with all copies of a place
+    page = so_far.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    regions = regions.withColumns({f"{c}_{k}": F.sum(c).over(w) for c in ("once", "flowing") for k, w in (("so_far", so_far), ("page", page))})
+    before = F.least(F.col("once_so_far") - F.col("most"), F.when(F.col("flows"), F.col("flowing_so_far") - F.col("most")))
+    after = F.least(F.col("once_page") - F.col("once_so_far"), F.when(F.col("flows"), F.col("flowing_page") - F.col("flowing_so_far")))
+    regions = regions.withColumns({"before": before, "is_last": after == 0}).filter((F.col("before") < top) | F.col("is_last"))
+    lines = regions.select("region_id", "doc_id", "page", "lines", "prose", "before", "is_last", F.explode(F.arrays_zip("at", "tops", "nums", "styles", "keys")).alias("x"))
+    lines = lines.select("region_id", "doc_id", "page", "lines", "prose", "before", "is_last", F.col("x.at").alias("line"), F.col("x.tops").alias("a"), F.col("x.nums").alias("num"), F.col("x.styles").alias("styled"), F.col("x.keys").alias("keys"))
+    return lines.withColumn("above", F.col("before") + F.col("line")).withColumn("bottom", F.col("is_last") & (F.col("line") == F.col("lines") - 1)).drop("before", "is_last")
 
 
 def _furniture(rows: DataFrame, top: int = 3) -> DataFrame:
     """Rows (region_id, line, noise_kind, item) of page numbers and running headers."""
     lines = _top_lines(rows, top)
     is_number = F.col("num").isNotNull() & ((F.col("above") < top) | F.col("bottom"))
-    lines = written(lines.filter(is_number | (F.col("skel").isNotNull() & (F.col("above") < top))), "edges")
+    is_head = (F.size("keys") > 0) & (F.col("above") < top)
+    lines = written(lines.filter(is_number | is_head), "edges")
     numbers = lines.filter(is_number).withColumn("apart", F.col("num") - F.col("page"))
-    agree = numbers.groupBy("doc_id", "apart").agg(F.count_distinct("page").alias("pages"))
+    several = F.min("page") < F.max("page")  # more than one page
+    agree = numbers.groupBy("doc_id", "apart").agg(several.alias("agrees"))
     numbers = numbers.join(agree, [F.equal_null(numbers["doc_id"], agree["doc_id"]), numbers["apart"] == agree["apart"]]).drop(agree["doc_id"], agree["apart"])
-    bare_ok = (F.col("pages") > 1) | F.col("prose") | ((F.col("lines") == 1) & (F.col("apart") == 0))
+    bare_ok = F.col("agrees") | F.col("prose") | ((F.col("lines") == 1) & (F.col("apart") == 0))
     numbers = numbers.filter(F.col("styled") | bare_ok)
-    heads = lines.filter(F.col("skel").isNotNull() & (F.col("above") < top))
-    again = heads.groupBy("doc_id", "skel").agg(F.count_distinct("page").alias("pages")).filter("pages > 1")
+    heads = lines.filter(is_head).select("region_id", "line", "a", "doc_id", "page", F.explode("keys").alias("skel"))
+    again = heads.groupBy("doc_id", "skel").agg(several.alias("returns")).filter("returns")
     heads = heads.join(again, [F.equal_null(heads["doc_id"], again["doc_id"]), heads["skel"] == again["skel"]], "left_semi")
     pick = lambda x, kind: x.select("region_id", "line", F.lit(kind).alias("noise_kind"), F.col("a").alias("item"))
     return pick(numbers, "page_number").unionByName(pick(heads, "running_header"))
@@ -564,22 +617,17 @@ def _furniture(rows: DataFrame, top: int = 3) -> DataFrame:
 def _carried_on(rows: DataFrame, furniture: DataFrame) -> DataFrame:
     """Rows (region_id, a, b): halves at the end of a region, and the first word of the document's next text."""
     place = ["doc_id", "page", "node"]
-    lines = rows.filter("kind = 'L' AND line < 3")
-    body = lines.join(furniture.select("region_id", "line"), ["region_id", "line"], "left_anti")
-    first = body.groupBy("region_id").agg(F.min_by(F.struct(*place, "a"), "line").alias("f")).select("f.*")
+    gone = furniture.groupBy("region_id").agg(F.collect_set("line").alias("gone"))
+    tops = rows.filter("kind = 'R'").select("region_id", *place, F.arrays_zip("at", "tops").alias("x")).join(gone, "region_id", "left")
+    body = F.filter("x", lambda x: (x["at"] < 3) & ~F.coalesce(F.array_contains("gone", x["at"]), F.lit(False)))
+    first = tops.select(*place, F.get(body, F.lit(0))["tops"].alias("a")).filter("a IS NOT NULL")
     first = first.withColumn("b", F.regexp_extract("a", r"(?U)^\s*((?:\p{L}[\p{L}\p{N}]*)(?:-[\p{L}\p{N}]+)*)", 1))
     starts = first.filter(F.col("b").rlike(r"(?U)^\p{Ll}")).groupBy(*place).agg(F.min("b").alias("b"))
-    ends = rows.filter("kind = 'E'").select("region_id", *place, "a")
-    s = starts.select(F.col("doc_id").alias("d"), F.col("page").alias("p"), F.col("node").alias("m"), "b")
-    on_page = ends.join(s, F.equal_null("doc_id", "d") & (F.col("page") == F.col("p")) & (F.col("m") > F.col("node"))).groupBy("region_id", "a").agg(F.min_by("b", "m").alias("b"))
-    rest = ends.join(on_page.select("region_id").distinct(), "region_id", "left_anti")
-    pages = s.groupBy("d", "p").agg(F.min_by("b", "m").alias("b"))
-    # The first text of the nearest later page that begins inside a sentence, in one sort by document: pages from last to first, ends before starts.
-    both = rest.select(F.col("doc_id").alias("d"), F.col("page").alias("p"), F.lit(0).alias("o"), "region_id", "a", F.lit(None).cast("string").alias("b"))
-    both = both.unionByName(pages.select("d", "p", F.lit(1).alias("o"), F.lit(None).cast("long").alias("region_id"), F.lit(None).cast("string").alias("a"), "b"))
-    back = Window.partitionBy("d").orderBy(F.desc("p"), "o").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    later = both.withColumn("b", F.last("b", ignorenulls=True).over(back)).filter("o = 0 AND b IS NOT NULL").select("region_id", "a", "b")
-    return on_page.unionByName(later)
+    ends = rows.filter("kind = 'E'").select("region_id", *place, "a", F.lit(0).alias("o"), F.lit(None).cast("string").alias("b"))
+    # The nearest later text, on the page or behind it, that begins inside a sentence: one sort by document, from last to first, ends before starts.
+    both = ends.unionByName(starts.select(F.lit(None).cast("long").alias("region_id"), *place, F.lit(None).cast("string").alias("a"), F.lit(1).alias("o"), "b"))
+    back = Window.partitionBy("doc_id").orderBy(F.desc("page"), F.desc("node"), "o").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return both.withColumn("b", F.last("b", ignorenulls=True).over(back)).filter("o = 0 AND b IS NOT NULL").select("region_id", "a", "b")
 
 
 def _best_neighbours(rows: DataFrame, words: DataFrame, totals: dict, ratio: float, lexicon_share: float, size: int = 64) -> DataFrame:
@@ -660,7 +708,7 @@ def repaired_paragraphs(df: DataFrame, region_id: str = "region_id", doc_id: str
     gone = furniture.groupBy("region_id").agg(F.collect_set("line").alias("gone"))
     ends = halves.groupBy("region_id").agg(F.min(F.concat_ws("\x01", "a", "item")).alias("half"))
     joins = rows.filter("kind = 'H'").groupBy("region_id").agg(F.collect_set(F.concat_ws("\x01", "a", "b")).alias("joins"))
-    flows = rows.filter("kind = 'L' AND line = 0").select("region_id", "prose")
+    flows = rows.filter("kind = 'R'").select("region_id", "prose")
     src = df.select(F.col(region_id).cast("long").alias("region_id"), F.col(doc_id).cast("string").alias("doc_id"), F.coalesce(F.col(page).cast("int"), F.lit(-1)).alias("page"), F.coalesce(F.col(node).cast("int"), F.lit(-1)).alias("node"),
                     F.struct(F.col(created).cast("timestamp").isNotNull(), F.col(created).cast("timestamp"), F.col(region_id).cast("long")).alias("_o"), F.col(text).alias("text"))
     newest = src.groupBy("doc_id", "page", "node").agg(F.max_by("region_id", "_o").alias("region_id")).select("region_id")

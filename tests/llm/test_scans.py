@@ -24,6 +24,83 @@ def test_glyphs():
     assert plain_words("a recom-\nmended word-\r\nlist") == ["a", "recommended", "wordlist"]
 
 
+def test_short_cuts_for_ascii():
+    """Words and folded lines by tables are those of the patterns, whatever signs stand between."""
+    from leafgraph.llm import scans
+
+    rng, signs = random.Random(1), "aBcdFiIlmnOuwx019 -_|.,;\t\n\x00\x7f"
+    for k in range(4000):
+        t = "".join(rng.choice(signs + "é¬\xad‐²" * (k % 4 == 0)) for _ in range(rng.randint(0, 24)))
+        assert scans._tokens(t) == scans._TOKEN.findall(t) and plain_words(t) == scans._TOKEN.findall(scans._BREAK.sub("", t)), repr(t)
+        assert scans._folded(t) == "".join(scans._WORD.findall(t.replace("F", "E").lower().translate(scans._FOLD))), repr(t)
+        assert scans._celled(t) == bool(scans._CELLS.search(t)), repr(t)
+
+
+def plan_of(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_places_on_pages(spark):
+    """Lines before and behind a region's, held against a count by hand; one row a region, one shuffle, no join."""
+    from leafgraph.llm import scans
+
+    rng, regions = random.Random(4), []
+    for d, page in [(d, p) for d in ("a", "b", None) for p in (-1, 1, 2)]:
+        for node in range(rng.randint(1, 5)):
+            regions += [(len(regions) + k, d, page, node, rng.randint(1, 6), rng.random() < 0.5) for k in range(rng.choice((1, 1, 2)))]
+    data = [("R", r, d, p, m, None, None, None, None, None, None, None, n, prose, [0], ["x"], [None], [None], [["k"]]) for r, d, p, m, n, prose in regions]
+    got = {r.region_id: (r.above, r.bottom) for r in scans._top_lines(spark.createDataFrame(data, scans._ROW), 3).collect()}
+    want = {}
+    for r, d, p, m, n, _ in regions:
+        places = {}
+        for _, d2, p2, m2, n2, prose in regions:
+            if (d2, p2) == (d, p):
+                most, flows = places.get(m2, (0, False))
+                places[m2] = max(most, n2), flows or prose or n2 <= 3
+        before, after = (min(sum(x for k, (x, _) in places.items() if side(k)), sum(x for k, (x, flows) in places.items() if flows and side(k)) if places[m][1] else 99) for side in (m.__gt__, m.__lt__))
+        if before < 3 or after == 0:
+            want[r] = before, after == 0 and n == 1
+    assert got == want and len(want) < len(regions)
+    texts = [(1, "d", 1, 0, "One line of each clerk\nanother of the garden 12\nand a third 3\nand the window of the harbor", None, "x")]
+    read = scans._Reader({}, {})(*([t[k]] for t in texts for k in range(5)))
+    assert read["kind"] == ["R"] and read["at"] == [(0, 1, 2)] and len(read["keys"][0][1]) > 1
+    plan = plan_of(scans._top_lines(spark.createDataFrame(data, scans._ROW), 3))
+    assert plan.count("Exchange") == 1 and "Join" not in plan
+
+
+def test_carried_on(spark):
+    """The next text that begins inside a sentence, on the page or behind it, held against a search; one join, with the furniture."""
+    from leafgraph.llm import scans
+
+    rng, data, places = random.Random(6), [], {}
+    for d in ("a", "b", None):
+        for page in (-1, 1, 2, 5):
+            for node in range(4):
+                r, first = len(data), rng.choice(["Each clerk", "ter of the", "7", "mended again"])
+                data.append(("R", r, d, page, node, None, None, None, None, None, None, None, 2, True, [0, 1], ["Neskton Mills", first], [None] * 2, [None] * 2, [["k"], []]))
+                if rng.random() < 0.5:
+                    data.append(("E", r, d, page, node, 1, f"half{r}", None, None, None, None, None, *[None] * 7))
+                if first[0].islower():
+                    places[d, page, node] = first.split()[0]
+    furniture = spark.createDataFrame([(x[1], 0, "running_header", "Neskton Mills") for x in data if x[0] == "R"], "region_id long, line int, noise_kind string, item string")
+    rows = spark.createDataFrame(data, scans._ROW)
+    want = set()
+    for _, r, d, page, node, _, a, *_ in (x for x in data if x[0] == "E"):
+        later = [(p, m) for d2, p, m in places if d2 == d and (p, m) > (page, node)]
+        if later:
+            want.add((r, a, places[d, *min(later)]))
+    df = scans._carried_on(rows, furniture)
+    plan = plan_of(df)
+    assert {tuple(x) for x in df.collect()} == want and want
+    assert plan.count("Join") == 1
+
+
+def test_few_shuffles(spark):
+    """The verdicts' last step sorts each document once; joins by page and by region, several times over, took a third of the JVM's time."""
+    plan = plan_of(scan_noise(spark.createDataFrame(corpus()[0], SCHEMA)))
+    assert plan.count("Exchange") <= 16 and plan.count("Join") <= 6, (plan.count("Exchange"), plan.count("Join"))
+
+
 def corpus():
     rng = random.Random(3)
     words = "clerk counted ledger garden harbor window modern double followed station printer letter year-end recommended number".split()
