@@ -328,28 +328,35 @@ def word_vectors(df: DataFrame, text: str) -> DataFrame:
     """Rows (word, n, ctx): occurrences, and the counts of left and right context buckets. The word '' has all words' totals."""
     parts = map_columns(df, {"t": text}, _Learner, "word string, n long, at array<int>, c array<long>")
 
-    def make():
-        sums: dict[str, list] = {}
-
-        def run(words, ns, ats, cs):
-            for w, n, at, c in zip(words, ns, ats, cs):
-                s = sums.get(w)
-                if s is None:
-                    s = sums[w] = [0, np.zeros(2 * BUCKETS, np.int64)]
-                s[0] += n
-                s[1][at] += c
-            return {"word": [], "n": [], "ctx": []}
-
-        def finish():
-            words = list(sums)
-            for k in range(0, len(words), 2000):
-                some = words[k : k + 2000]
-                yield {"word": some, "n": [sums[w][0] for w in some], "ctx": [sums[w][1] for w in some]}
-
-        run.finish = finish
-        return run
+    def run(batches):
+        rows: dict[str, int] = {}
+        ns, keys, sums = np.zeros(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
+        new: list[tuple[np.ndarray, np.ndarray]] = []
 
-    return map_columns(parts.repartition("word"), {c: c for c in ("word", "n", "at", "c")}, make, "word string, n long, ctx array<long>")
+        def fold():
+            both = [np.concatenate(x) for x in zip((keys, sums), *new)]
+            cells, inverse = np.unique(both[0], return_inverse=True)
+            new.clear()
+            return cells, np.bincount(inverse, both[1], len(cells)).astype(np.int64)
+
+        for batch in batches:
+            at = np.array([rows.setdefault(w, len(rows)) for w in batch.column(0).to_pylist()], np.int64)
+            ns = np.pad(ns, (0, len(rows) - len(ns)))
+            np.add.at(ns, at, batch.column(1).to_numpy())
+            cells = np.repeat(at, batch.column(2).value_lengths().to_numpy()) * (2 * BUCKETS) + batch.column(2).flatten().to_numpy()
+            new.append((cells, batch.column(3).flatten().to_numpy()))
+            if sum(len(x) for x, _ in new) > 2_000_000:
+                keys, sums = fold()
+        keys, sums = fold()
+        words, size = list(rows), 2000
+        cut = np.searchsorted(keys, np.arange(0, len(words) + size, size) * (2 * BUCKETS))
+        for k in range(0, len(words), size):
+            some = slice(cut[k // size], cut[k // size + 1])
+            ctx = np.zeros(len(words[k : k + size]) * 2 * BUCKETS, np.int64)
+            ctx[keys[some] - k * 2 * BUCKETS] = sums[some]
+            yield pa.RecordBatch.from_arrays([pa.array(words[k : k + size], pa.string()), pa.array(ns[k : k + size]), pa.FixedSizeListArray.from_arrays(pa.array(ctx), 2 * BUCKETS).cast(pa.list_(pa.int64()))], ["word", "n", "ctx"])
+
+    return parts.repartition("word").select("word", "n", "at", "c").mapInArrow(run, "word string, n long, ctx array<long>")
 
 
 def _information(ctx: np.ndarray, n: np.ndarray, share: np.ndarray) -> np.ndarray:

@@ -101,6 +101,26 @@ def test_few_shuffles(spark):
     assert plan.count("Exchange") <= 16 and plan.count("Join") <= 6, (plan.count("Exchange"), plan.count("Join"))
 
 
+def test_word_vectors_are_sums(spark):
+    """Counts and contexts of more words than go out in one batch, from several tasks, held against a count by hand."""
+    from collections import Counter
+
+    from leafgraph.llm import scans
+
+    rng = random.Random(9)
+    texts = [" ".join(rng.choice(["the", "of", f"w{rng.randrange(9000)}x"]) for _ in range(30)) for _ in range(900)]
+    n, ctx = Counter(), Counter()
+    for t in texts:
+        words = ["", *t.split(), ""]
+        for a, b, c in zip(words, words[1:], words[2:]):
+            n[b] += 1
+            ctx[b, scans._bucket(a)] += 1
+            ctx[b, scans.BUCKETS + scans._bucket(c)] += 1
+    rows = [r for r in scans.word_vectors(spark.createDataFrame([(t,) for t in texts], "t string").repartition(3), "t").collect() if r.word]
+    assert {r.word: r.n for r in rows} == n and len(rows) == len(n) > 2000
+    assert {(r.word, k): c for r in rows for k, c in enumerate(r.ctx) if c} == ctx and all(len(r.ctx) == 2 * scans.BUCKETS for r in rows)
+
+
 def corpus():
     rng = random.Random(3)
     words = "clerk counted ledger garden harbor window modern double followed station printer letter year-end recommended number".split()
