@@ -1,7 +1,7 @@
 """Whole pages: from tokens to a result with its error, and the full export of every stage.
 
 A page that can't be laid out becomes a row with an error instead of failing its batch; a page without regions is a success with an empty
-graph. Every row belongs to one page, so all joins are by page.
+graph. Every row belongs to one page: tokens come as rows, or page by page as ``paged.packed`` has them, and go to their page once.
 """
 
 from __future__ import annotations
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from leafgraph.config import LayoutConfig
 from leafgraph.operators import graph as G
 from leafgraph.operators import layout as L
+from leafgraph.operators import paged
 from leafgraph.sources.tables import written
 
 
@@ -19,19 +20,17 @@ def _sized(c: str) -> Column:
     return F.coalesce(F.size(c), F.lit(0))
 
 
+def _sheets(tokens: DataFrame) -> DataFrame:
+    return tokens if "tokens" in tokens.columns else paged.packed(tokens)
+
+
 def page_results(tokens: DataFrame, config: LayoutConfig = LayoutConfig()) -> DataFrame:
     """A row for each page: (doc_id, success, error, num_regions, num_nodes, num_edges, data); ``data`` is the graph document, null for failures."""
-    tokens = written(tokens.withColumn("doc_id", F.col("doc_id").cast("string")), "pages")
-    pages = tokens.select("doc_id").distinct().join(L.layout_failures(tokens), "doc_id", "left")
-    nodes = written(L.region_nodes(L.analyze(tokens, config)), "nodes")
-    docs = G.graph_documents(nodes, G.graph_edges(nodes)).drop("page_no")
-    out = pages.join(docs.select("doc_id", F.struct("version", "nodes", "edges", "adjacency", "metadata").alias("data")), "doc_id", "left")
-    kind = docs.select(F.struct("version", "nodes", "edges", "adjacency", "metadata").alias("data")).schema["data"].dataType
-    number = lambda c: F.coalesce(F.col(f"data.metadata.{c}"), F.lit(0)).alias(c)
-    meta = F.struct(F.concat("doc_id", F.lit("_1.png")).alias("source_image"), *(F.lit(0).alias(c) for c in ("num_regions", "num_nodes", "num_edges")))
-    none = F.struct(F.lit("1.0.0").alias("version"), *(F.array().cast(kind[c].dataType).alias(c) for c in ("nodes", "edges")), F.create_map().cast(kind["adjacency"].dataType).alias("adjacency"), meta.alias("metadata"))
-    data = F.when(F.col("error").isNull(), F.coalesce("data", none.cast(kind)))
-    return out.select("doc_id", F.col("error").isNull().alias("success"), "error", number("num_regions"), number("num_nodes"), number("num_edges"), data.alias("data"))
+    p = paged.pages(_sheets(tokens), ["doc_id", "error", "nodes", "edges", "adjacency"], config)
+    sizes = (F.size("nodes").alias("num_regions"), F.size("nodes").alias("num_nodes"), F.size("edges").alias("num_edges"))
+    meta = F.struct(F.concat("doc_id", F.lit("_1.png")).alias("source_image"), *sizes)
+    data = F.when(F.col("error").isNull(), F.struct(F.lit("1.0.0").alias("version"), "nodes", "edges", "adjacency", meta.alias("metadata")))
+    return p.select("doc_id", F.col("error").isNull().alias("success"), "error", *sizes, data.alias("data"))
 
 
 def full_export(tokens: DataFrame, config: LayoutConfig = LayoutConfig()) -> DataFrame:
