@@ -6,18 +6,11 @@ graph. Every row belongs to one page: tokens come as rows, or page by page as ``
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from leafgraph.config import LayoutConfig
-from leafgraph.operators import graph as G
-from leafgraph.operators import layout as L
 from leafgraph.operators import paged
-from leafgraph.sources.tables import written
-
-
-def _sized(c: str) -> Column:
-    return F.coalesce(F.size(c), F.lit(0))
 
 
 def _sheets(tokens: DataFrame) -> DataFrame:
@@ -35,23 +28,9 @@ def page_results(tokens: DataFrame, config: LayoutConfig = LayoutConfig()) -> Da
 
 def full_export(tokens: DataFrame, config: LayoutConfig = LayoutConfig()) -> DataFrame:
     """Everything that is known of each page that can be laid out: (doc_id, version, created_at, ocr, layout, graph), for ``write_json``."""
-    tokens = written(tokens.withColumn("doc_id", F.col("doc_id").cast("string")), "pages")
-    result = L.analyze(tokens, config)
-    nodes = written(L.region_nodes(result), "nodes")
-    docs = G.graph_documents(nodes, G.graph_edges(nodes)).select("doc_id", "nodes", "edges", "adjacency")
-
-    def listed(df: DataFrame, name: str, *columns) -> DataFrame:
-        return df.groupBy("doc_id").agg(F.array_sort(F.collect_list(F.struct(*columns))).alias(name))
-
-    box = L.BOUNDS
-    lines = result["block_lines"]
-    blocks = lines.groupBy("doc_id", "block_id").agg(F.count("*").alias("lines"), *(f(c).alias(c) for f, c in zip((F.min, F.min, F.max, F.max), box)))
-    all_parts = listed(result["tokens"], "tokens", "token_id", "text", "confidence", *box)
-    for df, name, columns in ((lines, "lines", ("line_id", "block_id", "text", "is_form", "form_key", "form_value", *box)), (blocks, "blocks", ("block_id", "lines", *box)), (result["regions"], "regions", ("region_id", "block_id", "region_type", "score", *box))):
-        all_parts = all_parts.join(listed(df, name, *columns), "doc_id", "left")
-    p = all_parts.join(docs, "doc_id", "left")
-    empty = lambda c: F.coalesce(c, F.array().cast(p.schema[c].dataType)).alias(c)
-    ocr = F.struct(F.lit(True).alias("success"), _sized("tokens").alias("num_tokens"), F.lit(0).alias("processing_time_ms"), "tokens")
-    layout = F.struct(_sized("lines").alias("num_lines"), _sized("blocks").alias("num_blocks"), _sized("regions").alias("num_regions"), *map(empty, ("lines", "blocks", "regions")))
-    graph = F.struct(_sized("nodes").alias("num_nodes"), _sized("edges").alias("num_edges"), empty("nodes"), empty("edges"), F.coalesce("adjacency", F.create_map().cast(p.schema["adjacency"].dataType)).alias("adjacency"))
+    p = paged.pages(_sheets(tokens), list(paged.PARTS), config).filter("error IS NULL AND doc_id IS NOT NULL")
+    count = lambda c: F.size(c).alias("num_" + c)
+    ocr = F.struct(F.lit(True).alias("success"), count("tokens"), F.lit(0).alias("processing_time_ms"), "tokens")
+    layout = F.struct(*map(count, ("lines", "blocks", "regions")), "lines", "blocks", "regions")
+    graph = F.struct(count("nodes"), count("edges"), "nodes", "edges", "adjacency")
     return p.select("doc_id", F.lit("1.0.0").alias("version"), F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("created_at"), ocr.alias("ocr"), layout.alias("layout"), graph.alias("graph"))

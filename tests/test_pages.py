@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from leafgraph.operators import graph as G
 from leafgraph.operators import layout as L
 from leafgraph.operators import paged
-from leafgraph.operators.pages import page_results
+from leafgraph.operators.pages import full_export, page_results
 from leafgraph.plans.layout_queries import QUERIES
 from leafgraph.plans.render import region_pages, region_tokens
 from leafgraph.sources import tables
@@ -52,10 +52,23 @@ def test_results_of_pages_are_those_of_rows(odd):
     assert got.count() == 60 and got.filter("success AND data IS NULL").count() == 0
 
 
+def test_export_of_pages_is_that_of_rows(odd):
+    tokens, result, nodes, edges = odd
+    got = full_export(tokens).cache()
+    assert got.count() == 59
+    for part, rows in (("ocr.tokens", tokens.filter("doc_id <> 'p7'")), ("layout.lines", result["block_lines"]), ("layout.regions", result["regions"]), ("graph.edges", edges)):
+        each = got.select("doc_id", F.inline(part))
+        assert found(each, *each.columns) == found(rows, *each.columns), part
+    blocks = result["block_lines"].groupBy("doc_id", "block_id").agg(F.count("*").alias("lines"), *(f(c).alias(c) for f, c in zip((F.min, F.min, F.max, F.max), L.BOUNDS)))
+    each = got.select("doc_id", F.inline("layout.blocks"))
+    assert found(each, *each.columns) == found(blocks, *each.columns)
+
+
 def test_many_tokens_at_one_place_and_pages_without_name(spark):
     rows = [("p", i, "x", 0.5, 0.0, 0.0, 8.0, 16.0) for i in range(1500)] + [("p", 1500, "y", 0.5, 900.0, 0.0, 908.0, 16.0), (None, 0, "z", 0.5, 0.0, 0.0, 8.0, 16.0)]
     tokens = spark.createDataFrame(rows, SCHEMA)
     assert found(page_results(tokens), "doc_id", "success", "num_nodes") == sorted([["p", True, 0.0], [None, True, 0.0]], key=repr)
+    assert found(full_export(tokens), "doc_id", "ocr.num_tokens", "layout.num_lines", "layout.num_blocks") == [["p", 1501.0, 2.0, 2.0]]
 
 
 def test_pages_have_the_tokens_of_rows(spark):
@@ -63,7 +76,7 @@ def test_pages_have_the_tokens_of_rows(spark):
     assert found(got, *got.columns) == found(region_tokens(spark, SMALL), *got.columns)
 
 
-@pytest.mark.parametrize("name", ["page_results"])
+@pytest.mark.parametrize("name", ["page_results", "full_export"])
 def test_tokens_are_neither_sent_nor_stored(spark, name):
     before = len(tables._WRITTEN)
     df = QUERIES[name](spark, SMALL)
